@@ -74,7 +74,11 @@ def replace_first(c: Column | str, pattern: str, replacement: str) -> Column:
     """
     java_rep = _GROUP_REF.sub(lambda m: "$" + str(int(m.group(1)) + 1),
                               replacement.replace("$", r"\$"))
-    return F.regexp_replace(col(c), r"\A((?s:.*?))(?:" + pattern + ")", "$1" + java_rep)
+    x = col(c)
+    anchored = F.regexp_replace(x, r"\A((?s:.*?))(?:" + pattern + ")", "$1" + java_rep)
+    # The anchored form defeats the engine's fast scanning, so only rows
+    # that match at all (a plain find) pay for it.
+    return F.when(x.rlike(pattern), anchored).otherwise(x)
 
 
 def split_get(c: Column | str, sep_regex: str, pieces: int, index: int) -> Column:

@@ -324,3 +324,39 @@ SELECT data AS code, CAST(count(*) AS BIGINT) AS n_rows, """ + (
     ) + """ AS title FROM h_long GROUP BY data""",
 }
 ORACLE["tidy_cases_fast"] = ORACLE["tidy_cases"]
+
+_sqp = "trim(regexp_replace(replace({x}, chr(160), ' '), '\\s+', ' ', 'g'))"
+
+ORACLE.update({
+    "docket_movements": with_(fixtures=["fx_page_rows", "fx_page_files"]) + f""",
+pr AS (SELECT f.file, f.sg_date, r.pos, r.date_txt, r.title, r.body
+       FROM fx_page_files f JOIN fx_page_rows r ON r.k = f.k WHERE f.shape = 'table')
+SELECT file, sg_date, CAST(pos AS INTEGER) AS pos,
+       CAST(try_strptime(replace(trim(date_txt), '-', '/'), '%d/%m/%Y') AS DATE) AS movement,
+       {_sqp.format(x='title')} AS title, {_sqp.format(x='body')} AS txt
+FROM pr WHERE trim(date_txt) <> ''""",
+    "page_status": with_(fixtures=["fx_page_rows", "fx_page_files"]) + """
+SELECT sg_date, CAST(count(*) FILTER (WHERE shape = 'missing') AS BIGINT) AS n_error,
+       CAST(count(*) FILTER (WHERE shape = 'table' AND EXISTS
+            (SELECT 1 FROM fx_page_rows r WHERE r.k = f.k)) AS BIGINT) AS n_pages_with_rows
+FROM fx_page_files f GROUP BY sg_date""",
+    "search_results": with_(fixtures=["fx_index"]) + """
+SELECT sg_date, id_lawsuit, k AS n_result FROM fx_index""",
+    "lawsuit_ids": with_(fixtures=["fx_index"]) + """
+SELECT sg_date, regexp_replace(id_lawsuit, '[^0-9]', '', 'g') AS id_lawsuit
+FROM (SELECT DISTINCT sg_date, id_lawsuit FROM fx_index) t""",
+    "daily_store": with_(fixtures=["fx_index"]) + """
+SELECT id_lawsuit, k AS n_result, sg_date FROM fx_index""",
+    "ages": with_(fixtures=["fx_people"]) + f"""
+SELECT person_id,
+  CAST(date_diff('day', DATE '1900-01-01' + CAST(TRY_CAST(nasc_serial AS DOUBLE) AS INTEGER),
+                 DATE '{AS_OF}') AS DOUBLE) / 365.242 AS idade,
+  CAST({AS_OF[:4]} AS DOUBLE) - TRY_CAST(nullif(regexp_extract(nasc_text, '[0-9]{{4}}'), '') AS DOUBLE) AS idade_ano
+FROM fx_people""",
+    "person_keys": with_(OK) + f"""
+SELECT coalesce(nullif(regexp_extract(nm, '^[A-Z]+'), ''), 'NA') || ' ' ||
+       coalesce(nullif(regexp_extract(nm, '[A-Z]+$'), ''), 'NA') AS person_key,
+       CAST(count(*) AS BIGINT) AS n_rows
+FROM (SELECT {sq(unacc('upper(p.name)'))} AS nm FROM ok o JOIN fx_parts p ON p.k = o.k) t
+GROUP BY 1""",
+})

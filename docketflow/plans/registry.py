@@ -21,7 +21,13 @@ from ..operators import durations as MO
 from ..operators import header as H
 from ..operators import parties as PA
 from ..operators import profile as PR
-from ..sources.inputs import cases_for
+from ..operators import movements as MV
+from ..operators import search as SE
+from ..session import scratch_path
+from ..sources.fixtures import Fixtures
+from ..sources.inputs import _fingerprint, cases_for
+from ..sources.pages import build_docket_pages, build_search_pages
+from ..sources.store import read_daily, write_daily
 from . import tidy as T
 from . import tidy_fast as TF
 
@@ -93,6 +99,45 @@ def _titles(cases):
                           .agg(F.count(F.lit(1)).cast("bigint").alias("n_rows")), "code", "title")
 
 
+AS_OF = "2024-01-01"
+
+
+def docket_movements(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = build_docket_pages(Fixtures(spark, sf_dir))
+    return MV.tidy_movements(MV.parse_pages(pages))
+
+
+def page_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return MV.page_status(MV.parse_pages(build_docket_pages(Fixtures(spark, sf_dir))))
+
+
+def search_results(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return SE.flatten_results(build_search_pages(Fixtures(spark, sf_dir)))
+
+
+def lawsuit_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return SE.lawsuit_ids(search_results(spark, sf_dir))
+
+
+def daily_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Write the day-partitioned search results, read every day back."""
+    path = scratch_path(spark, "store", _fingerprint(sf_dir), "cjsg")
+    write_daily(search_results(spark, sf_dir), path, order_col="n_result")
+    return read_daily(spark, path, "id_lawsuit STRING, n_result BIGINT, sg_date DATE")
+
+
+def ages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    people = Fixtures(spark, sf_dir).fx_people
+    return people.select("person_id",
+                         PR.age_from_serial(F.col("nasc_serial"), AS_OF).alias("idade"),
+                         PR.age_from_year(F.col("nasc_text"), AS_OF).alias("idade_ano"))
+
+
+def _person_keys(cases):
+    names = C.unnest_child(cases, "parts").select(PR.person_key(F.col("name")).alias("person_key"))
+    return names.groupBy("person_key").agg(F.count(F.lit(1)).cast("bigint").alias("n_rows"))
+
+
 QUERIES: dict[str, Query] = {
     "parse_status": _cases(C.parse_status),
     "ok_cases": _cases(C.ok_case_summary),
@@ -125,4 +170,11 @@ QUERIES: dict[str, Query] = {
     "market_segment": _cases(_market_segment),
     "criminal_outcomes": _cases(lambda c: PR.criminal_outcomes(T.tidy_cases(c))),
     "titles": _cases(_titles),
+    "person_keys": _cases(_person_keys),
+    "ages": ages,
+    "docket_movements": docket_movements,
+    "page_status": page_status,
+    "search_results": search_results,
+    "lawsuit_ids": lawsuit_ids,
+    "daily_store": daily_store,
 }

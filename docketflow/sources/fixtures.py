@@ -251,12 +251,43 @@ SELECT c_custkey AS person_id,
 FROM {customer}
 """
 
+# rows of the saved docket pages' movement tables, one per line item, in
+# the shapes a page shows: blank dates (dropped), an impossible date, dash
+# separators, a missing body, NBSP-separated words (flag, Spark side only)
+FX_PAGE_ROWS = """
+SELECT l_orderkey AS k, pos,
+       CASE WHEN l_partkey % 31 = 0 THEN CASE WHEN l_partkey % 2 = 0 THEN '' ELSE '   ' END
+            WHEN l_partkey % 37 = 0 THEN '31/02/' || CAST(year(mv) AS STRING)
+            WHEN l_partkey % 29 = 0 THEN lpad(CAST(day(mv) AS STRING), 2, '0') || '-'
+                 || lpad(CAST(month(mv) AS STRING), 2, '0') || '-' || CAST(year(mv) AS STRING)
+            ELSE lpad(CAST(day(mv) AS STRING), 2, '0') || '/'
+                 || lpad(CAST(month(mv) AS STRING), 2, '0') || '/' || CAST(year(mv) AS STRING) END AS date_txt,
+       CASE l_suppkey % 4 WHEN 0 THEN 'Conclusos para  Julgamento' WHEN 1 THEN 'Publicado em'
+                          WHEN 2 THEN 'Recebidos os Autos' ELSE 'Remetido ao DJE ' END AS title,
+       CASE WHEN l_suppkey % 5 = 0 THEN NULL
+            ELSE 'Relação ' || CAST(l_partkey AS STRING) || '  Teor do ato' END AS body,
+       CASE WHEN l_partkey % 7 = 0 THEN 1 ELSE 0 END AS nbsp
+FROM (SELECT l_orderkey, l_partkey, l_suppkey, pos,
+             l_shipdate + CAST(l_partkey % 1500 AS INT) AS mv
+      FROM ({fx_line}) l0) l
+"""
+
+# saved pages: one per fetched file; some cannot be read (no content), some
+# have no movement table
+FX_PAGE_FILES = """
+SELECT k, file, CAST(o_orderdate AS DATE) AS sg_date,
+       CASE WHEN k % 211 = 13 THEN 'missing' WHEN k % 50 = 7 THEN 'no_table' ELSE 'table' END AS shape
+FROM (SELECT o_orderkey AS k, o_orderdate,
+             'html_cposg/' || lpad(CAST(o_orderkey AS STRING), 20, '0') || '.html' AS file
+      FROM {orders}) o
+"""
+
 FIXTURE_ORDER = ["fx_line", "fx_case", "fx_data", "fx_parts", "fx_movs",
-                 "fx_decisions", "fx_index", "fx_people"]
+                 "fx_decisions", "fx_index", "fx_people", "fx_page_rows", "fx_page_files"]
 FIXTURE_SQL = {
     "fx_line": FX_LINE, "fx_case": FX_CASE, "fx_data": FX_DATA, "fx_parts": FX_PARTS,
     "fx_movs": FX_MOVS, "fx_decisions": FX_DECISIONS, "fx_index": FX_INDEX,
-    "fx_people": FX_PEOPLE,
+    "fx_people": FX_PEOPLE, "fx_page_rows": FX_PAGE_ROWS, "fx_page_files": FX_PAGE_FILES,
 }
 
 
