@@ -64,21 +64,28 @@ def clean_place(c: Column | str) -> Column:
 _GROUP_REF = re.compile(r"\\(\d)")
 
 
-def replace_first(c: Column | str, pattern: str, replacement: str) -> Column:
+def replace_first(c: Column | str, pattern: str, replacement: str,
+                  end_anchored: bool = False) -> Column:
     """Replace the leftmost match of ``pattern`` only.
 
     ``replacement`` uses R-style ``\\1`` group references.  The pattern is
     prefixed by a lazy ``\\A(.*?)`` group, so group numbers shift by one;
     the engine still finds the leftmost match and, thanks to ``\\A``, only
     one.  Groups that did not take part expand to the empty string.
+
+    ``end_anchored=True`` declares that every match must end at the end of
+    the text (a trailing ``$`` and at least one consumed character), so at
+    most one match exists and a plain replace-all is the same, with the
+    engine's fast scanning.  Each call references ``c`` once, so chained
+    calls stay linear in size.
     """
-    java_rep = _GROUP_REF.sub(lambda m: "$" + str(int(m.group(1)) + 1),
-                              replacement.replace("$", r"\$"))
-    x = col(c)
-    anchored = F.regexp_replace(x, r"\A((?s:.*?))(?:" + pattern + ")", "$1" + java_rep)
-    # The anchored form defeats the engine's fast scanning, so only rows
-    # that match at all (a plain find) pay for it.
-    return F.when(x.rlike(pattern), anchored).otherwise(x)
+    def java(rep: str, shift: int) -> str:
+        return _GROUP_REF.sub(lambda m: "$" + str(int(m.group(1)) + shift),
+                              rep.replace("$", r"\$"))
+
+    if end_anchored:
+        return F.regexp_replace(col(c), pattern, java(replacement, 0))
+    return F.regexp_replace(col(c), r"\A((?s:.*?))(?:" + pattern + ")", "$1" + java(replacement, 1))
 
 
 def split_get(c: Column | str, sep_regex: str, pieces: int, index: int) -> Column:

@@ -17,12 +17,22 @@ def ok_cases(cases: DataFrame) -> DataFrame:
     return cases.filter(F.col("return") != "error")
 
 
-def unnest_child(cases: DataFrame, child: str) -> DataFrame:
-    """``id1, file, pos, <child fields...>`` for one nested array."""
-    exploded = ok_cases(cases).select(
-        F.col("output.id1").alias("id1"), F.col("file"),
-        F.posexplode(F.col(f"output.{child}")).alias("pos", "x"))
-    return exploded.select("id1", "file", "pos", "x.*")
+def unnest_child(cases: DataFrame, child: str, fields: list[str]) -> DataFrame:
+    """``id1, file, pos, <fields...>`` for one nested array.
+
+    Only the named element fields are read: each ``output.<child>.<field>``
+    is an array-of-field access that nested schema pruning pushes into the
+    Parquet scan; the fields are zipped back into elements and exploded
+    with their positions.
+    """
+    zipped = F.arrays_zip(*[F.col(f"output.{child}.{f}").alias(f) for f in fields])
+    # Two projections on purpose: the generator then sees only top-level,
+    # already pruned columns, so a filter placed above the explode cannot
+    # pull the whole ``output`` struct back into the scan.
+    narrow = ok_cases(cases).select(F.col("output.id1").alias("id1"), F.col("file"),
+                                    zipped.alias("_arr"))
+    exploded = narrow.select("id1", "file", F.posexplode("_arr").alias("pos", "x"))
+    return exploded.select("id1", "file", "pos", *[F.col("x")[f].alias(f) for f in fields])
 
 
 def ok_case_summary(cases: DataFrame) -> DataFrame:

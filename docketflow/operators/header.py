@@ -55,7 +55,7 @@ def column_name(key: str) -> str:
 
 def header_long(cases: DataFrame) -> DataFrame:
     """``id1, file, pos, data, value`` with cleaned keys."""
-    x = unnest_child(cases, "data")
+    x = unnest_child(cases, "data", ["data", "value"])
     return x.select("id1", "file", "pos", clean_key("data").alias("data"), "value")
 
 

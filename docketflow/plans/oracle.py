@@ -360,3 +360,4 @@ SELECT coalesce(nullif(regexp_extract(nm, '^[A-Z]+'), ''), 'NA') || ' ' ||
 FROM (SELECT {sq(unacc('upper(p.name)'))} AS nm FROM ok o JOIN fx_parts p ON p.k = o.k) t
 GROUP BY 1""",
 })
+ORACLE["streamed_movements"] = ORACLE["docket_movements"]

@@ -56,7 +56,7 @@ def _party_display(cases):
 
 
 def _distinct_names(cases):
-    return C.unnest_child(cases, "parts").select("name").distinct()
+    return C.unnest_child(cases, "parts", ["name"]).select("name").distinct()
 
 
 def _fixed_names(cases):
@@ -78,7 +78,7 @@ def _legal_person_narrow(cases):
 
 
 def _party_rows(cases):
-    return C.unnest_child(cases, "parts").select(
+    return C.unnest_child(cases, "parts", ["name"]).select(
         F.col("id1").alias("n_processo"), "file", "pos",
         fix_names(unaccent(F.col("name"))).alias("name_fixed"))
 
@@ -126,6 +126,20 @@ def daily_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_daily(spark, path, "id_lawsuit STRING, n_result BIGINT, sg_date DATE")
 
 
+def streamed_movements(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The page job as a stream: pages land as files, an ``availableNow``
+    stream parses them into the day-partitioned store, which is read back."""
+    import uuid
+
+    from ..streaming.daily_ingest import run_once
+    run = scratch_path(spark, "stream", _fingerprint(sf_dir), uuid.uuid4().hex)
+    pages = build_docket_pages(Fixtures(spark, sf_dir))
+    pages.repartitionByRange("sg_date", "file").write.mode("overwrite") \
+        .option("compression", "zstd").parquet(run + "/pages")
+    out = run_once(spark, run + "/pages", run + "/store", run + "/checkpoint")
+    return out.select("file", "sg_date", "pos", "movement", "title", "txt")
+
+
 def ages(spark: SparkSession, sf_dir: str) -> DataFrame:
     people = Fixtures(spark, sf_dir).fx_people
     return people.select("person_id",
@@ -134,7 +148,7 @@ def ages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _person_keys(cases):
-    names = C.unnest_child(cases, "parts").select(PR.person_key(F.col("name")).alias("person_key"))
+    names = C.unnest_child(cases, "parts", ["name"]).select(PR.person_key(F.col("name")).alias("person_key"))
     return names.groupBy("person_key").agg(F.count(F.lit(1)).cast("bigint").alias("n_rows"))
 
 
@@ -177,4 +191,5 @@ QUERIES: dict[str, Query] = {
     "search_results": search_results,
     "lawsuit_ids": lawsuit_ids,
     "daily_store": daily_store,
+    "streamed_movements": streamed_movements,
 }

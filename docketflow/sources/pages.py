@@ -50,7 +50,10 @@ def build_docket_pages(fx: Fixtures) -> DataFrame:
                   F.format_string('<html><body><p>%s sem movimentações</p></body></html>',
                                   F.col("file")))
             .otherwise(F.concat(head, F.coalesce("trs", F.lit("")), F.lit(_TAIL))))
-    return files.select("file", "sg_date", html.alias("html"))
+    # The fixture derives from one small table file; saved pages arrive as
+    # many files.  Spread them so the Python-side parse runs in parallel.
+    n = int(fx.spark.conf.get("spark.sql.shuffle.partitions"))
+    return files.select("file", "sg_date", html.alias("html")).repartition(n, "file")
 
 
 def build_search_pages(fx: Fixtures) -> DataFrame:
