@@ -18,10 +18,10 @@ expression:
 
 from __future__ import annotations
 
+import html as _html
 import re
 import sys
 from collections.abc import Iterator
-from html.parser import HTMLParser
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -49,13 +49,47 @@ PARSED_SCHEMA = ("file string, sg_date date, return string, error string, pos in
                  "movement_txt string, x3 string")
 
 
-class _Tables(HTMLParser):
+# One regex pass tokenizes the page: comments, doctype/processing
+# instructions and script/style bodies are skipped whole; tags yield their
+# name and attribute text; everything else is text.
+_TOKEN = re.compile(
+    r"<!--.*?-->|<![^>]*>|<\?[^>]*>"
+    r"|<(script|style)\b[^>]*>.*?</\1\s*>"
+    r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>"
+    r"|([^<]+|<)", re.S | re.I)
+_ID = re.compile(r"""(?:^|\s)id\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
+_VOID = frozenset(["br", "img", "hr", "meta", "link", "input", "col", "area", "base",
+                   "wbr", "source", "param", "embed", "track"])
+
+
+def _scan(page: str, sink: "_Tables") -> None:
+    for m in _TOKEN.finditer(page):
+        name = m.group(3)
+        if name is not None:
+            tag = name.lower()
+            if m.group(2):
+                sink.handle_endtag(tag)
+            else:
+                attrs = m.group(4)
+                ident = None
+                if attrs:
+                    a = _ID.search(attrs)
+                    if a:
+                        ident = _html.unescape(a.group(1) or a.group(2) or a.group(3) or "")
+                sink.handle_starttag(tag, ident)
+                if tag in _VOID or attrs.rstrip().endswith("/"):
+                    sink.handle_endtag(tag)
+        elif m.group(5) is not None:
+            text = m.group(5)
+            sink.handle_data(_html.unescape(text) if "&" in text else text)
+
+
+class _Tables:
     """Collects every table's rows of cell texts and remembers the first
     table that is the parent of the movements element or of anything
     inside it."""
 
     def __init__(self):
-        super().__init__(convert_charrefs=True)
         self.open: list[str] = []          # open element tags
         self.tables: list[list[list[str]]] = []
         self.heads: list[list[bool]] = []  # per table: row made of <th> only
@@ -70,15 +104,12 @@ class _Tables(HTMLParser):
     def _parent_is_table(self) -> bool:
         return bool(self.open) and self.open[-1] == "table"
 
-    def handle_starttag(self, tag, attrs):
-        ident = dict(attrs).get("id")
+    def handle_starttag(self, tag, ident):
         if self.target is None and (ident == MOVEMENTS_ELEMENT_ID or self.inside_target):
             if self._parent_is_table() and self.table_stack:
                 self.target = self.table_stack[-1]
         if ident == MOVEMENTS_ELEMENT_ID and not self.inside_target:
             self.inside_target = len(self.open) + 1
-        if tag in ("br", "img", "hr", "meta", "link", "input"):
-            return
         self.open.append(tag)
         if tag == "table":
             self.tables.append([])
@@ -148,8 +179,7 @@ def movement_rows(html: str) -> list[tuple[str | None, str | None]]:
     """``(date text, movement text)`` per data row of the movements table.
     No such table gives no rows; a table without the two columns raises."""
     p = _Tables()
-    p.feed(html)
-    p.close()
+    _scan(html, p)
     if p.target is None:
         return []
     rows, heads = p.tables[p.target], p.heads[p.target]
