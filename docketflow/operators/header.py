@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from ..functions.rules import COMARCA_FIXES
 from ..functions.text import (clean_key, clean_place, pad2, parse_real, split_get)
 from .cases import unnest_child
-from .joins import semi_filter_small
+from .joins import MAX_IN_LIST, semi_filter_small
 
 # --- fixed values -----------------------------------------------------------
 # Header keys used downstream, as cleaned (squished, unaccented, lower).
@@ -54,11 +54,20 @@ def column_name(key: str) -> str:
 
 
 def header_long(cases: DataFrame) -> DataFrame:
-    """``id1, file, pos, data, value`` with cleaned keys."""
+    """``id1, file, pos, data, value`` with cleaned keys (cleaned per row)."""
     x = unnest_child(cases, "data", ["data", "value"])
     return x.select("id1", "file", "pos", clean_key("data").alias("data"), "value")
 
 
+def raw_key_counts(cases: DataFrame) -> DataFrame:
+    """``raw, data, n``: rows per raw key spelling with its cleaned key.
+    Grouping raw spellings first (partial aggregation collapses them
+    map-side) means the cleaning runs once per distinct spelling."""
+    raw = unnest_child(cases, "data", ["data"])
+    per_raw = raw.groupBy(F.col("data").alias("raw")).agg(F.count(F.lit(1)).alias("n"))
+    return per_raw.select("raw", clean_key("raw").alias("data"), "n")
+
+
 def key_counts(long: DataFrame) -> DataFrame:
     return long.groupBy("data").agg(F.count(F.lit(1)).cast("bigint").alias("n"))
 
@@ -68,9 +77,61 @@ def kept_keys(long: DataFrame) -> DataFrame:
     return key_counts(long).filter(F.col("n") > 1)
 
 
+def kept_keys_of(cases: DataFrame) -> DataFrame:
+    """:func:`kept_keys` computed from raw spellings (distinct-first)."""
+    return (raw_key_counts(cases).groupBy("data")
+            .agg(F.sum("n").cast("bigint").alias("n")).filter(F.col("n") > 1))
+
+
+class KeySpellings:
+    """Raw spelling -> cleaned key for the whole table, and which cleaned
+    keys are kept (seen more than once).  Built from one small aggregate;
+    ``None`` from :func:`key_spellings` when there are too many spellings."""
+
+    def __init__(self, rows):
+        totals: dict = {}
+        for raw, key, n in rows:
+            totals[key] = totals.get(key, 0) + n
+        self.kept = {k for k, n in totals.items() if n > 1}
+        self.clean_of = {raw: key for raw, key, _ in rows if raw is not None}
+        self.null_kept = None in self.kept
+
+    def kept_raw(self) -> list[str]:
+        return [r for r, k in self.clean_of.items() if k in self.kept]
+
+    def is_kept(self, raw: Column) -> Column:
+        vals = self.kept_raw()
+        cond = raw.isin(vals) if vals else F.lit(False)
+        return (cond | raw.isNull()) if self.null_kept else cond
+
+    def clean(self, raw: Column) -> Column:
+        if not self.clean_of:
+            return F.lit(None).cast("string")
+        m = F.create_map(*[F.lit(x) for kv in self.clean_of.items() for x in kv])
+        return F.try_element_at(m, raw)
+
+
+def key_spellings(cases: DataFrame, bound: int = MAX_IN_LIST) -> KeySpellings | None:
+    rows = raw_key_counts(cases).limit(bound + 1).collect()
+    if len(rows) > bound:
+        return None
+    return KeySpellings([(r["raw"], r["data"], r["n"]) for r in rows])
+
+
 def header_long_kept(cases: DataFrame) -> DataFrame:
-    long = header_long(cases)
-    return semi_filter_small(long, kept_keys(long), "data")
+    """Header rows whose cleaned key is kept, with the cleaned key.
+
+    Usual case: the spelling map is small, so rows are filtered and
+    labelled by a literal ``IN`` list and map lookup -- no per-row regex, no
+    shuffle by key.  Too many spellings: clean per row and filter against
+    the (size-checked) kept-key table."""
+    ks = key_spellings(cases)
+    if ks is None:
+        long = header_long(cases)
+        return semi_filter_small(long, kept_keys(long), "data")
+    x = unnest_child(cases, "data", ["data", "value"])
+    return x.filter(ks.is_kept(F.col("data"))).select(
+        "id1", "file", "pos", ks.clean(F.col("data")).alias("data"), "value")
 
 
 def _joined_values(cond: Column) -> Column:

@@ -155,7 +155,7 @@ def _person_keys(cases):
 QUERIES: dict[str, Query] = {
     "parse_status": _cases(C.parse_status),
     "ok_cases": _cases(C.ok_case_summary),
-    "header_keys_kept": _cases(lambda c: H.kept_keys(H.header_long(c))),
+    "header_keys_kept": _cases(H.kept_keys_of),
     "header_values_joined": _cases(H.header_values),
     "header_wide": _cases(H.header_wide),
     "chamber_profile": _cases(_header_cols("info_camara_nm", "info_camara_num",
