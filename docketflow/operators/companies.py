@@ -31,16 +31,17 @@ def segment_label(c):
     return last_match_label(c, SEGMENT_PATTERNS)
 
 
-def _classify_distinct(df: DataFrame, src: str, dst: str, label_fn) -> DataFrame:
+def label_distinct(df: DataFrame, src: str, derive) -> DataFrame:
+    """Compute ``derive(distinct values of src)`` once per distinct value and
+    join the result back on ``src`` (left join; NULL ``src`` gets NULLs,
+    which is what every rule gives a NULL input)."""
     distinct = df.select(src).where(F.col(src).isNotNull()).distinct()
-    labels = distinct.select(src, label_fn(F.col(src)).alias(dst))
-    # NULL names keep NULL (every rule test is NULL), so they need no lookup
-    return join_checked(df, labels, src, "left")
+    return join_checked(df, derive(distinct), src, "left")
 
 
 def fold_companies(df: DataFrame, src: str, dst: str = "company") -> DataFrame:
-    return _classify_distinct(df, src, dst, company_label)
+    return label_distinct(df, src, lambda d: d.select(src, company_label(F.col(src)).alias(dst)))
 
 
 def assign_segments(df: DataFrame, src: str, dst: str = "segment") -> DataFrame:
-    return _classify_distinct(df, src, dst, segment_label)
+    return label_distinct(df, src, lambda d: d.select(src, segment_label(F.col(src)).alias(dst)))

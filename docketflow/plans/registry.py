@@ -79,18 +79,25 @@ def _legal_person_narrow(cases):
 
 def _party_rows(cases):
     return C.unnest_child(cases, "parts", ["name"]).select(
-        F.col("id1").alias("n_processo"), "file", "pos",
-        fix_names(unaccent(F.col("name"))).alias("name_fixed"))
+        F.col("id1").alias("n_processo"), "file", "pos", "name")
+
+
+def _name_labels(d):
+    """Per distinct raw name: fixed name, company label, segment."""
+    fixed = fix_names(unaccent(F.col("name")))
+    staged = d.select("name", fixed.alias("name_fixed"))
+    folded = staged.select("*", CO.company_label(F.col("name_fixed")).alias("company"))
+    return folded.select("*", CO.segment_label(F.col("company")).alias("segment"))
 
 
 def _major_companies(cases):
-    return CO.fold_companies(_party_rows(cases), "name_fixed", "company")
+    t = CO.label_distinct(_party_rows(cases), "name", _name_labels)
+    return t.select("n_processo", "file", "pos", "name_fixed", "company")
 
 
 def _market_segment(cases):
-    folded = CO.fold_companies(_party_rows(cases), "name_fixed", "company")
-    seg = CO.assign_segments(folded, "company", "segment")
-    return seg.select("n_processo", "file", "pos", "company", "segment")
+    t = CO.label_distinct(_party_rows(cases), "name", _name_labels)
+    return t.select("n_processo", "file", "pos", "company", "segment")
 
 
 def _titles(cases):
