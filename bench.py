@@ -32,12 +32,13 @@ def main() -> None:
 
     from docketflow.plans.registry import QUERIES
     from docketflow.sources.fixtures import Fixtures, build_cases
-    from docketflow.sources.inputs import cases_path
+    from docketflow.sources.inputs import cases_for
 
+    # one-time derivation of the nested input from the tables (timed apart)
     t = time.time()
-    build_cases(Fixtures(spark, sf_dir)).write.mode("overwrite") \
-        .option("compression", "zstd").parquet(cases_path(spark, sf_dir))
+    build_cases(Fixtures(spark, sf_dir)).write.format("noop").mode("overwrite").save()
     prep = time.time() - t
+    cases_for(spark, sf_dir)
 
     times: dict[str, float] = {}
     rows: dict[str, int] = {}

@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import hashlib
 import os
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -40,11 +41,16 @@ def _fingerprint(sf_dir: str) -> str:
     return h.hexdigest()[:16]
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
+def _fs_path(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
-    p = jvm.org.apache.hadoop.fs.Path(path + "/_SUCCESS")
-    return p.getFileSystem(conf).exists(p)
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(conf), p
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    fs, p = _fs_path(spark, path + "/_SUCCESS")
+    return fs.exists(p)
 
 
 def cases_path(spark: SparkSession, sf_dir: str) -> str:
@@ -59,7 +65,16 @@ def read_cases(spark: SparkSession, path: str) -> DataFrame:
 def cases_for(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Nested cases of ``sf_dir``: written once, then read."""
     path = cases_path(spark, sf_dir)
-    if not _exists(spark, path):
-        build_cases(Fixtures(spark, sf_dir)).write.mode("overwrite") \
-            .option("compression", "zstd").parquet(path)
-    return read_cases(spark, path)
+    if _exists(spark, path):
+        return read_cases(spark, path)
+    # Write aside, then move into place.  A concurrent builder of the same
+    # input either loses the rename (its finished copy is then used) or a
+    # stale, unfinished folder holds the name (our copy is used).
+    tmp = f"{path}.tmp-{uuid.uuid4().hex}"
+    build_cases(Fixtures(spark, sf_dir)).write.mode("overwrite") \
+        .option("compression", "zstd").parquet(tmp)
+    fs, dst = _fs_path(spark, path)
+    _, src = _fs_path(spark, tmp)
+    if not fs.exists(dst):
+        fs.rename(src, dst)
+    return read_cases(spark, path if _exists(spark, path) else tmp)
