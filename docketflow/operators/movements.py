@@ -43,6 +43,7 @@ DATE_COLUMN = "data"
 TEXT_COLUMN = "movimento"
 TITLE_SEP = "\n\t"
 DATE_FORMAT = "d/M/yyyy"
+TWO_DIGIT_PIVOT = 68
 # ----------------------------------------------------------------------------
 
 PARSED_SCHEMA = ("file string, sg_date date, return string, error string, pos int, "
@@ -94,7 +95,6 @@ class _Tables:
         self.tables: list[list[list[str]]] = []
         self.heads: list[list[bool]] = []  # per table: row made of <th> only
         self.table_stack: list[int] = []   # open tables (indices)
-        self.row_open: list[bool] = []
         self.cells: list[list[str] | None] = []  # current row per open table
         self.cell_text: list[list[str] | None] = []
         self.cell_is_th: list[list[bool]] = []
@@ -227,16 +227,28 @@ def parse_pages(pages: DataFrame) -> DataFrame:
     return pages.select("file", "sg_date", "html").mapInPandas(_parse_batches, PARSED_SCHEMA)
 
 
+def parse_dmy(text) -> "F.Column":
+    """Day-month-year text to DATE; ``-``, ``.`` or blank separators; a
+    two-digit year is 20yy up to 68 and 19yy from 69; anything else,
+    including impossible dates, gives NULL."""
+    d = F.regexp_replace(squish(text), r"[-. ]", "/")
+    two = d.rlike(r"^[0-9]{1,2}/[0-9]{1,2}/[0-9]{2}$")
+    yy = F.substring_index(d, "/", -1)
+    head = F.substring_index(d, "/", 2)
+    full = (F.when(two & (yy.cast("int") <= TWO_DIGIT_PIVOT), F.concat(head, F.lit("/20"), yy))
+            .when(two, F.concat(head, F.lit("/19"), yy))
+            .otherwise(d))
+    return F.try_to_date(full, DATE_FORMAT)
+
+
 def tidy_movements(parsed: DataFrame) -> DataFrame:
     """P6-P9 on parsed rows of readable pages."""
     ok = parsed.filter((F.col("return") != "error") & F.col("pos").isNotNull())
     kept = ok.filter(F.col("movement_txt") != "")
     title = split_get("x3", TITLE_SEP, 2, 0)
     body = split_get("x3", TITLE_SEP, 2, 1)
-    day = squish("movement_txt")
     return kept.select(
-        "file", "sg_date", "pos",
-        F.try_to_date(F.regexp_replace(day, "[-.]", "/"), DATE_FORMAT).alias("movement"),
+        "file", "sg_date", "pos", parse_dmy(F.col("movement_txt")).alias("movement"),
         squish(title).alias("title"), squish(body).alias("txt"))
 
 

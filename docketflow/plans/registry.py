@@ -12,7 +12,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.names import display_from_fixed, fix_names, is_legal_person, legal_person_from
-from ..functions.rules import TITLES
 from ..functions.text import unaccent
 from ..operators import cases as C
 from ..operators import companies as CO

@@ -44,3 +44,16 @@ def test_saved_pages_reader_filters_names(spark):
     df = read_saved_pages(spark, d, "*page*")
     got = sorted((os.path.basename(r.file), r.html) for r in df.collect())
     assert got == [("page_1.html", "<html>page_1.html</html>"), ("page_2.html", "<html>page_2.html</html>")]
+
+
+def test_day_month_year_parse(spark):
+    import datetime as dt
+    from pyspark.sql import functions as F
+    from docketflow.operators.movements import parse_dmy
+    vals = ["01/02/2017", " 1/2/2017 ", "01-02-2017", "01.02.2017", "01/02/17", "01/02/69",
+            "31/02/2017", "", "sem data", None]
+    df = spark.createDataFrame([(v,) for v in vals], "t string")
+    got = [r[0] for r in df.select(parse_dmy(F.col("t"))).collect()]
+    d = dt.date
+    assert got == [d(2017, 2, 1), d(2017, 2, 1), d(2017, 2, 1), d(2017, 2, 1), d(2017, 2, 1),
+                   d(1969, 2, 1), None, None, None, None]
