@@ -127,7 +127,7 @@ def lawsuit_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def daily_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Write the day-partitioned search results, read every day back."""
-    path = scratch_path(spark, "store", _fingerprint(sf_dir), "cjsg")
+    path = scratch_path(spark, "store", _fingerprint(sf_dir), "search_index")
     write_daily(search_results(spark, sf_dir), path, order_col="n_result")
     return read_daily(spark, path, "id_lawsuit STRING, n_result BIGINT, sg_date DATE")
 

@@ -27,7 +27,7 @@ FROM {lineitem}
 # one fetched file per order, with its parse status
 FX_CASE = """
 SELECT lpad(CAST(o_orderkey AS STRING), 20, '0') AS id1,
-       'html_cposg/' || lpad(CAST(o_orderkey AS STRING), 20, '0') || '.html' AS file,
+       'pages/' || lpad(CAST(o_orderkey AS STRING), 20, '0') || '.html' AS file,
        CASE WHEN o_orderkey % 97 = 5 THEN 'error'
             WHEN o_orderkey % 193 = 7 THEN NULL
             ELSE 'result' END AS status,
@@ -100,7 +100,7 @@ SELECT k, 4 AS pos,
          WHEN 1 THEN n || 'ª Câmara de Direito Privado'
          WHEN 2 THEN n || 'ª Câmara Extraordinária de Direito Público'
          WHEN 3 THEN n || 'ª Câmara Reservada de Direito Empresarial'
-         WHEN 4 THEN n || 'ª Câmara de Direito Público - TJSP'
+         WHEN 4 THEN n || 'ª Câmara de Direito Público - SP'
          WHEN 5 THEN 'Câmara Especial de Recuperação Judicial'
          ELSE n || 'ª Câmara Reservada ao Meio Ambiente' END AS value
 FROM (SELECT k, CASE WHEN k % 1009 = 17 THEN '123' ELSE CAST(k % 40 + 1 AS STRING) END AS n
@@ -278,7 +278,7 @@ FX_PAGE_FILES = """
 SELECT k, file, CAST(o_orderdate AS DATE) AS sg_date,
        CASE WHEN k % 211 = 13 THEN 'missing' WHEN k % 50 = 7 THEN 'no_table' ELSE 'table' END AS shape
 FROM (SELECT o_orderkey AS k, o_orderdate,
-             'html_cposg/' || lpad(CAST(o_orderkey AS STRING), 20, '0') || '.html' AS file
+             'pages/' || lpad(CAST(o_orderkey AS STRING), 20, '0') || '.html' AS file
       FROM {orders}) o
 """
 
