@@ -234,7 +234,7 @@ def _crim_case(rules, default):
 
 # distinct party names of parsed cases (for the name operators)
 NAMES = "names AS (SELECT DISTINCT p.name FROM ok o JOIN fx_parts p ON p.k = o.k)"
-PARTY_ROWS = "prow AS (SELECT o.id1 AS n_processo, o.file, p.pos, p.name FROM ok o JOIN fx_parts p ON p.k = o.k)"
+PARTY_ROWS = "prow AS (SELECT o.id1 AS n_processo, o.file, CAST(p.pos AS INTEGER) AS pos, p.name FROM ok o JOIN fx_parts p ON p.k = o.k)"
 _company = case_last("name_fixed", as_patterns(COMPANY_RULES))
 _segment = case_last("company", as_patterns(SEGMENT_RULES))
 
