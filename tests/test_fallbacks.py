@@ -39,3 +39,10 @@ def test_join_without_broadcast(cases):
     a = join_checked(rows, labels, "name", "left")
     b = join_checked(rows, labels, "name", "left", bound=0)
     assert _rows(a) == _rows(b)
+
+
+def test_duplicate_cases_take_the_general_path(spark, cases):
+    doubled = cases.unionByName(cases.limit(3))
+    assert TF.has_duplicate_cases(doubled) and not TF.has_duplicate_cases(cases)
+    from docketflow.plans.tidy import tidy_cases
+    assert _rows(TF.tidy_cases_fast(doubled)) == _rows(tidy_cases(doubled))
