@@ -73,8 +73,8 @@ def build_search_pages(fx: Fixtures) -> DataFrame:
 def read_saved_pages(spark: SparkSession, folder: str, name_glob: str | None = None) -> DataFrame:
     """S4/S5: each saved file as one row ``(file, html)``; ``name_glob``
     keeps matching file names only (e.g. ``*page*``)."""
-    r = spark.read.option("wholetext", True)
+    r = spark.read
     if name_glob:
         r = r.option("pathGlobFilter", name_glob)
-    df = r.text(folder)
+    df = r.text(folder, wholetext=True)
     return df.select(F.col("_metadata.file_path").alias("file"), F.col("value").alias("html"))

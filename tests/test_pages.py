@@ -40,10 +40,11 @@ def test_saved_pages_reader_filters_names(spark):
     d = tempfile.mkdtemp(prefix="pages-", dir="/tmp")
     for n in ("page_1.html", "page_2.html", "other.html"):
         with open(os.path.join(d, n), "w") as f:
-            f.write(f"<html>{n}</html>")
+            f.write(f"<html>\n{n}\n</html>")
     df = read_saved_pages(spark, d, "*page*")
     got = sorted((os.path.basename(r.file), r.html) for r in df.collect())
-    assert got == [("page_1.html", "<html>page_1.html</html>"), ("page_2.html", "<html>page_2.html</html>")]
+    assert got == [("page_1.html", "<html>\npage_1.html\n</html>"),
+                   ("page_2.html", "<html>\npage_2.html\n</html>")]
 
 
 def test_day_month_year_parse(spark):
