@@ -17,8 +17,22 @@ def ok_cases(cases: DataFrame) -> DataFrame:
     return cases.filter(F.col("return") != "error")
 
 
-def unnest_child(cases: DataFrame, child: str, fields: list[str]) -> DataFrame:
-    """``id1, file, pos, <fields...>`` for one nested array.
+def source_row(cases: DataFrame):
+    """Source-order ordinal of each input row: ``(file path, row index in
+    file)`` from the Parquet scan's metadata; a constant when the input is
+    not a file scan.  It orders rows of one lawsuit that span several input
+    rows, ahead of the position inside each row's arrays."""
+    try:
+        cases.select("_metadata.file_path", "_metadata.row_index")
+    except Exception:
+        return F.struct(F.lit("").alias("path"), F.lit(0).cast("bigint").alias("idx"))
+    return F.struct(F.col("_metadata.file_path").alias("path"),
+                    F.col("_metadata.row_index").alias("idx"))
+
+
+def unnest_child(cases: DataFrame, child: str, fields: list[str],
+                 with_source_row: bool = False) -> DataFrame:
+    """``id1, file, [src_row,] pos, <fields...>`` for one nested array.
 
     Only the named element fields are read: each ``output.<child>.<field>``
     is an array-of-field access that nested schema pruning pushes into the
@@ -29,10 +43,12 @@ def unnest_child(cases: DataFrame, child: str, fields: list[str]) -> DataFrame:
     # Two projections on purpose: the generator then sees only top-level,
     # already pruned columns, so a filter placed above the explode cannot
     # pull the whole ``output`` struct back into the scan.
+    keys = ["id1", "file"] + (["src_row"] if with_source_row else [])
+    extra = [source_row(cases).alias("src_row")] if with_source_row else []
     narrow = ok_cases(cases).select(F.col("output.id1").alias("id1"), F.col("file"),
-                                    zipped.alias("_arr"))
-    exploded = narrow.select("id1", "file", F.posexplode("_arr").alias("pos", "x"))
-    return exploded.select("id1", "file", "pos", *[F.col("x")[f].alias(f) for f in fields])
+                                    *extra, zipped.alias("_arr"))
+    exploded = narrow.select(*keys, F.posexplode("_arr").alias("pos", "x"))
+    return exploded.select(*keys, "pos", *[F.col("x")[f].alias(f) for f in fields])
 
 
 def ok_case_summary(cases: DataFrame) -> DataFrame:

@@ -55,8 +55,8 @@ def column_name(key: str) -> str:
 
 def header_long(cases: DataFrame) -> DataFrame:
     """``id1, file, pos, data, value`` with cleaned keys (cleaned per row)."""
-    x = unnest_child(cases, "data", ["data", "value"])
-    return x.select("id1", "file", "pos", clean_key("data").alias("data"), "value")
+    x = unnest_child(cases, "data", ["data", "value"], with_source_row=True)
+    return x.select("id1", "file", "src_row", "pos", clean_key("data").alias("data"), "value")
 
 
 def raw_key_counts(cases: DataFrame) -> DataFrame:
@@ -129,15 +129,15 @@ def header_long_kept(cases: DataFrame) -> DataFrame:
     if ks is None:
         long = header_long(cases)
         return semi_filter_small(long, kept_keys(long), "data")
-    x = unnest_child(cases, "data", ["data", "value"])
+    x = unnest_child(cases, "data", ["data", "value"], with_source_row=True)
     return x.filter(ks.is_kept(F.col("data"))).select(
-        "id1", "file", "pos", ks.clean(F.col("data")).alias("data"), "value")
+        "id1", "file", "src_row", "pos", ks.clean(F.col("data")).alias("data"), "value")
 
 
 def _joined_values(cond: Column) -> Column:
     """Distinct values (first-seen order, NULL kept once) joined by ``@``;
     NULL prints as ``NA``; no row gives NULL."""
-    arr = F.array_sort(F.collect_list(F.when(cond, F.struct("pos", "value"))))
+    arr = F.array_sort(F.collect_list(F.when(cond, F.struct("src_row", "pos", "value"))))
     vals = F.array_distinct(F.transform(arr, lambda s: s["value"]))
     return F.when(F.size(vals) > 0, F.array_join(vals, "@", "NA"))
 

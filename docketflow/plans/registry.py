@@ -178,7 +178,7 @@ QUERIES: dict[str, Query] = {
     "party_table": _cases(PA.party_table),
     "case_gaps": _cases(MO.case_gaps),
     "case_durations": _cases(MO.case_durations),
-    "decisions_labelled": _cases(lambda c: DE.labelled_decisions(c).drop("pos")),
+    "decisions_labelled": _cases(lambda c: DE.labelled_decisions(c).drop("src_row", "pos")),
     "latest_decision": _cases(DE.latest_decision),
     "tidy_cases": _cases(T.tidy_cases),
     "tidy_cases_fast": _cases(TF.tidy_cases_fast),
