@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from ..functions.rules import COMARCA_FIXES
 from ..functions.text import (clean_key, clean_place, pad2, parse_real, split_get)
 from .cases import unnest_child
-from .joins import MAX_IN_LIST, semi_filter_small
+from .joins import semi_filter_small
 
 # --- fixed values -----------------------------------------------------------
 # Header keys used downstream, as cleaned (squished, unaccented, lower).
@@ -111,7 +111,12 @@ class KeySpellings:
         return F.try_element_at(m, raw)
 
 
-def key_spellings(cases: DataFrame, bound: int = MAX_IN_LIST) -> KeySpellings | None:
+# A map literal is searched linearly per row, so the spelling map stays
+# small; past this many spellings keys are cleaned per row instead.
+MAX_SPELLINGS = 256
+
+
+def key_spellings(cases: DataFrame, bound: int = MAX_SPELLINGS) -> KeySpellings | None:
     rows = raw_key_counts(cases).limit(bound + 1).collect()
     if len(rows) > bound:
         return None
