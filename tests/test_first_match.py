@@ -60,3 +60,26 @@ def test_fix_names_matches_python(spark):
     df = spark.createDataFrame([(s,) for s in data], "s string")
     for r in df.select("s", N.fix_names("s").alias("f")).collect():
         assert r.f == _py_fix(r.s), repr(r.s)
+
+
+def _py_parse_real(s):
+    if s is None:
+        return None
+    m = re.search(r"-?(?:[0-9][0-9.]*(?:,[0-9]*)?|,[0-9]+)", s)
+    if not m:
+        return None
+    t = m.group(0).replace(".", "").replace(",", ".")
+    try:
+        return float(t)
+    except ValueError:
+        return None
+
+
+def test_parse_real_matches_python(spark):
+    from docketflow.functions.text import parse_real
+    rnd = random.Random(5)
+    parts = ["R$ ", "Cr$ ", "1", "23", "4.567", ",", ".", "-", "89", " ", "@", "abc", ",5"]
+    data = ["".join(rnd.choice(parts) for _ in range(rnd.randint(0, 6))) for _ in range(800)]
+    df = spark.createDataFrame([(s,) for s in data], "s string")
+    for r in df.select("s", parse_real("s").alias("v")).collect():
+        assert r.v == _py_parse_real(r.s), repr(r.s)
