@@ -58,3 +58,59 @@ def test_day_month_year_parse(spark):
     d = dt.date
     assert got == [d(2017, 2, 1), d(2017, 2, 1), d(2017, 2, 1), d(2017, 2, 1), d(2017, 2, 1),
                    d(1969, 2, 1), None, None, None, None]
+
+
+def test_tokenizer_matches_stdlib_parser():
+    """The regex tokenizer feeds the table collector exactly what the
+    stdlib HTML parser would, on randomly assembled pages."""
+    import random
+    from html.parser import HTMLParser
+
+    from docketflow.operators import movements as MV
+
+    class Std(HTMLParser):
+        def __init__(self, sink):
+            super().__init__(convert_charrefs=True)
+            self.sink = sink
+
+        def handle_starttag(self, tag, attrs):
+            self.sink.handle_starttag(tag, dict(attrs).get("id"))
+            if tag in MV._VOID:
+                self.sink.handle_endtag(tag)
+
+        def handle_startendtag(self, tag, attrs):
+            self.sink.handle_starttag(tag, dict(attrs).get("id"))
+            self.sink.handle_endtag(tag)
+
+        def handle_endtag(self, tag):
+            self.sink.handle_endtag(tag)
+
+        def handle_data(self, data):
+            self.sink.handle_data(data)
+
+    def via_std(page):
+        t = MV._Tables()
+        p = Std(t)
+        p.feed(page)
+        p.close()
+        return t.target, t.tables
+
+    def via_regex(page):
+        t = MV._Tables()
+        MV._scan(page, t)
+        return t.target, t.tables
+
+    rnd = random.Random(3)
+    bits = ['<table class="x"><tr><td>decoy</td></tr></table>', "<!-- <table> -->",
+            '<script>var s = "<table><tr>";</script>', '<div title="a > b">t</div>', "<br>",
+            "<p>Sem &amp; com&nbsp;espaço</p>", "<img src='x.png'/>"]
+    rows = ['<tr><td>0{d}/03/2017</td><td></td><td>T&iacute;tulo {d}\n\tcorpo</td></tr>',
+            '<tr><td> </td><td></td><td>sem data</td></tr>', '<tr><td>1{d}/04/2016</td></tr>']
+    for _ in range(300):
+        body = "".join(rnd.choice(rows).format(d=rnd.randint(1, 9)) for _ in range(rnd.randint(0, 4)))
+        head = '<tr><th>Data</th><th></th><th>Movimento</th></tr>' if rnd.random() < .8 else ""
+        table = f'<table><thead>{head}</thead><tbody id="tabelaTodasMovimentacoes">{body}</tbody></table>'
+        pieces = [rnd.choice(bits) for _ in range(rnd.randint(0, 4))]
+        pieces.insert(rnd.randint(0, len(pieces)), table if rnd.random() < .9 else "")
+        page = "<html><body>" + "".join(pieces) + "</body></html>"
+        assert via_regex(page) == via_std(page), page
