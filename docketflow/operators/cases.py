@@ -18,15 +18,17 @@ def ok_cases(cases: DataFrame) -> DataFrame:
 
 
 def source_row(cases: DataFrame):
-    """Source-order ordinal of each input row: ``(file path, row index in
-    file)`` from the Parquet scan's metadata; a constant when the input is
-    not a file scan.  It orders rows of one lawsuit that span several input
-    rows, ahead of the position inside each row's arrays."""
+    """Source-order ordinal of each input row: ``(file, row index in file)``
+    from the Parquet scan's metadata, the file as a 64-bit hash of its path
+    (fixed width: the ordinal rides along every exploded element into the
+    shuffles).  Files thus come in a fixed hash order, rows in file order.
+    A constant when the input is not a file scan.  It orders rows of one
+    lawsuit that span several input rows, ahead of array positions."""
     try:
         cases.select("_metadata.file_path", "_metadata.row_index")
     except Exception:
-        return F.struct(F.lit("").alias("path"), F.lit(0).cast("bigint").alias("idx"))
-    return F.struct(F.col("_metadata.file_path").alias("path"),
+        return F.struct(F.lit(0).cast("bigint").alias("file"), F.lit(0).cast("bigint").alias("idx"))
+    return F.struct(F.xxhash64(F.col("_metadata.file_path")).alias("file"),
                     F.col("_metadata.row_index").alias("idx"))
 
 
