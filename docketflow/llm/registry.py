@@ -5,12 +5,14 @@ from __future__ import annotations
 from .langid import op9_language_id
 from .mixing import op8_mixing
 from .quality import op3_quality
+from .tokens import op5_token_ids
 from .toxicity import op1_toxicity
 from .warc import op10_warc
 
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op3_quality": op3_quality,
+    "op5_token_ids": op5_token_ids,
     "op8_mixing": op8_mixing,
     "op9_language_id": op9_language_id,
     "op10_warc": op10_warc,

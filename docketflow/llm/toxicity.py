@@ -25,6 +25,8 @@ ORDERS = (3, 4, 5)
 #: Bound of the training sample: labelled documents of each class.
 SAMPLE_EACH = 4000
 THRESHOLD = 0.7
+#: An n-gram counts when its log ratio is so many standard errors from zero.
+LEAST_Z = 4.0
 SEED = 11
 
 
@@ -58,28 +60,30 @@ def _sample_grams(batches):
                                          ["toxic", "h", "grams"])
 
 
-def fit(g: np.ndarray, off: np.ndarray, y: np.ndarray, steps: int = 80, ridge: float = 2e-4):
+def fit(g: np.ndarray, off: np.ndarray, y: np.ndarray, steps: int = 300, ridge: float = 2e-4):
     """Weights per n-gram and intercept.  r: log of the ratio of smoothed
     shares of toxic and other texts that hold the n-gram; a logistic
-    regression is fitted to the features scaled by r."""
+    regression is fitted to the features scaled by r.  Ratios within LEAST_Z
+    standard errors of zero are chance and dropped: a long text holds nearly
+    all common n-grams, whose noise would add up."""
     d, n = 1 << BITS, len(y)
     each = np.diff(off)
     yf = np.repeat(y.astype(bool), each)
     pos, neg = np.bincount(g[yf], minlength=d) + 1.0, np.bincount(g[~yf], minlength=d) + 1.0
     r = np.log(pos / (y.sum() + 2.0)) - np.log(neg / (n - y.sum() + 2.0))
-    r[(pos + neg) < 5] = 0  # seen in fewer than three texts
+    r[np.abs(r) < LEAST_Z * np.sqrt(1 / pos + 1 / neg)] = 0
     row = np.repeat(np.arange(n), each)
     use = r[g] != 0
     g, row = g[use], row[use]
     x = r[g].astype(np.float32)
-    weight = np.where(y == 1, 0.5 / y.sum(), 0.5 / (n - y.sum()))
+    weight = 1.0 / n
     v, b, m, s = np.zeros(d), 0.0, np.zeros(d), np.zeros(d)
     for step in range(1, steps + 1):
         z = np.bincount(row, weights=x * v[g], minlength=n) + b
         e = (1 / (1 + np.exp(-np.clip(z, -30, 30))) - y) * weight
         grad = np.bincount(g, weights=x * e[row], minlength=d) + ridge * v
         m, s = 0.9 * m + 0.1 * grad, 0.99 * s + 0.01 * grad * grad
-        v -= 0.02 * (m / (1 - 0.9 ** step)) / (np.sqrt(s / (1 - 0.99 ** step)) + 1e-6)
+        v -= 0.05 * (m / (1 - 0.9 ** step)) / (np.sqrt(s / (1 - 0.99 ** step)) + 1e-6)
         b -= 2.0 * e.sum()
     return (v * r).astype(np.float32), float(b)
 
