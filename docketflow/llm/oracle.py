@@ -2,4 +2,8 @@
 
 from __future__ import annotations
 
-ORACLE: dict[str, str] = {}
+from .decontaminate import ORACLE_SQL as _decontaminate
+
+ORACLE: dict[str, str] = {
+    "op4_decontaminate": _decontaminate,
+}

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from .decontaminate import op4_decontaminate
+from .html import op7_html
 from .langid import op9_language_id
 from .mixing import op8_mixing
 from .quality import op3_quality
@@ -12,7 +14,9 @@ from .warc import op10_warc
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op3_quality": op3_quality,
+    "op4_decontaminate": op4_decontaminate,
     "op5_token_ids": op5_token_ids,
+    "op7_html": op7_html,
     "op8_mixing": op8_mixing,
     "op9_language_id": op9_language_id,
     "op10_warc": op10_warc,
