@@ -153,7 +153,7 @@ def op4_decontaminate(spark, sf_dir):
 
 
 _SQL_WORDS = (r"list_filter(string_split_regex(translate(text, '" + string.ascii_uppercase + "', '" + string.ascii_lowercase
-              + r"'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), x -> x <> '')")
+              + r"'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '')")
 
 ORACLE_SQL = rf"""
 WITH d AS (SELECT doc_id, coalesce({_SQL_WORDS}, []) AS w FROM documents),
