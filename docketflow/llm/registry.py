@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from .brown import op2_brown
 from .decontaminate import op4_decontaminate
 from .html import op7_html
 from .langid import op9_language_id
@@ -13,6 +14,7 @@ from .warc import op10_warc
 
 QUERIES = {
     "op1_toxicity": op1_toxicity,
+    "op2_brown": op2_brown,
     "op3_quality": op3_quality,
     "op4_decontaminate": op4_decontaminate,
     "op5_token_ids": op5_token_ids,
