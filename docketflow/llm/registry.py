@@ -8,6 +8,7 @@ from .html import op7_html
 from .langid import op9_language_id
 from .mixing import op8_mixing
 from .quality import op3_quality
+from .setsketch import op6_setsketch
 from .tokens import op5_token_ids
 from .toxicity import op1_toxicity
 from .warc import op10_warc
@@ -18,6 +19,7 @@ QUERIES = {
     "op3_quality": op3_quality,
     "op4_decontaminate": op4_decontaminate,
     "op5_token_ids": op5_token_ids,
+    "op6_setsketch": op6_setsketch,
     "op7_html": op7_html,
     "op8_mixing": op8_mixing,
     "op9_language_id": op9_language_id,
