@@ -155,7 +155,7 @@ def decode(margins: np.ndarray, code: np.ndarray, trust: np.ndarray):
     return order[:, 0], np.clip(p, 0, 1), (second - best) / trust.sum()
 
 
-def _predictor(shared):
+def _predictor(shared, keep_text: bool):
     def predict(batches):
         model = shared.value
         langs = np.array([*model["langs"], UNKNOWN], object)
@@ -168,17 +168,20 @@ def _predictor(shared):
                 which, score, lead = decode(x @ model["w"] + model["b"], model["code"], model["trust"])
             unknown = letters == 0
             which = np.where(unknown, len(langs) - 1, which)
-            yield of_rows(rows, lang_pred=pa.array(langs[which], pa.string()), score=np.where(unknown, 0.0, score),
+            text = {"text": rows.column("text")} if keep_text else {}
+            yield of_rows(rows, **text, lang_pred=pa.array(langs[which], pa.string()), score=np.where(unknown, 0.0, score),
                           ambiguous=~unknown & (lead < AMBIGUOUS))
     return predict
 
 
-def identify(docs: DataFrame, model: dict, columns=("doc_id",)) -> DataFrame:
-    """``columns`` of every row, with lang_pred, score and ambiguous."""
+def identify(docs: DataFrame, model: dict, columns=("doc_id",), keep_text: bool = False) -> DataFrame:
+    """``columns`` (and the text) of every row, with lang_pred, score and
+    ambiguous."""
     shared = docs.sparkSession.sparkContext.broadcast(model)  # 2^BITS weights a bit
     rows = docs.select(*columns, F.col("text").cast("string").alias("text"))
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema if f.name != "text")
-    return rows.mapInArrow(_predictor(shared), f"{kinds}, lang_pred string, score double, ambiguous boolean")
+    text = ", text string" if keep_text else ""
+    return rows.mapInArrow(_predictor(shared, keep_text), f"{kinds}{text}, lang_pred string, score double, ambiguous boolean")
 
 
 def held_out(folds: int, fold: int):

@@ -140,8 +140,7 @@ def select_by_hash(sized: DataFrame, extra: DataFrame) -> DataFrame:
     crossed (rows are summed inside each task first, so a pattern with a third
     of all rows is no hot key); only the rows of that cell are put in order.
     """
-    rows, base = sized.where("size > 0").join(F.broadcast(extra), "pattern"), extra
-    low = F.lit(0).cast("long")
+    rows = sized.where("size > 0").join(F.broadcast(extra), "pattern")
     for step in range(2):
         shift = 63 - _CELL_BITS * (step + 1)
         cells = rows.withColumn("_cell", F.shiftright("h", shift)).groupBy("pattern", "_cell").agg(
@@ -150,53 +149,57 @@ def select_by_hash(sized: DataFrame, extra: DataFrame) -> DataFrame:
             "pattern", F.col("_cell"), (F.col("_left") - F.col("_before")).alias("_left")), "mix-cells")
         rows = sized.where("size > 0").join(F.broadcast(found), "pattern").where(
             F.shiftright("h", shift) == F.col("_cell")).drop("_cell")
-        # all of the cells before the crossed one are taken
-        base = found.select("pattern", (F.shiftleft(F.col("_cell"), shift) - 1).alias("_until"), "_left")
     docs = rows.groupBy("pattern", "h").agg(F.sum("size").alias("_size"), F.first("_left").alias("_left"))
     last = _crossing(docs, "h")
     near = F.col("_after") - F.col("_left") < F.col("_left") - F.col("_before")
-    last = last.select("pattern", F.when(near, F.col("h")).otherwise(F.col("h") - 1).alias("_until"))
-    return stored(last.withColumn("_until", F.coalesce("_until", low)), "mix-until")
+    return stored(last.select("pattern", F.when(near, F.col("h")).otherwise(F.col("h") - 1).alias("_until")), "mix-until")
 
 
-def mix(docs: DataFrame, sources: Column, max_repeat: int = MAX_REPEAT, weights=WEIGHTS, seed: int = SEED):
-    """(rows, figures): rows are doc_id, pattern, size, taken, times and a
-    key to the input row; figures are per source: source, source_size, target."""
-    spark = docs.sparkSession
+def _keyed(docs: DataFrame, sources: Column, seed: int) -> DataFrame:
     member = F.coalesce(sources, F.array(F.lit(None).cast("string")))
     member = F.when(F.size(member) == 0, F.array(F.lit(None).cast("string"))).otherwise(member)
-    pattern = F.to_json(F.sort_array(F.array_distinct(member)))
-    sized = stored(docs.select("doc_id", pattern.alias("pattern"), word_count(F.col("text").cast("string")).alias("size"),
-                               F.shiftrightunsigned(F.xxhash64(F.lit(seed), F.col("doc_id").cast("string")), 1).alias("h")),
-                   "mix-sizes")
+    h = F.shiftrightunsigned(F.xxhash64(F.lit(seed), F.col("doc_id").cast("string")), 1)
+    return docs.withColumn("pattern", F.to_json(F.sort_array(F.array_distinct(member)))).withColumn("h", h)
+
+
+def mix_plan(sized: DataFrame, max_repeat: int = MAX_REPEAT, weights=WEIGHTS) -> tuple[DataFrame, DataFrame]:
+    """From stored rows (pattern, h, size): the plan, a row per pattern, and
+    the figures, a row per source (source, source_size, target)."""
+    spark = sized.sparkSession
     found = sized.groupBy("pattern").agg(F.sum("size").alias("size")).limit(MAX_PATTERNS + 1).collect()
     if len(found) > MAX_PATTERNS:
         raise ValueError(f"more than {MAX_PATTERNS} membership patterns")
-    patterns = {tuple(json.loads(r.pattern)): r.size for r in found}
+    patterns = {tuple(json.loads(r.pattern)): r["size"] for r in found}
     key = {tuple(json.loads(r.pattern)): r.pattern for r in found}
     size: dict = defaultdict(int)
     for p, n in patterns.items():
         for s in p:
             size[s] += n
     want = targets(dict(size), weights, max_repeat)
-    flow = route(patterns, {s: round(t) for s, t in want.items()}, max_repeat)
     given: dict = defaultdict(int)
-    for (p, _), words in flow.items():
-        given[p] += words
+    for (p, _), flow in route(patterns, {s: round(t) for s, t in want.items()}, max_repeat).items():
+        given[p] += flow
     plan = [(key[p], given[p] // n if n else 0, given[p] % n if n else 0) for p, n in patterns.items()]
     plan = spark.createDataFrame(plan, "pattern string, _full long, _left long")
     until = select_by_hash(sized, plan.where("_left > 0").select("pattern", "_left"))
+    figures = spark.createDataFrame([(s, size[s], want[s]) for s in size], "source string, source_size long, target double")
+    return plan.join(until, "pattern", "left").select("pattern", "_full", "_until"), figures
+
+
+def mix(docs: DataFrame, sources: Column, max_repeat: int = MAX_REPEAT, weights=WEIGHTS, seed: int = SEED):
+    """(rows, figures): the rows of ``docs`` with pattern, size, times and
+    taken; figures are per source: source, source_size, target."""
+    rows = _keyed(docs, sources, seed).withColumn("size", word_count(F.col("text").cast("string")))
+    plan, figures = mix_plan(stored(rows.select("pattern", "h", "size"), "mix-sizes"), max_repeat, weights)
     # one row a pattern, at most MAX_PATTERNS: a proven bound
-    rows = sized.join(F.broadcast(plan), "pattern").join(F.broadcast(until), "pattern", "left")
+    rows = rows.join(F.broadcast(plan), "pattern")
     times = F.col("_full") + F.coalesce((F.col("h") <= F.col("_until")).cast("long"), F.lit(0))
-    rows = rows.withColumn("times", times).withColumn("taken", F.col("times") * F.col("size"))
-    figures = spark.createDataFrame([(s, size[s], want[s]) for s in size], "source string, source_size long, target double")
-    return rows.drop("_full", "_left", "_until"), figures
+    return rows.withColumn("times", times).withColumn("taken", F.col("times") * F.col("size")).drop("_full", "_until", "h"), figures
 
 
 def op8_mixing(spark, sf_dir):
     """The mix of all documents over their sources."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "source")
     rows, figures = mix(docs, F.array(F.col("source").cast("string")))
     figures = figures.withColumn("pattern", F.to_json(F.array("source")))
     return rows.join(F.broadcast(figures), "pattern").select("doc_id", "size", "source_size", "target", "taken")

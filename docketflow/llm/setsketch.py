@@ -223,12 +223,14 @@ def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return stored(pairs.join(ta, "a").join(tb, "b").mapInArrow(_linked, "a long, b long"), "near-links")
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """One row per document: doc_id, text_hash, rid, n_shingles, component_id
-    and keeper (the one row of its component to keep)."""
+def near_duplicates(docs: DataFrame, rid: str | None = None) -> DataFrame:
+    """One row per document: doc_id, text_hash, rid (a number of the row, or
+    the column given), n_shingles, component_id and keeper (the rid of the one
+    row of its component to keep)."""
     kind = docs.schema["doc_id"].dataType.simpleString()
-    source = docs.select("doc_id", F.col("text").cast("string").alias("text")).withColumn("text_hash", F.xxhash64("text"))
-    sketch = source.withColumn("rid", F.monotonically_increasing_id()).mapInArrow(
+    number = F.col(rid) if rid else F.monotonically_increasing_id()
+    source = docs.select("doc_id", F.col("text").cast("string").alias("text"), *([rid] if rid else [])).withColumn("text_hash", F.xxhash64("text"))
+    sketch = source.select("doc_id", "text", "text_hash", number.cast("long").alias("rid")).mapInArrow(
         _sketch, f"doc_id {kind}, text_hash long, rid long, n long, print_a long, print_b long, registers binary")
     sketch = stored(sketch, "near-sketch")
 
