@@ -93,14 +93,15 @@ def phrase_matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW)
     # offset-adjusted postings: where the item would begin
     hits = postings.join(anchors, "term_id").withColumn("begin", F.col("pos") - F.col("j"))
     met = hits.groupBy(*_DOC, "item", "begin").agg(F.collect_set("j").alias("js"))
-    plan = items.join(rare.groupBy("item").agg(F.collect_list(F.struct("k", "w", "j1", "j2")).alias("windows")), "item")
+    plan = stored(rare.groupBy("item").agg(F.collect_list(F.struct("k", "w", "j1", "j2")).alias("windows")), "decon-plan")
     both = F.filter("windows", lambda x: F.array_contains("js", x["j1"])
                     & (x["j2"].isNull() | F.array_contains("js", F.coalesce(x["j2"], F.lit(-1)))))
-    cand = met.join(plan.select("item", "windows"), "item").select(*_DOC, "item", "begin", F.explode(both).alias("x"))
+    cand = met.join(plan, "item").select(*_DOC, "item", "begin", F.explode(both).alias("x"))
     cand = stored(cand.select(*_DOC, "item", (F.col("begin") + F.col("x.k")).alias("start"), F.col("x.k").alias("k"),
                               F.col("x.w").alias("w")).where("start >= 0"), "decon-candidates")
-    # word by word, in the documents that have candidates
-    keys = cand.select(F.col("doc_id").alias("_d"), F.col("text_hash").alias("_h")).distinct()
+    # word by word, in the documents that have candidates; they grow with the
+    # documents, so they meet by a shuffle at every size
+    keys = cand.select(F.col("doc_id").alias("_d"), F.col("text_hash").alias("_h")).distinct().hint("merge")
     some = _docs(docs).join(keys, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("text_hash") == F.col("_h")), "left_semi")
     some = some.select(F.col("doc_id").alias("_d"), F.col("text_hash").alias("_h"), words(F.col("text")).alias("doc_words"))
     full = cand.join(items.select("item", "item_id", F.col("words").alias("item_words")), "item")
