@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 from .functions.names import display_name, fix_names as _fix_names, is_legal_person
 from .operators.companies import company_label, label_distinct, segment_label
 from .operators.movements import parse_pages, tidy_movements
-from .plans.tidy import tidy_cases
 from .plans.tidy_fast import tidy_cases_fast
 from .sources.inputs import read_cases
 from .sources.pages import read_saved_pages
@@ -25,14 +24,10 @@ __all__ = ["tidy_folder", "fix_names", "is_legal_person", "display_name", "fold_
            "market_segments", "day_batch"]
 
 
-def tidy_folder(spark: SparkSession, path: str, cut_time: float = 3,
-                shuffle_free: bool = True) -> DataFrame:
+def tidy_folder(spark: SparkSession, path: str, cut_time: float = 3) -> DataFrame:
     """Read parsed case records (nested ``cases`` schema, Parquet) from
-    ``path`` and return the tidy table.  ``shuffle_free`` uses the per-row
-    plan when every ``(id1, file)`` is one row (checked; else the general
-    plan)."""
-    cases = read_cases(spark, path)
-    return tidy_cases_fast(cases, cut_time) if shuffle_free else tidy_cases(cases, cut_time)
+    ``path`` and return the tidy table."""
+    return tidy_cases_fast(read_cases(spark, path), cut_time)
 
 
 def fix_names(c: Column | str) -> Column:

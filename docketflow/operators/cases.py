@@ -9,7 +9,7 @@ parse-status report.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -17,19 +17,39 @@ def ok_cases(cases: DataFrame) -> DataFrame:
     return cases.filter(F.col("return") != "error")
 
 
-def source_row(cases: DataFrame):
-    """Source-order ordinal of each input row: ``(file, row index in file)``
-    from the Parquet scan's metadata, the file as a 64-bit hash of its path
-    (fixed width: the ordinal rides along every exploded element into the
-    shuffles).  Files thus come in a fixed hash order, rows in file order.
-    A constant when the input is not a file scan.  It orders rows of one
-    lawsuit that span several input rows, ahead of array positions."""
-    try:
-        cases.select("_metadata.file_path", "_metadata.row_index")
-    except Exception:
-        return F.struct(F.lit(0).cast("bigint").alias("file"), F.lit(0).cast("bigint").alias("idx"))
-    return F.struct(F.xxhash64(F.col("_metadata.file_path")).alias("file"),
-                    F.col("_metadata.row_index").alias("idx"))
+#: Ordinal of an input row, added by :func:`read_cases`; it orders the rows of
+#: a lawsuit that spans several of them, ahead of array positions.
+SOURCE_ROW = "src_row"
+#: The lawsuit a row belongs to.  As a struct it is never NULL and equal NULL
+#: fields are equal, so a case without a number or file joins like any other.
+KEY = "case_key"
+
+
+def source_row() -> Column:
+    """``(file path, row index)`` from the scan's metadata.  Paths below one
+    folder compare as their relative parts do, so a copy of the folder keeps
+    the order of its rows."""
+    return F.struct(F.col("_metadata.file_path").alias("file"),
+                    F.col("_metadata.row_index").alias("idx")).alias(SOURCE_ROW)
+
+
+def order_column(cases: DataFrame) -> Column:
+    """The ordinal if the input has one, else one constant: rows that come
+    from no file scan have no order among themselves."""
+    if SOURCE_ROW in cases.columns:
+        return F.col(SOURCE_ROW)
+    return F.struct(F.lit("").alias("file"), F.lit(0).cast("bigint").alias("idx")).alias(SOURCE_ROW)
+
+
+def with_key(df: DataFrame, id_col: str = "id1") -> DataFrame:
+    """``id_col`` and ``file`` packed into the case key."""
+    rest = [c for c in df.columns if c not in (id_col, "file")]
+    return df.select(F.struct(F.col(id_col).alias("n_processo"), F.col("file")).alias(KEY), *rest)
+
+
+def without_key(df: DataFrame) -> DataFrame:
+    """The case key's fields as ``n_processo`` and ``file`` again."""
+    return df.select(f"{KEY}.n_processo", f"{KEY}.file", *[c for c in df.columns if c != KEY])
 
 
 def unnest_child(cases: DataFrame, child: str, fields: list[str],
@@ -45,8 +65,8 @@ def unnest_child(cases: DataFrame, child: str, fields: list[str],
     # Two projections on purpose: the generator then sees only top-level,
     # already pruned columns, so a filter placed above the explode cannot
     # pull the whole ``output`` struct back into the scan.
-    keys = ["id1", "file"] + (["src_row"] if with_source_row else [])
-    extra = [source_row(cases).alias("src_row")] if with_source_row else []
+    keys = ["id1", "file"] + ([SOURCE_ROW] if with_source_row else [])
+    extra = [order_column(cases)] if with_source_row else []
     narrow = ok_cases(cases).select(F.col("output.id1").alias("id1"), F.col("file"),
                                     *extra, zipped.alias("_arr"))
     exploded = narrow.select(*keys, F.posexplode("_arr").alias("pos", "x"))

@@ -4,9 +4,7 @@ no match keeps the input).
 Plan: classify each DISTINCT name once, then join the labels back.
 ``distinct`` is a hash aggregate with map-side partial aggregation, so a
 name carried by a third of all rows collapses before the shuffle.  The
-label table is broadcast only after its row count is checked against a
-bound; beyond it the join-back is a shuffle join whose hot keys AQE
-splits.  The rule chain is a reversed first-match CASE, so a name stops at
+rule chain is a reversed first-match CASE, so a name stops at
 its first (i.e. last-listed) hit.
 """
 
@@ -17,7 +15,6 @@ from pyspark.sql import functions as F
 
 from ..functions.rules import COMPANY_RULES, SEGMENT_RULES, as_patterns
 from ..functions.text import last_match_label
-from .joins import join_checked
 
 COMPANY_PATTERNS = as_patterns(COMPANY_RULES)
 SEGMENT_PATTERNS = as_patterns(SEGMENT_RULES)
@@ -33,15 +30,10 @@ def segment_label(c):
 
 def label_distinct(df: DataFrame, src: str, derive) -> DataFrame:
     """Compute ``derive(distinct values of src)`` once per distinct value and
-    join the result back on ``src`` (left join; NULL ``src`` gets NULLs,
-    which is what every rule gives a NULL input)."""
-    distinct = df.select(src).where(F.col(src).isNotNull()).distinct()
-    return join_checked(df, derive(distinct), src, "left")
-
-
-def fold_companies(df: DataFrame, src: str, dst: str = "company") -> DataFrame:
-    return label_distinct(df, src, lambda d: d.select(src, company_label(F.col(src)).alias(dst)))
-
-
-def assign_segments(df: DataFrame, src: str, dst: str = "segment") -> DataFrame:
-    return label_distinct(df, src, lambda d: d.select(src, segment_label(F.col(src)).alias(dst)))
+    join the result back on ``src``; NULL ``src`` gets NULLs, which is what
+    every rule gives a NULL input.  Rows without a name carry a hash of the
+    row as a second key, so they don't meet in one task.  No size is guessed:
+    Spark broadcasts the labels by their bytes or splits a skewed join."""
+    labels = derive(df.select(src).where(F.col(src).isNotNull()).distinct()).withColumn("_salt", F.lit(0).cast("bigint"))
+    salt = F.when(F.col(src).isNull(), F.xxhash64(*df.columns)).otherwise(F.lit(0).cast("bigint"))
+    return df.withColumn("_salt", salt).join(labels, [src, "_salt"], "left").drop("_salt")

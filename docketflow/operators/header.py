@@ -1,13 +1,10 @@
 """Header branch: key/value rows of each case to 17 typed columns.
 
-Plan (general path):
-
 1. explode ``output.data`` with positions and clean the keys;
-2. keep keys seen more than once in the WHOLE table: a per-key count
-   (partial aggregation, tiny output) checked against a bound and applied
-   as a map-side ``IN`` filter -- no shuffle of the rows by key, so a key
-   present in every case cannot pile up in one task;
-3. ONE ``groupBy(id1, file)``: for each of the eight used keys, the
+2. drop keys seen once in the WHOLE table: a count per key (partial
+   aggregation), of which only the keys seen once are joined back (anti join),
+   so a key present in every case cannot pile up in one task;
+3. ONE aggregate per case key: for each of the eight used keys, the
    distinct values in first-seen order joined by ``@`` (this is the pivot,
    done as conditional aggregation so it costs a single shuffle);
 4. row-wise expressions for the derived columns.
@@ -20,8 +17,8 @@ from pyspark.sql import functions as F
 
 from ..functions.rules import COMARCA_FIXES
 from ..functions.text import (clean_key, clean_place, pad2, parse_real, split_get)
-from .cases import unnest_child
-from .joins import semi_filter_small
+from ..session import stored
+from .cases import KEY, unnest_child, with_key, without_key
 
 # --- fixed values -----------------------------------------------------------
 # Header keys used downstream, as cleaned (squished, unaccented, lower).
@@ -68,75 +65,26 @@ def raw_key_counts(cases: DataFrame) -> DataFrame:
     return per_raw.select("raw", clean_key("raw").alias("data"), "n")
 
 
-def key_counts(long: DataFrame) -> DataFrame:
-    return long.groupBy("data").agg(F.count(F.lit(1)).cast("bigint").alias("n"))
-
-
-def kept_keys(long: DataFrame) -> DataFrame:
-    """Keys occurring more than once in the whole table, with their count."""
-    return key_counts(long).filter(F.col("n") > 1)
+def key_totals(cases: DataFrame) -> DataFrame:
+    """``data, n``: rows per cleaned key of the whole table."""
+    return raw_key_counts(cases).groupBy("data").agg(F.sum("n").cast("bigint").alias("n"))
 
 
 def kept_keys_of(cases: DataFrame) -> DataFrame:
-    """:func:`kept_keys` computed from raw spellings (distinct-first)."""
-    return (raw_key_counts(cases).groupBy("data")
-            .agg(F.sum("n").cast("bigint").alias("n")).filter(F.col("n") > 1))
-
-
-class KeySpellings:
-    """Raw spelling -> cleaned key for the whole table, and which cleaned
-    keys are kept (seen more than once).  Built from one small aggregate;
-    ``None`` from :func:`key_spellings` when there are too many spellings."""
-
-    def __init__(self, rows):
-        totals: dict = {}
-        for raw, key, n in rows:
-            totals[key] = totals.get(key, 0) + n
-        self.kept = {k for k, n in totals.items() if n > 1}
-        self.clean_of = {raw: key for raw, key, _ in rows if raw is not None}
-        self.null_kept = None in self.kept
-
-    def kept_raw(self) -> list[str]:
-        return [r for r, k in self.clean_of.items() if k in self.kept]
-
-    def is_kept(self, raw: Column) -> Column:
-        vals = self.kept_raw()
-        cond = raw.isin(vals) if vals else F.lit(False)
-        return (cond | raw.isNull()) if self.null_kept else cond
+    """Keys seen more than once in the whole table, with their count."""
+    return key_totals(cases).filter(F.col("n") > 1)
 
-    def clean(self, raw: Column) -> Column:
-        if not self.clean_of:
-            return F.lit(None).cast("string")
-        m = F.create_map(*[F.lit(x) for kv in self.clean_of.items() for x in kv])
-        return F.try_element_at(m, raw)
 
-
-# A map literal is searched linearly per row, so the spelling map stays
-# small; past this many spellings keys are cleaned per row instead.
-MAX_SPELLINGS = 256
-
-
-def key_spellings(cases: DataFrame, bound: int = MAX_SPELLINGS) -> KeySpellings | None:
-    rows = raw_key_counts(cases).limit(bound + 1).collect()
-    if len(rows) > bound:
-        return None
-    return KeySpellings([(r["raw"], r["data"], r["n"]) for r in rows])
+def rare_keys(cases: DataFrame) -> DataFrame:
+    """Keys seen once, as a written table: each belongs to a single row, so
+    no join with them has a hot key, and Spark sees their size."""
+    return stored(key_totals(cases).filter(F.col("n") == 1).select(F.col("data").alias("_rare")), "rare-keys")
 
 
 def header_long_kept(cases: DataFrame) -> DataFrame:
-    """Header rows whose cleaned key is kept, with the cleaned key.
-
-    Usual case: the spelling map is small, so rows are filtered and
-    labelled by a literal ``IN`` list and map lookup -- no per-row regex, no
-    shuffle by key.  Too many spellings: clean per row and filter against
-    the (size-checked) kept-key table."""
-    ks = key_spellings(cases)
-    if ks is None:
-        long = header_long(cases)
-        return semi_filter_small(long, kept_keys(long), "data")
-    x = unnest_child(cases, "data", ["data", "value"], with_source_row=True)
-    return x.filter(ks.is_kept(F.col("data"))).select(
-        "id1", "file", "src_row", "pos", ks.clean(F.col("data")).alias("data"), "value")
+    """Header rows whose key is seen more than once, with the cleaned key."""
+    long = header_long(cases)
+    return long.join(rare_keys(cases), F.col("data").eqNullSafe(F.col("_rare")), "left_anti")
 
 
 def _joined_values(cond: Column) -> Column:
@@ -149,17 +97,22 @@ def _joined_values(cond: Column) -> Column:
 
 def header_values(cases: DataFrame) -> DataFrame:
     """One joined value per (case, kept key)."""
-    long = header_long_kept(cases)
-    return (long.groupBy("id1", "file", "data")
-            .agg(_joined_values(F.lit(True)).alias("value"))
-            .withColumnRenamed("id1", "n_processo"))
+    long = with_key(header_long_kept(cases))
+    return without_key(long.groupBy(KEY, "data").agg(_joined_values(F.lit(True)).alias("value")))
+
+
+def keyed_wide(cases: DataFrame) -> DataFrame:
+    # a row of an unused key only shows that the case has a header row: its
+    # value stays behind
+    value = F.when(F.col("data").isin(HEADER_KEYS), F.col("value"))
+    long = with_key(header_long_kept(cases).withColumn("value", value))
+    aggs = [_joined_values(F.col("data") == k).alias(column_name(k)) for k in HEADER_KEYS]
+    return long.groupBy(KEY).agg(*aggs)
 
 
 def header_wide(cases: DataFrame) -> DataFrame:
     """``n_processo, file`` + one column per used key (NULL if absent)."""
-    long = header_long_kept(cases)
-    aggs = [_joined_values(F.col("data") == k).alias(column_name(k)) for k in HEADER_KEYS]
-    return long.groupBy("id1", "file").agg(*aggs).withColumnRenamed("id1", "n_processo")
+    return without_key(keyed_wide(cases))
 
 
 # --- derived columns (row-wise) ---------------------------------------------
@@ -193,7 +146,8 @@ def area_family(area: Column, chamber: Column) -> Column:
 
 def comarca(origin: Column) -> Column:
     piece = split_get(origin, ORIGIN_SEP, 3, 0)
-    cleaned = clean_place(F.regexp_substr(piece, F.lit(COMARCA_AFTER)))
+    after = F.when(piece.rlike(COMARCA_AFTER), F.regexp_extract(piece, COMARCA_AFTER, 0))
+    cleaned = clean_place(after)
     fixes = F.create_map(*[F.lit(x) for pair in COMARCA_FIXES for x in pair])
     return F.coalesce(F.try_element_at(fixes, cleaned), cleaned)
 
@@ -222,12 +176,11 @@ HEADER_COLUMNS = ["n_processo", "file", "info_area", "info_classe", "info_assunt
 
 
 def header_columns() -> list[Column]:
-    """The 17 header columns as expressions over a wide row."""
+    """The header columns beside the key, as expressions over a wide row."""
     c = F.col
     dist = c("distribuicao")
     chamber = chamber_number(dist)
     return [
-        c("n_processo"), c("file"),
         area_family(c("area"), chamber).alias("info_area"),
         c("classe").alias("info_classe"),
         c("assunto").alias("info_assunto_full"),
@@ -245,9 +198,9 @@ def header_columns() -> list[Column]:
         parse_real(c("valor_da_acao")).alias("info_valor")]
 
 
-def header_from_wide(w: DataFrame) -> DataFrame:
-    return w.select(*header_columns())
+def keyed_header(cases: DataFrame) -> DataFrame:
+    return keyed_wide(cases).select(KEY, *header_columns())
 
 
 def header_table(cases: DataFrame) -> DataFrame:
-    return header_from_wide(header_wide(cases))
+    return without_key(keyed_header(cases))

@@ -101,7 +101,7 @@ def with_(*ctes: str, fixtures=None) -> str:
 
 OK = "ok AS (SELECT id1, file, k FROM fx_case WHERE status <> 'error')"
 
-H_LONG = f"""h_long AS (SELECT o.id1, o.file, d.pos, {clean_key('d.data')} AS data, d.value
+H_LONG = f"""h_long AS (SELECT o.id1, o.file, o.k * 1000 + d.pos AS pos, {clean_key('d.data')} AS data, d.value
   FROM ok o JOIN fx_data d ON d.k = o.k)"""
 H_CNT = "h_cnt AS (SELECT data, count(*) AS n FROM h_long GROUP BY data)"
 H_KEPT = """h_kept AS (SELECT l.* FROM h_long l JOIN h_cnt c ON l.data IS NOT DISTINCT FROM c.data
@@ -161,7 +161,7 @@ _side = (f"CASE WHEN role IN {in_list(P.ACTIVE_ROLES)} THEN 'ativo' "
          f"WHEN role IN {in_list(P.LAWYER_ROLES)} AND part IN {in_list(P.PASSIVE_ROLES)} THEN 'passivo_adv' "
          f"WHEN role IN {in_list(P.LAWYER_ROLES)} AND part IN {in_list(P.ACTIVE_ROLES)} THEN 'ativo_adv' "
          f"ELSE 'outro' END")
-P_LONG = f"""p_long AS (SELECT o.id1, o.file, p.pos, p.name, lower(p.role) AS role, lower(p.part) AS part
+P_LONG = f"""p_long AS (SELECT o.id1, o.file, o.k * 1000 + p.pos AS pos, p.name, lower(p.role) AS role, lower(p.part) AS part
   FROM ok o JOIN fx_parts p ON p.k = o.k),
 p_side AS (SELECT *, {_side} AS tipo_parte FROM p_long)"""
 P_WIDE = "p_wide AS (SELECT id1 AS n_processo, file, " + ", ".join(
@@ -190,7 +190,7 @@ durations AS (SELECT n_processo, file,
     CAST(coalesce(sum(CASE WHEN gap_days < 1095 THEN gap_days END), 0) AS DOUBLE) AS time_clean
   FROM gaps GROUP BY n_processo, file)"""]
 
-E_CTES = [OK, f"""e_lab AS (SELECT o.id1 AS n_processo, o.file, e.pos, e.dec_date,
+E_CTES = [OK, f"""e_lab AS (SELECT o.id1 AS n_processo, o.file, o.k * 1000 + e.pos AS pos, e.dec_date,
     {outcome_sql('e.decision')} AS dec_val, e.decision, {unanimity_sql('e.decision')} AS dec_unanime
   FROM ok o JOIN fx_decisions e ON e.k = o.k
   WHERE e.decision IS NOT NULL AND NOT {rm('e.decision', D.EXCLUDED, True)}),
@@ -204,12 +204,17 @@ _crim = (f"CASE WHEN info_area = 'Criminal' AND info_classe IN "
          f"WHEN info_area = 'Criminal' AND info_classe IN "
          f"('Apelação', 'Agravo de Execução Penal', 'Recurso em Sentido Estrito') THEN 'Recurso' "
          f"ELSE 'Não é criminal' END")
+def _same(a: str, b: str) -> str:
+    """The same case: equal, or both NULL."""
+    return (f"{a}.n_processo IS NOT DISTINCT FROM {b}.n_processo "
+            f"AND {a}.file IS NOT DISTINCT FROM {b}.file")
+
+
 TIDY = f"""tidy AS (SELECT h.*, p.part_ativo, p.part_ativo_adv, p.part_passivo, p.part_passivo_adv,
     p.part_tipo_litigio, m.time_tot, m.time_clean, e.dec_date, e.dec_val, e.decision, e.dec_unanime,
     {_crim} AS info_classe_crim
-  FROM header h JOIN parties p USING (n_processo, file)
-  JOIN durations m USING (n_processo, file)
-  LEFT JOIN latest e USING (n_processo, file))"""
+  FROM header h JOIN parties p ON {_same('h', 'p')} JOIN durations m ON {_same('h', 'm')}
+  LEFT JOIN latest e ON {_same('h', 'e')})"""
 
 
 def _uniq(ctes):
@@ -276,8 +281,8 @@ SELECT * FROM header""",
     "party_sides": with_(OK, P_LONG, P_WIDE) + """
 SELECT n_processo, file, ativo, ativo_adv, passivo, passivo_adv FROM p_wide""",
     "litigation_type": with_(*PARTY_CTES) + """
-SELECT n_processo, file, ativo_pj, passivo_pj, parties.part_tipo_litigio
-FROM p_flags JOIN parties USING (n_processo, file)""",
+SELECT p.n_processo, p.file, p.ativo_pj, p.passivo_pj, t.part_tipo_litigio
+FROM p_flags p JOIN parties t ON """ + _same("p", "t"),
     "party_display": with_(*PARTY_CTES) + """
 SELECT n_processo, file, part_ativo, part_passivo FROM parties""",
     "party_table": with_(*PARTY_CTES) + """
@@ -296,7 +301,7 @@ SELECT * FROM tidy""",
 SELECT p.part_tipo_litigio, CAST(count(*) AS BIGINT) AS n_cases,
        CAST(sum(m.time_clean) AS DOUBLE) AS sum_time_clean,
        CAST(avg(m.time_clean) AS DOUBLE) AS mean_time_clean
-FROM parties p JOIN durations m USING (n_processo, file)
+FROM parties p JOIN durations m ON """ + _same("p", "m") + """
 GROUP BY p.part_tipo_litigio""",
     "fixed_names": with_(OK, NAMES) + f"""
 SELECT name, {fix_sql('name')} AS name_fixed FROM names""",

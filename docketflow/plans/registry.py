@@ -127,7 +127,7 @@ def lawsuit_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def daily_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Write the day-partitioned search results, read every day back."""
-    path = scratch_path(spark, "store", _fingerprint(sf_dir), "search_index")
+    path = scratch_path(spark, "store", _fingerprint(spark, sf_dir), "search_index")
     write_daily(search_results(spark, sf_dir), path, order_col="n_result")
     return read_daily(spark, path, "id_lawsuit STRING, n_result BIGINT, sg_date DATE")
 
@@ -138,7 +138,7 @@ def streamed_movements(spark: SparkSession, sf_dir: str) -> DataFrame:
     import uuid
 
     from ..streaming.daily_ingest import run_once
-    run = scratch_path(spark, "stream", _fingerprint(sf_dir), uuid.uuid4().hex)
+    run = scratch_path(spark, "stream", _fingerprint(spark, sf_dir), uuid.uuid4().hex)
     pages = build_docket_pages(Fixtures(spark, sf_dir))
     pages.repartitionByRange("sg_date", "file").write.mode("overwrite") \
         .option("compression", "zstd").parquet(run + "/pages")

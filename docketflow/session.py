@@ -5,8 +5,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Conf every job relies on.  ANSI stays on (Spark 4 default): the code uses
 # try_* functions where the reference yields NA instead of failing.
@@ -61,3 +62,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, *parts: str) -> str:
     """A path under the shared checkpoint folder (for written tables)."""
     return os.path.join(ensure_checkpoint_dir(spark), "docketflow", *parts)
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written under the shared checkpoint folder and read back: its
+    lineage is cut, and Spark knows its size."""
+    path = scratch_path(df.sparkSession, f"{name}-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -12,13 +12,14 @@ from the written files.
 from __future__ import annotations
 
 import hashlib
-import os
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
+from ..operators.cases import source_row
 from ..session import scratch_path
-from .fixtures import FIXTURE_SQL, Fixtures, build_cases
+from .fixtures import BASE_TABLES, FIXTURE_SQL, Fixtures, build_cases
 
 CASES_SCHEMA = (
     "file STRING, return STRING, output STRUCT<id1: STRING, "
@@ -28,53 +29,54 @@ CASES_SCHEMA = (
     "decisions: ARRAY<STRUCT<date: DATE, decision: STRING>>>")
 
 
-def _fingerprint(sf_dir: str) -> str:
+def _fingerprint(spark: SparkSession, sf_dir: str) -> str:
+    """Changes with the place, length or time of any input file, as the
+    store that holds them lists them, and with the fixture SQL."""
     h = hashlib.sha1()
-    h.update(os.path.abspath(sf_dir).encode())
-    for n in ("orders", "lineitem", "customer"):
-        p = os.path.join(sf_dir, f"{n}.parquet")
-        if os.path.exists(p):
-            st = os.stat(p)
-            h.update(f"{n}:{st.st_size}:{int(st.st_mtime)}".encode())
+    for n in BASE_TABLES:
+        files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(f"{sf_dir}/{n}.parquet")
+                 .select("path", "length", "modificationTime").collect())
+        for f in sorted(files):
+            h.update(f"{n}:{f.path}:{f.length}:{f.modificationTime.timestamp()}".encode())
     for k in sorted(FIXTURE_SQL):
         h.update(FIXTURE_SQL[k].encode())
     return h.hexdigest()[:16]
 
 
-def _fs_path(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(conf), p
-
-
 def _exists(spark: SparkSession, path: str) -> bool:
-    fs, p = _fs_path(spark, path + "/_SUCCESS")
-    return fs.exists(p)
+    """Whether a finished table is there."""
+    try:
+        spark.read.format("binaryFile").load(f"{path}/_SUCCESS")
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return False
+    return True
 
 
 def cases_path(spark: SparkSession, sf_dir: str) -> str:
-    return scratch_path(spark, "cases", _fingerprint(sf_dir))
+    return scratch_path(spark, "cases", _fingerprint(spark, sf_dir))
 
 
 def read_cases(spark: SparkSession, path: str) -> DataFrame:
-    """S1: read parsed case records (explicit schema, no inference)."""
-    return spark.read.schema(CASES_SCHEMA).parquet(path)
+    """S1: read parsed case records (explicit schema, no inference), each with
+    its place in the source."""
+    return spark.read.schema(CASES_SCHEMA).parquet(path).select("*", source_row())
 
 
 def cases_for(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Nested cases of ``sf_dir``: written once, then read."""
+    """Nested cases of ``sf_dir``: written once, then read.  A folder that
+    another job has not finished is left alone: this one then reads a copy of
+    its own."""
     path = cases_path(spark, sf_dir)
-    if _exists(spark, path):
-        return read_cases(spark, path)
-    # Write aside, then move into place.  A concurrent builder of the same
-    # input either loses the rename (its finished copy is then used) or a
-    # stale, unfinished folder holds the name (our copy is used).
-    tmp = f"{path}.tmp-{uuid.uuid4().hex}"
-    build_cases(Fixtures(spark, sf_dir)).write.mode("overwrite") \
-        .option("compression", "zstd").parquet(tmp)
-    fs, dst = _fs_path(spark, path)
-    _, src = _fs_path(spark, tmp)
-    if not fs.exists(dst):
-        fs.rename(src, dst)
-    return read_cases(spark, path if _exists(spark, path) else tmp)
+    if not _exists(spark, path):
+        own = f"{path}-{uuid.uuid4().hex}"
+        build = build_cases(Fixtures(spark, sf_dir)).write.option("compression", "zstd")
+        try:
+            build.parquet(path)
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_ALREADY_EXISTS":
+                raise
+            build.parquet(own)
+            return read_cases(spark, own)
+    return read_cases(spark, path)

@@ -7,14 +7,16 @@ import tempfile
 from pyspark.sql import functions as F
 
 from docketflow import api
+from docketflow.plans.tidy import tidy_cases
+from docketflow.sources.inputs import read_cases
 
 
 def test_tidy_folder_equals_both_plans(spark, cases):
     d = tempfile.mkdtemp(prefix="cases-", dir="/tmp")
     cases.write.mode("overwrite").parquet(d + "/c")
     a = api.tidy_folder(spark, d + "/c")
-    b = api.tidy_folder(spark, d + "/c", shuffle_free=False)
-    assert a.count() == b.count() > 0 and len(a.columns) == 29
+    b = tidy_cases(read_cases(spark, d + "/c"))
+    assert sorted(map(repr, a.collect())) == sorted(map(repr, b.select(*a.columns).collect())) and len(a.columns) == 29
 
 
 def test_name_operators(spark):

@@ -60,30 +60,3 @@ def test_empty_gap_sum_is_zero(spark):
     c = _case(spark, movs=[(dt.date(2005, 1, 1), "t", None), (dt.date(1999, 1, 1), "t", None)])
     r = case_durations(c).collect()[0]
     assert (r.time_tot, r.time_clean) == (0.0, 0.0)
-
-
-def test_case_spanning_two_input_rows_keeps_source_order(spark):
-    import datetime as dt
-    import tempfile
-    from docketflow.operators.decisions import latest_decision
-    from docketflow.operators.header import header_values
-    root = tempfile.mkdtemp(prefix="span-", dir="/tmp")
-    day = dt.date(2020, 1, 1)
-    first = ("f", "result", ("1", [("Relator", "X")], [("A", "Apelante", "Apelante")], [],
-                             [(day, "Negaram provimento")]))
-    second = ("f", "result", ("1", [("Relator", "Y"), ("Relator", "X")],
-                              [("B", "Apelante", "Apelante")], [], [(day, "Deram provimento")]))
-    spark.createDataFrame([first], CASES_SCHEMA).coalesce(1).write.parquet(root + "/a")
-    spark.createDataFrame([second], CASES_SCHEMA).coalesce(1).write.parquet(root + "/b")
-    c = spark.read.schema(CASES_SCHEMA).parquet(root + "/b", root + "/a")
-    # source order: files by the 64-bit hash of their path, rows in file order
-    order = [r.d for r in c.select(F.xxhash64("_metadata.file_path").alias("h"),
-                                   F.col("_metadata.file_path").contains("/a/").alias("d"))
-             .orderBy("h").collect()]
-    a_first = order[0]
-    assert [r.value for r in header_values(c).collect()] == ["X@Y" if a_first else "Y@X"]
-    assert party_sides(c).collect()[0].ativo == ("A\nB" if a_first else "B\nA")
-    assert latest_decision(c).collect()[0].decision == (
-        "Negaram provimento" if a_first else "Deram provimento")
-    # and the same answer on every run
-    assert [r.value for r in header_values(c).collect()] == [r.value for r in header_values(c).collect()]
