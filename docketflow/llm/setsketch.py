@@ -12,9 +12,9 @@ No bucket is paired with itself.  Texts with equal shingle sets are one class
 from the start.  In each bucket every class is compared with one leader (a
 different one in each bucket), and the verified links are contracted to
 components.  Only where a bucket still holds several components are classes
-of different components compared, sketch against sketch in blocks inside the
-tasks, so a link that no leader has shown is still found; what the estimate
-cannot rule out is verified too.
+of different components compared, in blocks inside the tasks, so a link that
+no leader has shown is still found: sketch against sketch, and what the
+estimate cannot rule out on the full sets.
 
 Defined cases: a text with fewer words than a shingle is one shingle, its
 whole sequence; a null text or one without words has none and is linked with
@@ -47,7 +47,9 @@ BASE, RATE, LIMIT = 1.02, 20.0, 65_535
 #: similarity at or above the threshold.
 SURE = 18.0
 #: Classes of one bucket that are compared at once with as many others.
-BLOCK = 512
+BLOCK = 256
+#: Bytes of sets that a task compares at once, about.
+PART_BYTES = 16 << 20
 _rng = np.random.default_rng(85)
 _MULTIPLY = _rng.integers(0, 2**63, REGISTERS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _FLIP = _rng.integers(0, 2**63, REGISTERS, dtype=np.uint64)
@@ -190,31 +192,50 @@ def _linked(batches):
             yield pa.RecordBatch.from_arrays([part.column("a"), part.column("b")], ["a", "b"]).filter(pa.array(ok))
 
 
+def _sets(batches):
+    for rows, data, off in text_slices(batches):
+        h, hoff = shingles(data, off)
+        yield of_rows(rows, shingles=pa.array([h[a:b].tobytes() for a, b in zip(hoff[:-1], hoff[1:], strict=True)], pa.binary()))
+
+
 def _across(keys: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-    """Pairs of classes of one bucket and different components whose sketches
-    can be similar."""
+    """Links between classes of one bucket and different components: those
+    that the sketches cannot rule out are confirmed on the full sets.  One
+    link from a class to a component is enough."""
     a, b = [], []
     rows = rows.sort_values(["key", "lo", "hi", "cid"], kind="stable")
     reg = _regs(rows["registers"])
-    cid, root, n, block = (rows[c].to_numpy() for c in ("cid", "root", "n", "block"))
+    cid, root, n, block, packed = (rows[c].to_numpy() for c in ("cid", "root", "n", "block", "shingles"))
     bound = rows[["key", "lo", "hi"]].to_numpy()
     cuts = np.flatnonzero(np.r_[True, (bound[1:] != bound[:-1]).any(1), True])
     lo, hi = bound[:, 1], bound[:, 2]
     for s, e in zip(cuts[:-1], cuts[1:], strict=True):
         left = np.arange(s, e)[block[s:e] == lo[s]]
-        right = np.arange(s, e)[block[s:e] == hi[s]] if hi[s] != lo[s] else left
+        right = np.arange(s, e)[block[s:e] == hi[s]]
+        place = None
         for i in left:
             js = right[(root[right] != root[i]) & ((cid[right] > cid[i]) if hi[s] == lo[s] else True)]
-            if not len(js):
-                continue
             # as many equal registers as any similarity near the threshold leaves
             js = js[(reg[js] == reg[i]).sum(1) >= REGISTERS // 2]
             if len(js):
                 js = js[_possible(np.broadcast_to(reg[i], (len(js), REGISTERS)), reg[js], np.full(len(js), n[i]), n[js])]
-                a.append(np.full(len(js), cid[i]))
-                b.append(cid[js])
+            if not len(js):
+                continue
+            if place is None:  # the bucket's shingles, numbered
+                flat = np.concatenate([np.frombuffer(x, np.uint64) for x in packed[s:e]])
+                off = np.concatenate([[0], np.cumsum(n[s:e])])
+                different, place = np.unique(flat, return_inverse=True)
+                mark = np.zeros(len(different), bool)
+            own = place[off[i - s]:off[i - s + 1]]
+            mark[own] = True
+            both = np.array([np.count_nonzero(mark[place[off[j]:off[j + 1]]]) for j in js - s])
+            mark[own] = False
+            js = js[100 * both >= THRESHOLD * (n[i] + n[js] - both)]
+            js = js[np.unique(root[js], return_index=True)[1]]
+            a.append(np.full(len(js), cid[i]))
+            b.append(cid[js])
     a, b = (np.concatenate(x) if x else np.empty(0, np.int64) for x in (a, b))
-    return pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)}).drop_duplicates()
+    return pd.DataFrame({"a": a, "b": b})
 
 
 def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
@@ -260,17 +281,21 @@ def near_duplicates(docs: DataFrame, rid: str | None = None) -> DataFrame:
     links = _verified(pairs, texts)
     roots = components(links)
 
-    # buckets that still hold several components
+    # buckets that still hold several components, one of those with the same
+    # classes
     rooted = buckets.where("size > 2").join(roots.withColumnRenamed("node", "cid"), "cid", "left").withColumn("root", F.coalesce("root", "cid"))
-    mixed = rooted.groupBy("key").agg(F.min("root").alias("_lo"), F.max("root").alias("_hi")).where("_lo < _hi").select("key")
+    mixed = rooted.groupBy("key").agg(
+        F.min("root").alias("_lo"), F.max("root").alias("_hi"), F.count(F.lit(1)).alias("_n"),
+        F.bit_xor(F.xxhash64("cid")).alias("_x"), F.bit_xor(F.xxhash64("cid", F.lit(7))).alias("_y"))
+    mixed = mixed.where("_lo < _hi").groupBy("_n", "_x", "_y").agg(F.min("key").alias("key")).select("key")
     open_ = rooted.join(mixed, "key").withColumn("blocks", F.ceil(F.col("size") / BLOCK).cast("long"))
     open_ = open_.withColumn("block", F.pmod(F.xxhash64("cid", F.lit(1)), "blocks"))
     open_ = stored(open_.join(some, "cid").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
         "key", "cid", "root", "n", "registers", "block", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi")), "near-open")
-    parts = max(1, open_.count() // (16 * BLOCK))
-    found = open_.groupBy(F.pmod(F.xxhash64("key", "lo", "hi"), F.lit(parts)).alias("part")).applyInPandas(_across, "a long, b long")
-    found = stored(found.distinct().join(pairs, ["a", "b"], "left_anti"), "near-pairs")
-    more = _verified(found, texts)
+    size = open_.agg(F.coalesce(F.sum(8 * F.col("n") + 2 * REGISTERS), F.lit(0))).first()[0]
+    sets = texts.join(open_.select("cid").distinct(), "cid", "left_semi").mapInArrow(_sets, "cid long, shingles binary")
+    part = F.pmod(F.xxhash64("key", "lo", "hi"), F.lit(1 + size // PART_BYTES))
+    more = stored(open_.join(sets, "cid").groupBy(part.alias("part")).applyInPandas(_across, "a long, b long").distinct(), "near-links")
 
     # links between the components so far
     r = roots.withColumnRenamed("root", "_r")
