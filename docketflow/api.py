@@ -3,25 +3,31 @@
 * :func:`tidy_folder` -- parsed case records in a folder -> 29-column table;
 * :func:`fix_names`, :func:`fold_companies`, :func:`market_segments` --
   the party-name operators, on any DataFrame column;
-* :func:`day_batch` -- one day's saved docket pages -> movement rows
-  appended to the day-partitioned store.
+* :func:`day_batch` -- one day's saved docket pages -> movement rows in the
+  day-partitioned store; :func:`day_cases` -> case records with their pages'
+  movements; :func:`tidy_store` -- the table of all stored days.
 """
 
 from __future__ import annotations
 
+import datetime as dt
+import warnings
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .functions.names import display_name, fix_names as _fix_names, is_legal_person
 from .operators.companies import company_label, label_distinct, segment_label
-from .operators.movements import parse_pages, tidy_movements
+from .operators.cases import order_column
+from .operators.movements import merge_movements, parse_pages, tidy_movements
 from .plans.tidy_fast import tidy_cases_fast
-from .sources.inputs import read_cases
+from .session import stored
+from .sources.inputs import read_case_days, read_cases, write_case_days
 from .sources.pages import read_saved_pages
-from .sources.store import write_daily
+from .sources.store import write_daily, yesterday
 
 __all__ = ["tidy_folder", "fix_names", "is_legal_person", "display_name", "fold_companies",
-           "market_segments", "day_batch"]
+           "market_segments", "day_batch", "day_cases", "tidy_store"]
 
 
 def tidy_folder(spark: SparkSession, path: str, cut_time: float = 3) -> DataFrame:
@@ -46,14 +52,36 @@ def market_segments(df: DataFrame, col: str, dst: str = "segment") -> DataFrame:
     return label_distinct(df, col, lambda d: d.select(col, segment_label(F.col(col)).alias(dst)))
 
 
-def day_batch(spark: SparkSession, pages_dir: str, store_dir: str, day: str,
+def day_batch(spark: SparkSession, pages_dir: str, store_dir: str, day: dt.date | str | None = None,
               name_glob: str | None = None) -> DataFrame:
-    """Parse one day's saved docket pages (one file per page) and write the
-    movement rows into the day's partition of ``store_dir`` (replacing that
-    day only).  Returns the day's parsed status rows (``return`` is
-    ``'error'`` for unreadable pages)."""
-    pages = read_saved_pages(spark, pages_dir, name_glob).withColumn(
-        "sg_date", F.lit(day).cast("date"))
-    parsed = parse_pages(pages)
-    write_daily(tidy_movements(parsed), store_dir, order_col="file")
-    return parsed.select("file", "sg_date", "return", "error").distinct()
+    """Parse one day's saved docket pages (one file per page; the day is
+    yesterday unless given) and write the movement rows into the day's
+    partition of ``store_dir``, replacing that day only.  Returns the pages'
+    status rows (``return`` is ``'error'`` for unreadable pages) and warns if
+    there are errors."""
+    day = day or yesterday()
+    pages = read_saved_pages(spark, pages_dir, name_glob).withColumn("sg_date", F.lit(str(day)).cast("date"))
+    parsed = stored(parse_pages(pages), "parsed-pages")
+    write_daily(tidy_movements(parsed), store_dir, order_cols=["file", "pos"], days=[day])
+    status = parsed.select("file", "sg_date", "return", "error").distinct()
+    if not status.where("return = 'error'").isEmpty():
+        warnings.warn(f"There were errors reading pages of {day}.", stacklevel=2)
+    return status
+
+
+def day_cases(spark: SparkSession, cases: DataFrame, pages_dir: str, store_dir: str, day: dt.date | str | None = None,
+              name_glob: str | None = None) -> None:
+    """One day's case records (the nested ``cases`` schema, ``file`` naming the
+    saved page) with the movements read from their pages, stored by day."""
+    day = day or yesterday()
+    pages = read_saved_pages(spark, pages_dir, name_glob).withColumn("sg_date", F.lit(str(day)).cast("date"))
+    parsed = stored(parse_pages(pages), "parsed-pages")
+    if "src_row" not in cases.columns:
+        cases = cases.select("*", order_column(cases))
+    records = merge_movements(cases, parsed).withColumn("sg_date", F.coalesce("sg_date", F.lit(str(day)).cast("date")))
+    write_case_days(records, store_dir, days=[day])
+
+
+def tidy_store(spark: SparkSession, store_dir: str, cut_time: float = 3) -> DataFrame:
+    """The tidy table of all stored days."""
+    return tidy_cases_fast(read_case_days(spark, store_dir), cut_time)

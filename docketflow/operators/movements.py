@@ -1,14 +1,16 @@
 """Docket pages to movement rows.
 
 Only reading the HTML runs in Python (``mapInPandas``, Arrow batches of
-pages, stdlib ``html.parser``); every step after it is a native
+pages, one regex pass over each page's tags); every step after it is a native
 expression:
 
 * P1  fault-tolerant map: every page yields its rows, or ONE row with
       ``return = 'error'`` when it cannot be read -- a failure never fails
       the job;
 * P5  the first table holding the movements element, first row as header
-      (snake-cased), keep the ``data`` and ``movimento`` columns;
+      (snake-cased), keep the ``data`` and ``movimento`` columns; end tags may
+      be left out, cells may span columns and rows; a page without that table
+      is an error;
 * P6  drop rows whose date text is empty;
 * P7  split the movement text at newline+tab into title and body (rest
       stays in the body, missing body is NULL);
@@ -59,6 +61,9 @@ _TOKEN = re.compile(
     r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>"
     r"|([^<]+|<)", re.S | re.I)
 _ID = re.compile(r"""(?:^|\s)id\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
+_SPAN = re.compile(r"""(?:^|\s)(col|row)span\s*=\s*["']?\s*(\d+)""", re.I)
+_CHARSET = re.compile(rb"""<meta[^>]{0,1000}?charset\s*=\s*["']?\s*([a-zA-Z0-9_:.-]+)""", re.I)
+_MAX_COLSPAN = 1000  # HTML's own limit
 _VOID = frozenset(["br", "img", "hr", "meta", "link", "input", "col", "area", "base",
                    "wbr", "source", "param", "embed", "track"])
 
@@ -77,7 +82,7 @@ def _scan(page: str, sink: "_Tables") -> None:
                     a = _ID.search(attrs)
                     if a:
                         ident = _html.unescape(a.group(1) or a.group(2) or a.group(3) or "")
-                sink.handle_starttag(tag, ident)
+                sink.handle_starttag(tag, ident, attrs)
                 if tag in _VOID or attrs.rstrip().endswith("/"):
                     sink.handle_endtag(tag)
         elif m.group(5) is not None:
@@ -85,6 +90,70 @@ def _scan(page: str, sink: "_Tables") -> None:
             sink.handle_data(_html.unescape(text) if "&" in text else text)
 
 
+def decode_page(raw: bytes) -> str:
+    """Text of a saved page: byte order mark, else the declared charset, else
+    UTF-8, else Windows-1252 (which is also what Latin-1 means in HTML)."""
+    for mark, name in ((b"\xef\xbb\xbf", "utf-8-sig"), (b"\xff\xfe", "utf-16"), (b"\xfe\xff", "utf-16")):
+        if raw.startswith(mark):
+            return raw.decode(name, "replace")
+    found = _CHARSET.search(raw[:8192])
+    if found:
+        name = found[1].decode("ascii").lower()
+        name = "cp1252" if name in ("iso-8859-1", "latin1", "latin-1", "us-ascii", "windows-1252") else name
+        try:
+            return raw.decode(name, "replace")
+        except LookupError:
+            pass
+    try:
+        return raw.decode("utf-8")
+    except UnicodeDecodeError:
+        return raw.decode("cp1252", "replace")
+
+
+class _Table:
+    """Rows of one table; a cell that spans columns or rows is repeated."""
+
+    def __init__(self):
+        self.rows: list[list[str]] = []
+        self.heads: list[bool] = []        # per row: made of <th> only
+        self.row: list[tuple] | None = None
+        self.cell: list[str] | None = None
+        self.kind: tuple = ()
+        self.below: dict[int, tuple] = {}  # column -> (rows to come, text)
+
+    def end_cell(self):
+        if self.cell is not None:
+            self.row.append(("".join(self.cell).strip(), *self.kind))
+            self.cell = None
+
+    def end_row(self):
+        self.end_cell()
+        if self.row:
+            out, below = [], {}
+
+            def from_above():
+                while len(out) in self.below:
+                    left, text = self.below[len(out)]
+                    if left > 1:
+                        below[len(out)] = (left - 1, text)
+                    out.append(text)
+
+            for text, _, wide, high in self.row:
+                from_above()
+                for _ in range(wide):
+                    if high != 1:
+                        below[len(out)] = (high - 1 if high else 1 << 30, text)
+                    out.append(text)
+            from_above()
+            self.rows.append(out)
+            self.heads.append(all(c[1] for c in self.row))
+            self.below = below
+        self.row = None
+
+
+_CELLS, _ROWS, _GROUPS = ("td", "th"), ("tr",), ("thead", "tbody", "tfoot")
+
+
 class _Tables:
     """Collects every table's rows of cell texts and remembers the first
     table that is the parent of the movements element or of anything
@@ -92,72 +161,75 @@ class _Tables:
 
     def __init__(self):
         self.open: list[str] = []          # open element tags
-        self.tables: list[list[list[str]]] = []
-        self.heads: list[list[bool]] = []  # per table: row made of <th> only
-        self.table_stack: list[int] = []   # open tables (indices)
-        self.cells: list[list[str] | None] = []  # current row per open table
-        self.cell_text: list[list[str] | None] = []
-        self.cell_is_th: list[list[bool]] = []
+        self.stack: list[_Table] = []      # open tables
         self.inside_target = 0             # depth of the movements element, 0 = not inside
-        self.target: int | None = None
-
-    def _parent_is_table(self) -> bool:
-        return bool(self.open) and self.open[-1] == "table"
-
-    def handle_starttag(self, tag, ident):
+        self.target: _Table | None = None
+
+    def handle_starttag(self, tag, ident, attrs=""):
+        # an open cell, row or row group ends where the next one begins
+        if self.stack:
+            for kinds in {"td": [_CELLS], "th": [_CELLS], "tr": [_CELLS, _ROWS]}.get(
+                    tag, [_CELLS, _ROWS, _GROUPS] if tag in _GROUPS else []):
+                self._end_open(kinds)
+            if tag in _CELLS and self.stack[-1].row is None:
+                self.open.append("tr")
+                self.stack[-1].row = []
         if self.target is None and (ident == MOVEMENTS_ELEMENT_ID or self.inside_target):
-            if self._parent_is_table() and self.table_stack:
-                self.target = self.table_stack[-1]
+            if self.open and self.open[-1] == "table" and self.stack:
+                self.target = self.stack[-1]
         if ident == MOVEMENTS_ELEMENT_ID and not self.inside_target:
             self.inside_target = len(self.open) + 1
         self.open.append(tag)
         if tag == "table":
-            self.tables.append([])
-            self.heads.append([])
-            self.table_stack.append(len(self.tables) - 1)
-            self.cells.append(None)
-            self.cell_text.append(None)
-            self.cell_is_th.append([])
-        elif tag == "tr" and self.table_stack:
-            self.cells[-1] = []
-            self.cell_is_th[-1] = []
-        elif tag in ("td", "th") and self.table_stack and self.cells[-1] is not None:
-            self.cell_text[-1] = []
-            self.cell_is_th[-1].append(tag == "th")
+            self.stack.append(_Table())
+        elif tag == "tr" and self.stack:
+            self.stack[-1].row = []
+        elif tag in _CELLS and self.stack:
+            span = {k.lower(): int(n) for k, n in _SPAN.findall(attrs)}
+            self.stack[-1].cell = []
+            self.stack[-1].kind = (tag == "th", min(max(span.get("col", 1), 1), _MAX_COLSPAN), span.get("row", 1))
+
+    def _end_open(self, kinds):
+        for tag in reversed(self.open):
+            if tag == "table":
+                return
+            if tag in kinds:
+                self.handle_endtag(tag)
+                return
 
     def handle_endtag(self, tag):
         if tag not in self.open:
             return
+        # an end tag reaches no further than the table it stands in
+        if tag != "table" and "table" in self.open:
+            inner = len(self.open) - 1 - self.open[::-1].index("table")
+            if tag not in self.open[inner:]:
+                return
         while self.open:
-            t = self.open.pop()
-            self._close(t)
-            if self.inside_target and len(self.open) < self.inside_target:
-                self.inside_target = 0
-            if t == tag:
+            if self._pop() == tag:
                 break
 
-    def _close(self, tag):
-        if not self.table_stack:
-            return
-        if tag in ("td", "th") and self.cell_text[-1] is not None:
-            self.cells[-1].append("".join(self.cell_text[-1]).strip())
-            self.cell_text[-1] = None
-        elif tag == "tr" and self.cells[-1] is not None:
-            if self.cells[-1]:
-                ti = self.table_stack[-1]
-                self.tables[ti].append(self.cells[-1])
-                self.heads[ti].append(all(self.cell_is_th[-1]))
-            self.cells[-1] = None
-        elif tag == "table":
-            self.table_stack.pop()
-            self.cells.pop()
-            self.cell_text.pop()
-            self.cell_is_th.pop()
+    def _pop(self):
+        tag = self.open.pop()
+        if self.stack:
+            if tag in _CELLS:
+                self.stack[-1].end_cell()
+            elif tag == "tr":
+                self.stack[-1].end_row()
+            elif tag == "table":
+                self.stack.pop()
+        if self.inside_target and len(self.open) < self.inside_target:
+            self.inside_target = 0
+        return tag
+
+    def finish(self):
+        while self.open:
+            self._pop()
 
     def handle_data(self, data):
-        for texts in self.cell_text:
-            if texts is not None:
-                texts.append(data)
+        for t in self.stack:
+            if t.cell is not None:
+                t.cell.append(data)
 
 
 def snake_names(names: list[str]) -> list[str]:
@@ -177,14 +249,15 @@ def snake_names(names: list[str]) -> list[str]:
 
 def movement_rows(html: str) -> list[tuple[str | None, str | None]]:
     """``(date text, movement text)`` per data row of the movements table.
-    No such table gives no rows; a table without the two columns raises."""
+    A page without that table, or a table without the two columns, raises."""
     p = _Tables()
     _scan(html, p)
+    p.finish()
     if p.target is None:
-        return []
-    rows, heads = p.tables[p.target], p.heads[p.target]
+        raise ValueError("page has no movement table")
+    rows, heads = p.target.rows, p.target.heads
     if not rows:
-        return []
+        raise ValueError("movement table is empty")
     width = max(len(r) for r in rows)
     if heads[0]:
         header, body = rows[0], rows[1:]
@@ -201,20 +274,24 @@ def movement_rows(html: str) -> list[tuple[str | None, str | None]]:
     return out
 
 
+def _read(html) -> list[tuple[str | None, str | None]]:
+    if html is None:
+        raise ValueError("page has no content")
+    return movement_rows(html if isinstance(html, str) else decode_page(bytes(html)))
+
+
 def _parse_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for pdf in batches:
         recs = []
         for file, day, html in zip(pdf["file"], pdf["sg_date"], pdf["html"]):
             try:
-                if html is None:
-                    raise ValueError("page has no content")
-                rows = movement_rows(html)
+                rows = _read(html)
                 for i, (d, t) in enumerate(rows):
                     recs.append((file, day, "result", None, i, d, t))
                 if not rows:  # readable page without movements: status row only
                     recs.append((file, day, "result", None, None, None, None))
             except Exception as e:  # per-page failure becomes a status row
-                recs.append((file, day, "error", f"{type(e).__name__}: {e}"[:200],
+                recs.append((file, day, "error", f"{type(e).__name__}: {e}",
                              None, None, None))
         out = pd.DataFrame.from_records(
             recs, columns=["file", "sg_date", "return", "error", "pos", "movement_txt", "x3"])
@@ -223,10 +300,29 @@ def _parse_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def parse_pages(pages: DataFrame) -> DataFrame:
-    """P1 + P5: ``(file, sg_date, html)`` -> raw movement rows + status."""
+    """P1 + P5: ``(file, sg_date, html)`` -> raw movement rows + status.
+    ``html`` is text, or the saved bytes in their own charset."""
     return pages.select("file", "sg_date", "html").mapInPandas(_parse_batches, PARSED_SCHEMA)
 
 
+def _status_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for pdf in batches:
+        n = []
+        for html in pdf["html"]:
+            try:
+                n.append(len(_read(html)))
+            except Exception:  # per-page failure becomes a status
+                n.append(-1)
+        yield pd.DataFrame({"sg_date": pdf["sg_date"], "n": pd.array(n, dtype="int64")})
+
+
+def page_counts(pages: DataFrame) -> DataFrame:
+    """P2 straight from pages: a number per page leaves Python, no rows."""
+    n = pages.select("sg_date", "html").mapInPandas(_status_batches, "sg_date date, n long")
+    return n.groupBy("sg_date").agg(F.count_if(F.col("n") < 0).cast("bigint").alias("n_error"),
+                                    F.count_if(F.col("n") > 0).cast("bigint").alias("n_pages_with_rows"))
+
+
 def parse_dmy(text) -> "F.Column":
     """Day-month-year text to DATE; ``-``, ``.`` or blank separators; a
     two-digit year is 20yy up to 68 and 19yy from 69; anything else,
@@ -259,3 +355,26 @@ def page_status(parsed: DataFrame) -> DataFrame:
         F.count_distinct(F.when((F.col("return") != "error") & F.col("pos").isNotNull(),
                                 F.col("file"))).cast("bigint")
         .alias("n_pages_with_rows"))
+
+
+def nested_movements(parsed: DataFrame) -> DataFrame:
+    """Per page: ``file``, ``page_return``, and its movements as the record
+    holds them (``movs``, in page order)."""
+    rows = tidy_movements(parsed).groupBy("file").agg(F.transform(
+        F.array_sort(F.collect_list(F.struct("pos", "movement", "title", "txt"))),
+        lambda x: F.struct(x["movement"].alias("movement"), x["title"].alias("title"), x["txt"].alias("txt"))).alias("movs"))
+    pages = parsed.groupBy("file", "sg_date").agg(F.max_by("return", F.col("return") == "error").alias("page_return"))
+    return pages.join(rows, "file", "left")
+
+
+def merge_movements(cases: DataFrame, parsed: DataFrame) -> DataFrame:
+    """Case records with the movements of their pages and the pages' day: a
+    page that cannot be read makes its record an error; a record without a
+    page keeps what it has."""
+    pages = nested_movements(parsed)
+    both = cases.join(pages, "file", "left")
+    empty = F.array().cast(cases.schema["output"].dataType["movs"].dataType)
+    movs = F.when(F.col("page_return").isNull(), F.col("output.movs")).otherwise(F.coalesce("movs", empty))
+    status = F.when(F.col("page_return") == "error", F.lit("error")).otherwise(F.col("return"))
+    rest = [c for c in cases.columns if c not in ("return", "output")]
+    return both.select(*rest, status.alias("return"), F.col("output").withField("movs", movs).alias("output"), "sg_date")

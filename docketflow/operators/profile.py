@@ -29,7 +29,7 @@ def criminal_outcomes(tidy: DataFrame) -> DataFrame:
 
 def age_from_serial(serial: Column, as_of: str) -> Column:
     """Years between ``as_of`` and the day ``serial`` days after 1900-01-01."""
-    days = serial.try_cast("double").cast("int")
+    days = serial.try_cast("double").try_cast("int")
     born = F.date_add(F.lit(SERIAL_ORIGIN).cast("date"), days)
     return F.datediff(F.lit(as_of).cast("date"), born).cast("double") / F.lit(DAYS_PER_YEAR)
 

@@ -341,7 +341,7 @@ SELECT file, sg_date, CAST(pos AS INTEGER) AS pos,
        {_sqp.format(x='title')} AS title, {_sqp.format(x='body')} AS txt
 FROM pr WHERE trim(date_txt) <> ''""",
     "page_status": with_(fixtures=["fx_page_rows", "fx_page_files"]) + """
-SELECT sg_date, CAST(count(*) FILTER (WHERE shape = 'missing') AS BIGINT) AS n_error,
+SELECT sg_date, CAST(count(*) FILTER (WHERE shape <> 'table') AS BIGINT) AS n_error,
        CAST(count(*) FILTER (WHERE shape = 'table' AND EXISTS
             (SELECT 1 FROM fx_page_rows r WHERE r.k = f.k)) AS BIGINT) AS n_pages_with_rows
 FROM fx_page_files f GROUP BY sg_date""",
@@ -366,3 +366,16 @@ FROM (SELECT {sq(unacc('upper(p.name)'))} AS nm FROM ok o JOIN fx_parts p ON p.k
 GROUP BY 1""",
 })
 ORACLE["streamed_movements"] = ORACLE["docket_movements"]
+
+# pages -> records -> store -> tidy: the page's rows are the case's movements,
+# and a page that cannot be read drops its record
+_PAGE_OK = """ok AS (SELECT c.id1, c.file, c.k FROM fx_case c LEFT JOIN fx_page_files f ON f.file = c.file
+  WHERE c.status <> 'error' AND coalesce(f.shape, 'table') = 'table'{rows})"""
+_PAGE_MOVS = """m_long AS (SELECT o.id1, o.file, p.movement FROM ok o JOIN fx_page_files f ON f.file = o.file
+  JOIN (SELECT k, CAST(try_strptime(replace(trim(date_txt), '-', '/'), '%d/%m/%Y') AS DATE) AS movement
+        FROM fx_page_rows WHERE trim(date_txt) <> '') p ON p.k = f.k
+  WHERE p.movement > DATE '2000-01-01')"""
+_movs = M_CTES[1]
+ORACLE["stored_tidy"] = with_(*[_PAGE_OK.format(rows="") if c == OK else _PAGE_MOVS + _movs[_movs.index(",\ngaps AS"):] if c == _movs else c
+                               for c in TIDY_CTES]) + """
+SELECT * FROM tidy"""

@@ -6,6 +6,7 @@ derived from them) over the whole data; nothing is sampled or capped.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,9 +23,9 @@ from ..operators import parties as PA
 from ..operators import profile as PR
 from ..operators import movements as MV
 from ..operators import search as SE
-from ..session import scratch_path
+from ..session import scratch_path, stored
 from ..sources.fixtures import Fixtures
-from ..sources.inputs import _fingerprint, cases_for
+from ..sources.inputs import _fingerprint, cases_for, read_case_days, write_case_days
 from ..sources.pages import build_docket_pages, build_search_pages
 from ..sources.store import read_daily, write_daily
 from . import tidy as T
@@ -114,7 +115,7 @@ def docket_movements(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def page_status(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return MV.page_status(MV.parse_pages(build_docket_pages(Fixtures(spark, sf_dir))))
+    return MV.page_counts(build_docket_pages(Fixtures(spark, sf_dir)))
 
 
 def search_results(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -128,15 +129,25 @@ def lawsuit_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 def daily_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Write the day-partitioned search results, read every day back."""
     path = scratch_path(spark, "store", _fingerprint(spark, sf_dir), "search_index")
-    write_daily(search_results(spark, sf_dir), path, order_col="n_result")
+    write_daily(search_results(spark, sf_dir), path, order_cols=["n_result"])
     return read_daily(spark, path, "id_lawsuit STRING, n_result BIGINT, sg_date DATE")
 
 
+def stored_tidy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Saved pages to the tidy table: page movements become the records'
+    movements, records are stored by day, the table is made from the store."""
+    cases = cases_for(spark, sf_dir)
+    none = F.lit(None).cast(cases.schema["output"].dataType["movs"].dataType)
+    cases = cases.withColumn("output", F.col("output").withField("movs", none))
+    parsed = stored(MV.parse_pages(build_docket_pages(Fixtures(spark, sf_dir))), "parsed-pages")
+    path = scratch_path(spark, "store", _fingerprint(spark, sf_dir), f"cases-{uuid.uuid4().hex}")
+    write_case_days(MV.merge_movements(cases, parsed), path)
+    return TF.tidy_cases_fast(read_case_days(spark, path))
+
+
 def streamed_movements(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The page job as a stream: pages land as files, an ``availableNow``
     stream parses them into the day-partitioned store, which is read back."""
-    import uuid
-
     from ..streaming.daily_ingest import run_once
     run = scratch_path(spark, "stream", _fingerprint(spark, sf_dir), uuid.uuid4().hex)
     pages = build_docket_pages(Fixtures(spark, sf_dir))
@@ -198,4 +209,5 @@ QUERIES: dict[str, Query] = {
     "lawsuit_ids": lawsuit_ids,
     "daily_store": daily_store,
     "streamed_movements": streamed_movements,
+    "stored_tidy": stored_tidy,
 }

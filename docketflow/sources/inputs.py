@@ -17,9 +17,10 @@ import uuid
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
-from ..operators.cases import source_row
+from ..operators.cases import SOURCE_ROW, source_row
 from ..session import scratch_path
 from .fixtures import BASE_TABLES, FIXTURE_SQL, Fixtures, build_cases
+from .store import write_daily
 
 CASES_SCHEMA = (
     "file STRING, return STRING, output STRUCT<id1: STRING, "
@@ -80,3 +81,13 @@ def cases_for(spark: SparkSession, sf_dir: str) -> DataFrame:
             build.parquet(own)
             return read_cases(spark, own)
     return read_cases(spark, path)
+
+
+def write_case_days(cases: DataFrame, path: str, days: list | None = None) -> None:
+    """S3: case records by day (``sg_date``), in the order of their source."""
+    write_daily(cases, path, order_cols=["file", SOURCE_ROW], days=days)
+
+
+def read_case_days(spark: SparkSession, path: str) -> DataFrame:
+    """The stored case records of all days, each with its place in the store."""
+    return spark.read.schema(CASES_SCHEMA + ", sg_date DATE").parquet(path).select("*", source_row())

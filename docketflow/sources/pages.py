@@ -35,10 +35,15 @@ def build_docket_pages(fx: Fixtures) -> DataFrame:
              .otherwise(F.col("title"))
     cell = F.concat(title, F.when(F.col("body").isNotNull(),
                                   F.concat(F.lit("\n\t"), F.col("body"))).otherwise(F.lit("")))
-    tr = F.concat(F.lit('<tr class="fundoClaro"><td width="120" class="dataMovimentacao">'),
-                  F.col("date_txt"), F.lit('</td><td valign="top"> </td>'
-                                           '<td class="descricaoMovimentacao">\n'),
-                  cell, F.lit("</td></tr>\n"))
+    # some pages leave out end tags, some let the text span the empty column
+    def shaped(end_cell: str, end_row: str, between: str):
+        return F.concat(F.lit('<tr class="fundoClaro"><td width="120" class="dataMovimentacao">'), F.col("date_txt"),
+                        F.lit(end_cell + between.format(end_cell)), cell, F.lit(end_cell + end_row + "\n"))
+
+    apart, across = '<td valign="top"> {}<td class="descricaoMovimentacao">\n', '<td colspan="2" class="descricaoMovimentacao">\n'
+    k = F.col("k")
+    tr = (F.when((k % 3 == 1) & (k % 4 == 2), shaped("", "", across)).when(k % 3 == 1, shaped("", "", apart))
+          .when(k % 4 == 2, shaped("</td>", "</tr>", across)).otherwise(shaped("</td>", "</tr>", apart)))
     rows = r.groupBy("k").agg(F.array_join(F.transform(
         F.array_sort(F.collect_list(F.struct("pos", tr.alias("tr")))), lambda x: x["tr"]),
         "").alias("trs"))
@@ -71,10 +76,11 @@ def build_search_pages(fx: Fixtures) -> DataFrame:
 
 
 def read_saved_pages(spark: SparkSession, folder: str, name_glob: str | None = None) -> DataFrame:
-    """S4/S5: each saved file as one row ``(file, html)``; ``name_glob``
-    keeps matching file names only (e.g. ``*page*``)."""
-    r = spark.read
+    """S4/S5: each saved file as one row ``(file, html)``: its absolute path
+    and its bytes, whose charset the page parser reads; ``name_glob`` keeps
+    matching file names only (e.g. ``*page*``)."""
+    r = spark.read.format("binaryFile")
     if name_glob:
         r = r.option("pathGlobFilter", name_glob)
-    df = r.text(folder, wholetext=True)
-    return df.select(F.col("_metadata.file_path").alias("file"), F.col("value").alias("html"))
+    path = F.regexp_replace("path", "^file:/+", "/")
+    return r.load(folder).select(path.alias("file"), F.col("content").alias("html"))

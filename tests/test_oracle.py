@@ -6,8 +6,7 @@ from docketflow.plans.oracle import ORACLE
 from docketflow.plans.registry import QUERIES
 from oracle_compare import compare, duck
 
-SLOW = {"daily_store", "streamed_movements"}
-NAMES = sorted(n for n in QUERIES if n in ORACLE and n not in SLOW)
+NAMES = sorted(n for n in QUERIES if n in ORACLE)
 
 
 @pytest.fixture(scope="module")

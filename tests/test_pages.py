@@ -21,8 +21,40 @@ def test_rows_of_the_movements_table():
                                    ("05/06/2007", None)]
 
 
-def test_no_movements_table_gives_no_rows():
-    assert movement_rows("<html><table><tr><td>x</td></tr></table></html>") == []
+def test_no_movements_table_is_an_error():
+    with pytest.raises(ValueError):
+        movement_rows("<html><table><tr><td>x</td></tr></table></html>")
+
+
+def test_end_tags_left_out():
+    assert movement_rows(T.format("<tr><td>1<td><td>A<tr><td>2<td><td>B")) == [("1", "A"), ("2", "B")]
+    assert movement_rows(T.format("<tr><td>1</td><td></td><td>A</td><tr><td>2</td><td></td><td>B</td></tr>")) == [("1", "A"), ("2", "B")]
+    assert movement_rows(T.format("<td>1<td><td>A")) == [("1", "A")]
+    cut = T.format("<tr><td>1<td><td>A")
+    assert movement_rows(cut[:cut.index("</tbody>")]) == [("1", "A")]
+
+
+def test_cells_that_span():
+    assert movement_rows(T.format('<tr><td>1</td><td colspan=2>A</td></tr>')) == [("1", "A")]
+    assert movement_rows(T.format('<tr><td rowspan="2">1</td><td></td><td>A</td></tr><tr><td></td><td>B</td></tr>')) == [("1", "A"), ("1", "B")]
+    assert movement_rows(T.format('<tr><td rowspan=0>1</td><td></td><td>A</td></tr><tr><td></td><td>B</td></tr><tr><td><td>C')) == [
+        ("1", "A"), ("1", "B"), ("1", "C")]
+
+
+def test_stray_end_tags_inside_a_cell():
+    assert movement_rows("<div>" + T.format("<tr><td>1</div></td><td><td>A")) == [("1", "A")]
+
+
+def test_nested_table_stays_in_its_cell():
+    assert movement_rows(T.format("<tr><td>1<td><td>A<table><tr><td>x<td>y</table>B<tr><td>2<td><td>C")) == [("1", "AxyB"), ("2", "C")]
+
+
+@pytest.mark.parametrize("charset, declared", [("latin-1", "iso-8859-1"), ("cp1252", "windows-1252"), ("utf-8", "utf-8"), ("cp1252", None),
+                                               ("utf-8", None), ("utf-16", None)])
+def test_charsets(charset, declared):
+    from docketflow.operators.movements import decode_page
+    html = (f'<meta http-equiv=x content="text/html; charset={declared}">' if declared else "") + "Título"
+    assert decode_page(html.encode(charset)).endswith("Título")
 
 
 def test_table_without_columns_raises():
@@ -36,15 +68,11 @@ def test_snake_names():
     assert snake_names(["Data", "", "Movimento", "Data"]) == ["data", "x", "movimento", "data_2"]
 
 
-def test_saved_pages_reader_filters_names(spark):
-    d = tempfile.mkdtemp(prefix="pages-", dir="/tmp")
-    for n in ("page_1.html", "page_2.html", "other.html"):
-        with open(os.path.join(d, n), "w") as f:
-            f.write(f"<html>\n{n}\n</html>")
-    df = read_saved_pages(spark, d, "*page*")
-    got = sorted((os.path.basename(r.file), r.html) for r in df.collect())
-    assert got == [("page_1.html", "<html>\npage_1.html\n</html>"),
-                   ("page_2.html", "<html>\npage_2.html\n</html>")]
+def test_saved_pages_reader_filters_names(spark, tmp_path):
+    for n in ("page_1.html", "page 2.html", "other.html"):
+        (tmp_path / n).write_bytes(f"<html>\n{n}\n</html>".encode())
+    got = sorted((r.file, bytes(r.html)) for r in read_saved_pages(spark, str(tmp_path), "*page*").collect())
+    assert got == [(f"{tmp_path}/{n}", f"<html>\n{n}\n</html>".encode()) for n in ("page 2.html", "page_1.html")]
 
 
 def test_day_month_year_parse(spark):
@@ -74,7 +102,7 @@ def test_tokenizer_matches_stdlib_parser():
             self.sink = sink
 
         def handle_starttag(self, tag, attrs):
-            self.sink.handle_starttag(tag, dict(attrs).get("id"))
+            self.sink.handle_starttag(tag, dict(attrs).get("id"), "")
             if tag in MV._VOID:
                 self.sink.handle_endtag(tag)
 
@@ -88,17 +116,21 @@ def test_tokenizer_matches_stdlib_parser():
         def handle_data(self, data):
             self.sink.handle_data(data)
 
+    def found(t):
+        t.finish()
+        return t.target and (t.target.rows, t.target.heads)
+
     def via_std(page):
         t = MV._Tables()
         p = Std(t)
         p.feed(page)
         p.close()
-        return t.target, t.tables
+        return found(t)
 
     def via_regex(page):
         t = MV._Tables()
         MV._scan(page, t)
-        return t.target, t.tables
+        return found(t)
 
     rnd = random.Random(3)
     bits = ['<table class="x"><tr><td>decoy</td></tr></table>', "<!-- <table> -->",
