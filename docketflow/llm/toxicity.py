@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACE, hash_limit, of_rows, text_slices
+from .common import SPACE, hash_limit, of_rows, stored, text_slices
 from .langid import held_out
 from .ngrams import code_points, grams, squeezed, tables
 
@@ -60,27 +60,47 @@ def _sample_grams(batches):
                                          ["toxic", "h", "grams"])
 
 
-def fit(g: np.ndarray, off: np.ndarray, y: np.ndarray, steps: int = 300, ridge: float = 2e-4):
-    """Weights per n-gram and intercept.  r: log of the ratio of smoothed
-    shares of toxic and other texts that hold the n-gram; a logistic
-    regression is fitted to the features scaled by r.  Ratios within LEAST_Z
-    standard errors of zero are chance and dropped: a long text holds nearly
-    all common n-grams, whose noise would add up."""
-    d, n = 1 << BITS, len(y)
-    each = np.diff(off)
-    yf = np.repeat(y.astype(bool), each)
-    pos, neg = np.bincount(g[yf], minlength=d) + 1.0, np.bincount(g[~yf], minlength=d) + 1.0
-    r = np.log(pos / (y.sum() + 2.0)) - np.log(neg / (n - y.sum() + 2.0))
+def _count_grams(batches):
+    """How many toxic and other texts of the sample hold each n-gram."""
+    total = np.zeros((2, 1 << BITS), np.int64)
+    for batch in batches:
+        for toxic, g in zip(batch.column("toxic").to_pylist(), batch.column("grams").to_pylist(), strict=True):
+            total[toxic, np.frombuffer(g, np.int32)] += 1
+    seen = np.flatnonzero(total.any(0))
+    yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(total[1, seen]), pa.array(total[0, seen])], ["gram", "pos", "neg"])
+
+
+def ratios(pos: np.ndarray, neg: np.ndarray, n_pos: int, n_neg: int) -> np.ndarray:
+    """Log of the ratio of the smoothed shares of toxic and other texts that
+    hold each n-gram.  Ratios within LEAST_Z standard errors of zero are chance
+    and dropped: a long text holds nearly all common n-grams, whose noise
+    would add up."""
+    pos, neg = pos + 1.0, neg + 1.0
+    r = np.log(pos / (n_pos + 2.0)) - np.log(neg / (n_neg + 2.0))
     r[np.abs(r) < LEAST_Z * np.sqrt(1 / pos + 1 / neg)] = 0
-    row = np.repeat(np.arange(n), each)
-    use = r[g] != 0
-    g, row = g[use], row[use]
+    return r
+
+
+def _only(shared):
+    def run(batches):
+        use = shared.value
+        for batch in batches:
+            each = (np.frombuffer(g, np.int32) for g in batch.column("grams").to_pylist())
+            yield pa.RecordBatch.from_arrays([batch.column("toxic"), batch.column("h"), pa.array([g[use[g]].tobytes() for g in each], pa.binary())],
+                                             ["toxic", "h", "grams"])
+    return run
+
+
+def fit(g: np.ndarray, off: np.ndarray, y: np.ndarray, r: np.ndarray, steps: int = 300, ridge: float = 2e-4):
+    """Weights per n-gram and intercept of a logistic regression over the
+    n-grams with a ratio, each scaled by it."""
+    d, n = len(r), len(y)
+    row = np.repeat(np.arange(n), np.diff(off))
     x = r[g].astype(np.float32)
-    weight = 1.0 / n
     v, b, m, s = np.zeros(d), 0.0, np.zeros(d), np.zeros(d)
     for step in range(1, steps + 1):
         z = np.bincount(row, weights=x * v[g], minlength=n) + b
-        e = (1 / (1 + np.exp(-np.clip(z, -30, 30))) - y) * weight
+        e = (1 / (1 + np.exp(-np.clip(z, -30, 30))) - y) / n
         grad = np.bincount(g, weights=x * e[row], minlength=d) + ridge * v
         m, s = 0.9 * m + 0.1 * grad, 0.99 * s + 0.01 * grad * grad
         v -= 0.05 * (m / (1 - 0.9 ** step)) / (np.sqrt(s / (1 - 0.99 ** step)) + 1e-6)
@@ -102,13 +122,23 @@ def train(docs: DataFrame, labels: DataFrame, sample_each: int = SAMPLE_EACH):
         rule = rule | (F.col("toxic") == c) & (F.col("h") <= hash_limit(sample_each / n))
     # the sample is bounded by sample_each, so it can be broadcast
     rows = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(F.broadcast(known.where(rule)), "doc_id")
-    got = rows.select("toxic", "h", "text").mapInArrow(_sample_grams, "toxic int, h long, grams binary").toPandas()
+    # the sample stays on the executors: the driver gets a count per n-gram,
+    # then only the n-grams that tell the classes apart
+    sample = stored(rows.select("toxic", "h", "text").mapInArrow(_sample_grams, "toxic int, h long, grams binary"), "toxic-sample")
+    size = {r["toxic"]: r["count"] for r in sample.groupBy("toxic").count().collect()}
+    if len(size) < 2:
+        return None, float(next(iter(size), 0))
+    count = (sample.mapInArrow(_count_grams, "gram long, pos long, neg long").groupBy("gram")
+             .agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg")).toPandas())
+    total = np.zeros((2, 1 << BITS), np.int64)
+    for i, c in enumerate(("pos", "neg")):
+        total[i, count["gram"].to_numpy()] = count[c].to_numpy()
+    r = ratios(*total, size[1], size[0])
+    use = docs.sparkSession.sparkContext.broadcast(r != 0)
+    got = sample.mapInArrow(_only(use), "toxic int, h long, grams binary").toPandas()
     got = got.sort_values(["toxic", "h"], kind="stable")
-    y = got["toxic"].to_numpy()
-    if len(set(y)) < 2:
-        return None, float(y.mean()) if len(y) else 0.0
     off = np.cumsum([0, *(len(x) // 4 for x in got["grams"])])
-    return fit(np.frombuffer(b"".join(got["grams"]), np.int32), off, y)
+    return fit(np.frombuffer(b"".join(got["grams"]), np.int32), off, got["toxic"].to_numpy(), r)
 
 
 def _scorer(shared):
