@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from ..functions import decisions as D
 from ..functions import names as N
-from ..functions.rules import COMARCA_FIXES, COMPANY_RULES, SEGMENT_RULES, TITLES, as_patterns
+from ..functions.rules import COMARCA_FIXES, COMPANY_RULES, SEGMENT_RULES, as_patterns
 from ..functions.text import ACCENTED, BR_NUMBER, UNACCENTED
 from ..operators import header as H
 from ..operators import parties as P
@@ -239,7 +239,7 @@ def _crim_case(rules, default):
 
 # distinct party names of parsed cases (for the name operators)
 NAMES = "names AS (SELECT DISTINCT p.name FROM ok o JOIN fx_parts p ON p.k = o.k)"
-PARTY_ROWS = "prow AS (SELECT o.id1 AS n_processo, o.file, CAST(p.pos AS INTEGER) AS pos, p.name FROM ok o JOIN fx_parts p ON p.k = o.k)"
+PARTY_ROWS = "prow AS (SELECT o.id1 AS n_processo, o.file, CAST(p.pos AS INTEGER) AS pos, p.name, p.label, p.segment FROM ok o JOIN fx_parts p ON p.k = o.k)"
 _company = case_last("name_fixed", as_patterns(COMPANY_RULES))
 _segment = case_last("company", as_patterns(SEGMENT_RULES))
 
@@ -311,11 +311,11 @@ SELECT name, {pj_sql(unacc('name'), fix_sql(unacc('name')))} AS is_pj,
     "legal_person_narrow": with_(OK, NAMES) + f"""
 SELECT name, {pj_sql(unacc('name'), fix_sql(unacc('name')), N.PJ_NARROW)} AS is_pj_narrow FROM names""",
     "major_companies": with_(OK, PARTY_ROWS) + f"""
-SELECT n_processo, file, pos, name_fixed, {_company} AS company
+SELECT n_processo, file, pos, name_fixed, coalesce(label, {_company}) AS company
 FROM (SELECT *, {fix_sql(unacc('name'))} AS name_fixed FROM prow) t""",
     "market_segment": with_(OK, PARTY_ROWS) + f"""
-SELECT n_processo, file, pos, company, {_segment} AS segment
-FROM (SELECT *, {_company} AS company
+SELECT n_processo, file, pos, company, coalesce(segment, {_segment}) AS segment
+FROM (SELECT *, coalesce(label, {_company}) AS company
       FROM (SELECT *, {fix_sql(unacc('name'))} AS name_fixed FROM prow) t0) t""",
     "criminal_outcomes": with_(*TIDY_CTES) + f"""
 SELECT n_processo, file, info_classe_crim, decision,
@@ -325,7 +325,11 @@ SELECT n_processo, file, info_classe_crim, decision,
 FROM tidy WHERE info_classe_crim IN ('Writ', 'Recurso')""",
     "titles": with_(OK, H_LONG) + """
 SELECT data AS code, CAST(count(*) AS BIGINT) AS n_rows, """ + (
-        "CASE " + " ".join(f"WHEN data = {q(a)} THEN {q(b)}" for a, b in TITLES) + " END"
+        "CASE data WHEN 'nome' THEN 'Nome' WHEN 'info_assunto' THEN 'Assunto' WHEN 'assunto' THEN 'Assunto' "
+        "WHEN 'camara' THEN 'Câmara' WHEN 'area' THEN 'Área' WHEN 'faculdade' THEN 'Faculdade' "
+        "WHEN 'origem' THEN 'Origem' WHEN 'idade' THEN 'Idade' WHEN 'tem_pos' THEN 'Tem pós' "
+        "WHEN 'tempo_form' THEN 'Tempo formado' WHEN 'tempo_' THEN 'Tempo tribunal' "
+        "WHEN 'tempo_2inst' THEN 'Tempo tribunal' WHEN 'cidade' THEN 'Cidade origem' END"
     ) + """ AS title FROM h_long GROUP BY data""",
 }
 ORACLE["tidy_cases_fast"] = ORACLE["tidy_cases"]

@@ -13,6 +13,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .brands import BRANDS
+
 BASE_TABLES = ["orders", "lineitem", "customer"]
 
 # line items numbered per order (0-based); the six columns break all ties
@@ -147,6 +149,12 @@ SELECT k, 9 AS pos, 'Situação' AS data,
        CASE WHEN k % 3 = 1 THEN 'Encerrado' ELSE 'Em andamento' END AS value
 FROM (""" + _BR + """) b
 UNION ALL
+SELECT k, 11 AS pos,
+       CASE k % 10 WHEN 0 THEN 'nome' WHEN 1 THEN 'info_assunto' WHEN 2 THEN 'Câmara' WHEN 3 THEN 'Faculdade'
+                   WHEN 4 THEN 'idade' WHEN 5 THEN 'tem_pos' WHEN 6 THEN 'tempo_form' WHEN 7 THEN 'tempo_'
+                   WHEN 8 THEN 'tempo_2inst' ELSE 'Cidade' END AS data, 'x' AS value
+FROM (""" + _BR + """) b
+UNION ALL
 SELECT k, 10 AS pos, 'Chave rara' AS data, 'única' AS value
 FROM (""" + _BR + """) b WHERE k = 0
 """
@@ -162,6 +170,14 @@ _NAMES16 = """CASE {x} % 16
   WHEN 13 THEN 'Prefeitura Municipal de Rio Claro' WHEN 14 THEN 'C&A Modas Ltda'
   ELSE 'TIM Celular S.A.' END"""
 
+def _brand(x: str, field: int) -> str:
+    return f"CASE {x} % {len(BRANDS)} " + " ".join(f"WHEN {i} THEN '{b[field]}'" for i, b in enumerate(BRANDS)) + " END"
+
+
+# a third of the passive parties is a company of the brand list; its label and
+# segment stand beside it for the check
+_IS_BRAND = "l_partkey % 53 <> 0 AND l_partkey % 3 = 1"
+
 # parties: pos 0 active party, pos 1 a lawyer, pos 2.. one passive party per line
 FX_PARTS = """
 SELECT o_orderkey AS k, 0 AS pos,
@@ -169,20 +185,24 @@ SELECT o_orderkey AS k, 0 AS pos,
          || CASE WHEN o_custkey % 2 = 0 THEN '' ELSE ' ' || CAST(o_custkey AS STRING) END AS name,
        'Apelante' AS part,
        CASE o_custkey % 6 WHEN 0 THEN 'Apelante' WHEN 1 THEN 'Agravante' WHEN 2 THEN 'Autora'
-                          WHEN 3 THEN 'Impetrante' WHEN 4 THEN 'APELANTE' ELSE 'Suscitante' END AS role
+                          WHEN 3 THEN 'Impetrante' WHEN 4 THEN 'APELANTE' ELSE 'Suscitante' END AS role,
+       CAST(NULL AS STRING) AS label, CAST(NULL AS STRING) AS segment
 FROM {orders}
 UNION ALL
 SELECT o_orderkey AS k, 1 AS pos, 'Dr. Paulo ' || CAST(o_custkey % 97 AS STRING) AS name,
        CASE o_orderkey % 3 WHEN 0 THEN 'Apelante' WHEN 1 THEN 'Apelado' ELSE 'Terceiro' END AS part,
-       CASE WHEN o_orderkey % 2 = 0 THEN 'Advogado' ELSE 'Advogada' END AS role
+       CASE WHEN o_orderkey % 2 = 0 THEN 'Advogado' ELSE 'Advogada' END AS role,
+       CAST(NULL AS STRING) AS label, CAST(NULL AS STRING) AS segment
 FROM {orders}
 UNION ALL
 SELECT l_orderkey AS k, pos + 2 AS pos,
-       CASE WHEN l_partkey % 53 = 0 THEN NULL
+       CASE WHEN l_partkey % 53 = 0 THEN NULL WHEN l_partkey % 3 = 1 THEN """ + _brand("l_partkey", 0) + """
             ELSE """ + _NAMES16.format(x="l_suppkey") + """ END AS name,
        CASE WHEN l_suppkey % 2 = 0 THEN 'Apelado' ELSE 'Agravado' END AS part,
        CASE l_partkey % 5 WHEN 0 THEN 'Apelado' WHEN 1 THEN 'Agravado' WHEN 2 THEN 'Recorrida'
-                          WHEN 3 THEN 'Sucitado' ELSE 'Suscitado' END AS role
+                          WHEN 3 THEN 'Sucitado' ELSE 'Suscitado' END AS role,
+       CASE WHEN """ + _IS_BRAND + " THEN " + _brand("l_partkey", 1) + """ END AS label,
+       CASE WHEN """ + _IS_BRAND + " THEN " + _brand("l_partkey", 2) + """ END AS segment
 FROM ({fx_line}) l
 """
 
