@@ -294,8 +294,10 @@ def near_duplicates(docs: DataFrame, rid: str | None = None) -> DataFrame:
         "key", "cid", "root", "n", "registers", "block", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi")), "near-open")
     size = open_.agg(F.coalesce(F.sum(8 * F.col("n") + 2 * REGISTERS), F.lit(0))).first()[0]
     sets = texts.join(open_.select("cid").distinct(), "cid", "left_semi").mapInArrow(_sets, "cid long, shingles binary")
-    part = F.pmod(F.xxhash64("key", "lo", "hi"), F.lit(1 + size // PART_BYTES))
-    more = stored(open_.join(sets, "cid").groupBy(part.alias("part")).applyInPandas(_across, "a long, b long").distinct(), "near-links")
+    # as many tasks as the sets need, whatever the session's number
+    parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1 + size // PART_BYTES)
+    dealt = open_.join(sets, "cid").withColumn("part", F.pmod(F.xxhash64("key", "lo", "hi"), F.lit(parts))).repartition(parts, "part")
+    more = stored(dealt.groupBy("part").applyInPandas(_across, "a long, b long").distinct(), "near-links")
 
     # links between the components so far
     r = roots.withColumnRenamed("root", "_r")
