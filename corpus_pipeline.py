@@ -1,6 +1,9 @@
 """The corpus pipeline: five operators over ``documents``, each stage's rows
 written as Parquet and read again as the next one's documents.
 
+What a stage drops grows with the documents, so it meets them by a shuffle at
+every size and is never broadcast.
+
 A stage gets (spark, docs, sf_dir).  All but the last return the columns of
 ``documents``; copies that the mix repeats are rows of their own.  Rows with
 null ids, null texts, ties or repeats are treated as the operators' modules
@@ -33,14 +36,14 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def deduplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each component stays: the one of least id."""
     rows = stored(docs.select(*COLUMNS).withColumn("_row", F.monotonically_increasing_id()), "pipeline-rows")
-    gone = near_duplicates(rows, "_row").where("rid <> keeper").select(F.col("rid").alias("_row"))
+    gone = near_duplicates(rows, "_row").where("rid <> keeper").select(F.col("rid").alias("_row")).hint("merge")
     return rows.join(gone, "_row", "left_anti").select(*COLUMNS)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a window of the benchmark go."""
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    hit = phrase_matches(docs, benchmark).select(F.col("doc_id").alias("_d"), F.col("text_hash").alias("_h")).distinct()
+    hit = phrase_matches(docs, benchmark).select(F.col("doc_id").alias("_d"), F.col("text_hash").alias("_h")).distinct().hint("merge")
     on = F.col("doc_id").eqNullSafe(F.col("_d")) & (F.xxhash64(F.col("text").cast("string")) == F.col("_h"))
     return docs.select(*COLUMNS).join(hit, on, "left_anti")
 
