@@ -117,3 +117,30 @@ def op3_quality(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     return quality(docs).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
                                 "base_failed", "kept")
+
+
+_SPACE = r"[\x20\x09-\x0D]"
+
+ORACLE_SQL = rf"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, CAST(source AS VARCHAR) AS host, coalesce(text, '') AS t FROM documents),
+w AS (SELECT r, list_filter(string_split_regex(t, '{_SPACE}+'), lambda x: x <> '') AS w FROM d),
+lines AS (SELECT r, unnest(string_split(t, chr(10))) AS l FROM d),
+dup AS (SELECT r, count(*) - count(DISTINCT l) AS n FROM lines WHERE regexp_matches(l, '[^\x20\x09-\x0D]') GROUP BY r),
+p AS (SELECT r, s, w[s] || ' ' || w[s + 1] || ' ' || w[s + 2] AS x FROM (SELECT r, w, unnest(range(1, len(w) - 1)) AS s FROM w)),
+twice AS (SELECT r, s FROM (SELECT r, s, count(*) OVER (PARTITION BY r, x) AS n FROM p) WHERE n > 1),
+covered AS (SELECT r, count(DISTINCT s + k) AS n FROM twice, range(3) AS t(k) GROUP BY r),
+c AS (SELECT d.*, CAST(len(w.w) AS BIGINT) AS n_words, CAST(coalesce(list_sum(list_transform(w.w, lambda x: length(x))), 0) AS BIGINT) AS word_chars,
+             CAST(length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+             CAST(coalesce(dup.n, 0) AS BIGINT) AS n_dup_lines, CAST(coalesce(covered.n, 0) AS BIGINT) AS n_repeat_words
+      FROM d JOIN w USING (r) LEFT JOIN dup USING (r) LEFT JOIN covered USING (r)),
+f AS (SELECT *, n_words < {MIN_WORDS} OR 100 * n_repeat_words > {MAX_REPEAT_PERCENT} * n_words AS base_failed FROM c),
+hosts AS (SELECT host, CAST(count(*) AS DOUBLE) AS n, CAST(count(*) FILTER (WHERE base_failed) AS DOUBLE) AS x FROM f WHERE host IS NOT NULL GROUP BY host),
+total AS (SELECT sum(n) AS n, sum(x) AS x, count(*) AS k, sum(x * x / n) AS q, sum(n * n) AS nn FROM hosts),
+prior AS (SELECT n, x / n AS m, x / n * (1 - x / n) AS chance,
+                 CASE WHEN k > 1 THEN (q - x * x / n - (k - 1) * (x / n * (1 - x / n))) / (n - nn / n) ELSE 0 END AS between_ FROM total),
+weight AS (SELECT m, CASE WHEN between_ <= 0 THEN n ELSE greatest(chance / between_ - 1, 0) END AS v FROM prior),
+rates AS (SELECT host, (x + v * m) / (n + v) AS rate FROM hosts, weight)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND coalesce(rate <= {HOST_LIMIT}, true) AS kept
+FROM f LEFT JOIN rates USING (host)
+"""

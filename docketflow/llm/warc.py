@@ -207,3 +207,14 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     files = write_archives(rows, uri)
     return read_archives(files, uri, id_type).select(
         F.col("id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+ORACLE_SQL = f"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS t FROM pages),
+d AS (SELECT page_id, CAST(strlen(t) AS BIGINT) AS payload_bytes, sha1(t) AS payload_digest FROM p),
+f AS (SELECT *, max(page_id) OVER (PARTITION BY payload_digest, payload_bytes) AS first_ FROM d)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= {MIN_REVISIT} AND page_id IS DISTINCT FROM first_ THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= {MIN_REVISIT} AND page_id IS DISTINCT FROM first_ THEN first_ END AS refers_to
+FROM f
+"""

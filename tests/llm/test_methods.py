@@ -314,3 +314,14 @@ def test_proximity(spark):
 def test_native_plan(spark, sf_dir):
     plan = QUERIES["op4_decontaminate"](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+# -- SQL ---------------------------------------------------------------------------------------
+
+@pytest.mark.parametrize("name", ["op3_quality", "op4_decontaminate", "op10_warc"])
+def test_sql(spark, sf_dir, name):
+    from oracle_compare import compare
+
+    from docketflow.llm.oracle import ORACLE
+    r = compare(spark, name, QUERIES[name], ORACLE[name], sf_dir)
+    assert r["cols_equal"] and r["values_equal"], r["diff"]
