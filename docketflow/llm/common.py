@@ -10,9 +10,11 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
-from ..session import scratch_path
+from ..session import scratch_path, stored
+
+__all__ = ["LOWER", "SPACE", "hash_limit", "mix", "of_rows", "scratch", "span_hashes", "spans", "stored", "text_slices", "window_hashes"]
 
 #: Bytes of text handled at once in a Python worker.  A single longer text
 #: is handled alone and whole.
@@ -39,15 +41,6 @@ def scratch(spark: SparkSession, name: str) -> str:
     return scratch_path(spark, "llm", f"{name}-{uuid.uuid4().hex}")
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written below the shared folder and read back: a cut of the
-    lineage that survives lost executors."""
-    spark = df.sparkSession
-    path = scratch(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def text_slices(batches: Iterable[pa.RecordBatch], column: str = "text",
                 limit: int = SLICE_BYTES) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
     """(rows, bytes, offsets) for runs of rows of at most ``limit`` bytes of
