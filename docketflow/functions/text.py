@@ -42,11 +42,6 @@ def squish(c: Column | str) -> Column:
     return F.trim(F.regexp_replace(col(c), WHITESPACE_RUN, " "))
 
 
-def trim_ws(c: Column | str) -> Column:
-    """Trim Unicode whitespace (incl. NBSP) at both ends, keep the inside."""
-    return F.regexp_replace(col(c), r"^\p{IsWhite_Space}+|\p{IsWhite_Space}+$", "")
-
-
 def unaccent(c: Column | str) -> Column:
     return F.translate(col(c), ACCENTED, UNACCENTED)
 

@@ -348,15 +348,6 @@ def tidy_movements(parsed: DataFrame) -> DataFrame:
         squish(title).alias("title"), squish(body).alias("txt"))
 
 
-def page_status(parsed: DataFrame) -> DataFrame:
-    """P2: per-day count of unreadable pages (``n_error > 0`` = warn)."""
-    return parsed.groupBy("sg_date").agg(
-        F.count_if(F.col("return") == "error").cast("bigint").alias("n_error"),
-        F.count_distinct(F.when((F.col("return") != "error") & F.col("pos").isNotNull(),
-                                F.col("file"))).cast("bigint")
-        .alias("n_pages_with_rows"))
-
-
 def nested_movements(parsed: DataFrame) -> DataFrame:
     """Per page: ``file``, ``page_return``, and its movements as the record
     holds them (``movs``, in page order)."""

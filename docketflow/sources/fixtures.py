@@ -265,9 +265,6 @@ FROM {orders}
 # people with a birth serial (days from 1900-01-01) and a birth text
 FX_PEOPLE = """
 SELECT c_custkey AS person_id,
-       CASE c_custkey % 6 WHEN 0 THEN 'João da Silva' WHEN 1 THEN '  maria  aparecida souza '
-                          WHEN 2 THEN 'José Ângelo Conceição' WHEN 3 THEN 'Ana'
-                          WHEN 4 THEN 'Lúcia de Fátima 2' ELSE 'Pedro Álvares Cabral' END AS nome,
        CASE WHEN c_custkey % 23 = 0 THEN NULL
             ELSE CAST(18000 + (c_custkey * 37) % 20000 AS STRING) END AS nasc_serial,
        CASE c_custkey % 4 WHEN 0 THEN 'nascido em ' || CAST(1940 + c_custkey % 50 AS STRING)
