@@ -18,7 +18,7 @@ __all__ = ["LOWER", "SPACE", "hash_limit", "mix", "of_rows", "scratch", "span_ha
 
 #: Bytes of text handled at once in a Python worker.  A single longer text
 #: is handled alone and whole.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 
 #: ``[\x20\x09-\x0D]`` as a lookup table over bytes (UTF-8 never uses these
 #: bytes inside a longer character).

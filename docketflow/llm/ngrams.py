@@ -11,14 +11,14 @@ def tables() -> tuple[np.ndarray, np.ndarray]:
     """Per code point: its lower case (where that is one character), and
     whether it is a letter."""
     if not _tables:
-        chars = [chr(i) for i in range(0x110000)]
-        low = np.arange(0x110000, dtype=np.uint32)
-        for i, c in enumerate(chars):
-            x = c.lower()
-            if x != c and len(x) == 1:
+        n = 0x110000
+        low = np.arange(n, dtype=np.uint32)
+        for i in range(n):
+            x = chr(i).lower()
+            if len(x) == 1 and ord(x) != i:
                 low[i] = ord(x)
         _tables["low"] = low
-        _tables["letter"] = np.array([c.isalpha() for c in chars])
+        _tables["letter"] = np.fromiter((chr(i).isalpha() for i in range(n)), bool, n)
     return _tables["low"], _tables["letter"]
 
 
