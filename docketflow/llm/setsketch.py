@@ -37,8 +37,9 @@ from .common import LOWER, mix, of_rows, span_hashes, spans, stored, text_slices
 from .components import components
 
 SHINGLE = 5
-#: Links have 100 * intersection >= THRESHOLD * union.
+#: Links have 100 * intersection >= threshold * union; this one is op6's.
 THRESHOLD = 85
+#: Bands for THRESHOLD: a pair at it is in no common band with 2e-7.
 BAND_ROWS, BANDS = 5, 26
 REGISTERS = BAND_ROWS * BANDS
 #: SetSketch parameters: base, rate, and the greatest register.
@@ -133,12 +134,12 @@ def likelihood(more, less, equal, n_a, n_b, threshold: float = THRESHOLD / 100):
     return j[row, best], total[row, best] - high
 
 
-def _possible(a: np.ndarray, b: np.ndarray, n_a, n_b) -> np.ndarray:
+def _possible(a: np.ndarray, b: np.ndarray, n_a, n_b, threshold: int) -> np.ndarray:
     n_a, n_b = np.asarray(n_a, np.int64), np.asarray(n_b, np.int64)
-    ok = 100 * np.minimum(n_a, n_b) >= THRESHOLD * np.maximum(n_a, n_b)
+    ok = 100 * np.minimum(n_a, n_b) >= threshold * np.maximum(n_a, n_b)
     i = np.flatnonzero(ok)
     more, less = (a[i] > b[i]).sum(1), (a[i] < b[i]).sum(1)
-    _, lead = likelihood(more, less, REGISTERS - more - less, n_a[i], n_b[i])
+    _, lead = likelihood(more, less, REGISTERS - more - less, n_a[i], n_b[i], threshold / 100)
     ok[i] = lead <= SURE
     return ok
 
@@ -161,35 +162,39 @@ def _regs(column) -> np.ndarray:
     return np.frombuffer(b"".join(column), np.uint16).reshape(-1, REGISTERS)
 
 
-def _estimate(batches):
-    for b in batches:
-        if b.num_rows:
-            ok = _possible(_regs(b.column("ra").to_pylist()), _regs(b.column("rb").to_pylist()),
-                           b.column("na").to_numpy(), b.column("nb").to_numpy())
-            yield pa.RecordBatch.from_arrays([b.column("a"), b.column("b")], ["a", "b"]).filter(pa.array(ok))
+def _estimator(threshold: int):
+    def estimate(batches):
+        for b in batches:
+            if b.num_rows:
+                ok = _possible(_regs(b.column("ra").to_pylist()), _regs(b.column("rb").to_pylist()),
+                               b.column("na").to_numpy(), b.column("nb").to_numpy(), threshold)
+                yield pa.RecordBatch.from_arrays([b.column("a"), b.column("b")], ["a", "b"]).filter(pa.array(ok))
+    return estimate
 
 
-def _linked(batches):
+def _linker(threshold: int):
     """Pairs of texts whose full shingle sets are similar enough."""
-    for batch in batches:
-        step = 64
-        for i in range(0, batch.num_rows, step):
-            part = batch.slice(i, step)
-            n = part.num_rows
-            sets = []
-            for c in ("ta", "tb"):
-                got = [shingles(data, off) for _, data, off in text_slices([part.select([c])], c, 1 << 62)]
-                sets.append(got[0])
-            (h, ho), (g, go) = sets
-            ra, rb = np.repeat(np.arange(n), np.diff(ho)), np.repeat(np.arange(n), np.diff(go))
-            key = np.concatenate([mix(h ^ mix(ra.astype(np.uint64))), mix(g ^ mix(rb.astype(np.uint64)))])
-            row = np.concatenate([ra, rb])
-            order = np.argsort(key)
-            twice = key[order[1:]] == key[order[:-1]]
-            both = np.bincount(row[order[1:]][twice], minlength=n)
-            union = np.diff(ho) + np.diff(go) - both
-            ok = (union > 0) & (100 * both >= THRESHOLD * union)
-            yield pa.RecordBatch.from_arrays([part.column("a"), part.column("b")], ["a", "b"]).filter(pa.array(ok))
+    def linked(batches):
+        for batch in batches:
+            step = 64
+            for i in range(0, batch.num_rows, step):
+                part = batch.slice(i, step)
+                n = part.num_rows
+                sets = []
+                for c in ("ta", "tb"):
+                    got = [shingles(data, off) for _, data, off in text_slices([part.select([c])], c, 1 << 62)]
+                    sets.append(got[0])
+                (h, ho), (g, go) = sets
+                ra, rb = np.repeat(np.arange(n), np.diff(ho)), np.repeat(np.arange(n), np.diff(go))
+                key = np.concatenate([mix(h ^ mix(ra.astype(np.uint64))), mix(g ^ mix(rb.astype(np.uint64)))])
+                row = np.concatenate([ra, rb])
+                order = np.argsort(key)
+                twice = key[order[1:]] == key[order[:-1]]
+                both = np.bincount(row[order[1:]][twice], minlength=n)
+                union = np.diff(ho) + np.diff(go) - both
+                ok = (union > 0) & (100 * both >= threshold * union)
+                yield pa.RecordBatch.from_arrays([part.column("a"), part.column("b")], ["a", "b"]).filter(pa.array(ok))
+    return linked
 
 
 def _sets(batches):
@@ -198,56 +203,63 @@ def _sets(batches):
         yield of_rows(rows, shingles=pa.array([h[a:b].tobytes() for a, b in zip(hoff[:-1], hoff[1:], strict=True)], pa.binary()))
 
 
-def _across(keys: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+def _crosser(threshold: int):
     """Links between classes of one bucket and different components: those
     that the sketches cannot rule out are confirmed on the full sets.  One
     link from a class to a component is enough."""
-    a, b = [], []
-    rows = rows.sort_values(["key", "lo", "hi", "cid"], kind="stable")
-    reg = _regs(rows["registers"])
-    cid, root, n, block, packed = (rows[c].to_numpy() for c in ("cid", "root", "n", "block", "shingles"))
-    bound = rows[["key", "lo", "hi"]].to_numpy()
-    cuts = np.flatnonzero(np.r_[True, (bound[1:] != bound[:-1]).any(1), True])
-    lo, hi = bound[:, 1], bound[:, 2]
-    for s, e in zip(cuts[:-1], cuts[1:], strict=True):
-        left = np.arange(s, e)[block[s:e] == lo[s]]
-        right = np.arange(s, e)[block[s:e] == hi[s]]
-        place = None
-        for i in left:
-            js = right[(root[right] != root[i]) & ((cid[right] > cid[i]) if hi[s] == lo[s] else True)]
-            # as many equal registers as any similarity near the threshold leaves
-            js = js[(reg[js] == reg[i]).sum(1) >= REGISTERS // 2]
-            if len(js):
-                js = js[_possible(np.broadcast_to(reg[i], (len(js), REGISTERS)), reg[js], np.full(len(js), n[i]), n[js])]
-            if not len(js):
-                continue
-            if place is None:  # the bucket's shingles, numbered
-                flat = np.concatenate([np.frombuffer(x, np.uint64) for x in packed[s:e]])
-                off = np.concatenate([[0], np.cumsum(n[s:e])])
-                different, place = np.unique(flat, return_inverse=True)
-                mark = np.zeros(len(different), bool)
-            own = place[off[i - s]:off[i - s + 1]]
-            mark[own] = True
-            both = np.array([np.count_nonzero(mark[place[off[j]:off[j + 1]]]) for j in js - s])
-            mark[own] = False
-            js = js[100 * both >= THRESHOLD * (n[i] + n[js] - both)]
-            js = js[np.unique(root[js], return_index=True)[1]]
-            a.append(np.full(len(js), cid[i]))
-            b.append(cid[js])
-    a, b = (np.concatenate(x) if x else np.empty(0, np.int64) for x in (a, b))
-    return pd.DataFrame({"a": a, "b": b})
-
-
-def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    def across(keys: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        a, b = [], []
+        rows = rows.sort_values(["key", "lo", "hi", "cid"], kind="stable")
+        reg = _regs(rows["registers"])
+        cid, root, n, block, packed = (rows[c].to_numpy() for c in ("cid", "root", "n", "block", "shingles"))
+        bound = rows[["key", "lo", "hi"]].to_numpy()
+        cuts = np.flatnonzero(np.r_[True, (bound[1:] != bound[:-1]).any(1), True])
+        lo, hi = bound[:, 1], bound[:, 2]
+        for s, e in zip(cuts[:-1], cuts[1:], strict=True):
+            left = np.arange(s, e)[block[s:e] == lo[s]]
+            right = np.arange(s, e)[block[s:e] == hi[s]]
+            place = None
+            for i in left:
+                js = right[(root[right] != root[i]) & ((cid[right] > cid[i]) if hi[s] == lo[s] else True)]
+                # as many equal registers as any similarity near the threshold leaves
+                js = js[(reg[js] == reg[i]).sum(1) >= REGISTERS // 2]
+                if len(js):
+                    js = js[_possible(np.broadcast_to(reg[i], (len(js), REGISTERS)), reg[js], np.full(len(js), n[i]), n[js], threshold)]
+                if not len(js):
+                    continue
+                if place is None:  # the bucket's shingles, numbered
+                    flat = np.concatenate([np.frombuffer(x, np.uint64) for x in packed[s:e]])
+                    off = np.concatenate([[0], np.cumsum(n[s:e])])
+                    different, place = np.unique(flat, return_inverse=True)
+                    mark = np.zeros(len(different), bool)
+                own = place[off[i - s]:off[i - s + 1]]
+                mark[own] = True
+                both = np.array([np.count_nonzero(mark[place[off[j]:off[j + 1]]]) for j in js - s])
+                mark[own] = False
+                js = js[100 * both >= threshold * (n[i] + n[js] - both)]
+                js = js[np.unique(root[js], return_index=True)[1]]
+                a.append(np.full(len(js), cid[i]))
+                b.append(cid[js])
+        a, b = (np.concatenate(x) if x else np.empty(0, np.int64) for x in (a, b))
+        return pd.DataFrame({"a": a, "b": b})
+    return across
+
+
+def _verified(pairs: DataFrame, texts: DataFrame, threshold: int) -> DataFrame:
     ta = texts.select(F.col("cid").alias("a"), F.col("text").alias("ta"))
     tb = texts.select(F.col("cid").alias("b"), F.col("text").alias("tb"))
-    return stored(pairs.join(ta, "a").join(tb, "b").mapInArrow(_linked, "a long, b long"), "near-links")
+    return stored(pairs.join(ta, "a").join(tb, "b").mapInArrow(_linker(threshold), "a long, b long"), "near-links")
 
 
-def near_duplicates(docs: DataFrame, rid: str | None = None) -> DataFrame:
+def near_duplicates(docs: DataFrame, rid: str | None = None, threshold: int = THRESHOLD,
+                    band_rows: int = BAND_ROWS, bands: int = BANDS) -> DataFrame:
     """One row per document: doc_id, text_hash, rid (a number of the row, or
     the column given), n_shingles, component_id and keeper (the rid of the one
-    row of its component to keep)."""
+    row of its component to keep).  Candidates share one of ``bands`` bands of
+    ``band_rows`` registers, at most REGISTERS in all; a lower threshold (in
+    percent) takes shorter or more of them."""
+    if band_rows * bands > REGISTERS:
+        raise ValueError(f"more than {REGISTERS} registers in bands")
     kind = docs.schema["doc_id"].dataType.simpleString()
     number = F.col(rid) if rid else F.monotonically_increasing_id()
     source = docs.select("doc_id", F.col("text").cast("string").alias("text"), *([rid] if rid else [])).withColumn("text_hash", F.xxhash64("text"))
@@ -264,21 +276,21 @@ def near_duplicates(docs: DataFrame, rid: str | None = None) -> DataFrame:
     reps = rows.where("rid = cid").select("cid", "doc_id", "text_hash", "n", "registers")
 
     # buckets with more than one class
-    width = 2 * BAND_ROWS
-    bands = F.array(*(F.xxhash64(F.substring("registers", width * k + 1, width), F.lit(k)) for k in range(BANDS)))
-    keys = reps.select("cid", F.explode(bands).alias("key"))
+    width = 2 * band_rows
+    band = F.array(*(F.xxhash64(F.substring("registers", width * k + 1, width), F.lit(k)) for k in range(bands)))
+    keys = reps.select("cid", F.explode(band).alias("key"))
     lead = keys.groupBy("key").agg(F.min_by("cid", F.xxhash64("cid", "key")).alias("leader"), F.count(F.lit(1)).alias("size"))
     buckets = stored(keys.join(lead.where("size > 1"), "key"), "near-buckets")
 
     some = reps.select("cid", "n", "registers")
     pairs = buckets.where("cid <> leader").select(F.least("cid", "leader").alias("a"), F.greatest("cid", "leader").alias("b")).distinct()
     both = pairs.join(some.toDF("a", "na", "ra"), "a").join(some.toDF("b", "nb", "rb"), "b")
-    pairs = stored(both.mapInArrow(_estimate, "a long, b long"), "near-pairs")
+    pairs = stored(both.mapInArrow(_estimator(threshold), "a long, b long"), "near-pairs")
 
     need = buckets.select("cid").distinct().join(reps.select("cid", F.col("doc_id").alias("_d"), F.col("text_hash").alias("_h")), "cid")
     texts = stored(source.join(need, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("text_hash") == F.col("_h")))
                    .select("cid", "text"), "near-texts")
-    links = _verified(pairs, texts)
+    links = _verified(pairs, texts, threshold)
     roots = components(links)
 
     # buckets that still hold several components, one of those with the same
@@ -297,7 +309,7 @@ def near_duplicates(docs: DataFrame, rid: str | None = None) -> DataFrame:
     # as many tasks as the sets need, whatever the session's number
     parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1 + size // PART_BYTES)
     dealt = open_.join(sets, "cid").withColumn("part", F.pmod(F.xxhash64("key", "lo", "hi"), F.lit(parts))).repartition(parts, "part")
-    more = stored(dealt.groupBy("part").applyInPandas(_across, "a long, b long").distinct(), "near-links")
+    more = stored(dealt.groupBy("part").applyInPandas(_crosser(threshold), "a long, b long").distinct(), "near-links")
 
     # links between the components so far
     r = roots.withColumnRenamed("root", "_r")

@@ -12,6 +12,7 @@ from edge_cases import BENCHMARK, EDGE, PAGE, PAGES
 
 import corpus_pipeline
 from docketflow.llm.registry import QUERIES
+from docketflow.llm.setsketch import near_duplicates
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
@@ -139,3 +140,26 @@ def test_pipeline_stages(spark, edge_dir):
     # one of each group: 1 of two rows, 8 of (8, 9, 10), 13 of (13, 15)
     assert sorted(map(str, single)) == sorted(map(str, [1, None, 5, 7, 8, 11, 12, 13, 14, 16]))
     assert not {1, 8, 12, 13} & set(clean) and {5, 7, 11, 14, 16} <= set(clean)
+
+
+def test_pipeline_near_copies(spark, tmp_path):
+    """Copies at 0.80 to 0.85 leave the pipeline's corpus; op6 links from 0.85."""
+    texts, near = [], []
+    for k in range(12):
+        words = [f"w{k}x{i}" for i in range(100)]
+        changed = ((40, 70), (39, 42), (40, 41), (20, 50, 80))[k % 4]
+        other = [f"z{k}" if i in changed else w for i, w in enumerate(words)]
+        sets = [R.shingle_set(" ".join(t)) for t in (words, other)]
+        near.append(len(sets[0] & sets[1]) / len(sets[0] | sets[1]))
+        texts += [" ".join(words), " ".join(other)]
+    # 80 of 100 shingles, at the threshold itself
+    words = [f"v{i}" for i in range(94)]
+    texts += [" ".join(words), " ".join(words[:84] + [f"u{i}" for i in range(10)])]
+    sets = [R.shingle_set(t) for t in texts[-2:]]
+    near.append(len(sets[0] & sets[1]) / len(sets[0] | sets[1]))
+    assert [sum(x < y for x in near) for y in (0.8, 0.85, 1)] == [3, 10, 13] and near[-1] == 0.8
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in enumerate(texts)], "doc_id long, text string, lang string, source string, n_chars long")
+    got = {r.doc_id for r in corpus_pipeline.deduplicate(spark, docs, str(tmp_path)).collect()}
+    assert got == {i for i in range(len(texts)) if i % 2 == 0 or near[i // 2] < 0.8}
+    linked = {r.doc_id for r in near_duplicates(docs).where("rid = keeper").collect()}
+    assert linked == {i for i in range(len(texts)) if i % 2 == 0 or near[i // 2] < 0.85}
