@@ -25,7 +25,8 @@ ORDERS = (3, 4, 5)
 #: Bound of the training sample: labelled documents of each class.
 SAMPLE_EACH = 4000
 THRESHOLD = 0.7
-#: An n-gram counts when its log ratio is so many standard errors from zero.
+#: An n-gram counts when its log-likelihood ratio against equal shares is that
+#: of so many standard errors.
 LEAST_Z = 4.0
 SEED = 11
 
@@ -70,14 +71,23 @@ def _count_grams(batches):
     yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(total[1, seen]), pa.array(total[0, seen])], ["gram", "pos", "neg"])
 
 
+def evidence(pos: np.ndarray, neg: np.ndarray, n_pos: int, n_neg: int) -> np.ndarray:
+    """Twice the log-likelihood ratio of two shares against one, of each
+    n-gram (the square of its standard errors).  It holds at zero counts,
+    where a Wald error is at least 1 however large the sample is."""
+    def f(k, n):
+        return k * np.log(np.maximum(k, 1e-12) / n) + (n - k) * np.log(np.maximum(n - k, 1e-12) / n)
+
+    pos, neg = np.asarray(pos, float), np.asarray(neg, float)
+    return 2 * (f(pos, n_pos) + f(neg, n_neg) - f(pos + neg, n_pos + n_neg))
+
+
 def ratios(pos: np.ndarray, neg: np.ndarray, n_pos: int, n_neg: int) -> np.ndarray:
     """Log of the ratio of the smoothed shares of toxic and other texts that
-    hold each n-gram.  Ratios within LEAST_Z standard errors of zero are chance
-    and dropped: a long text holds nearly all common n-grams, whose noise
-    would add up."""
-    pos, neg = pos + 1.0, neg + 1.0
-    r = np.log(pos / (n_pos + 2.0)) - np.log(neg / (n_neg + 2.0))
-    r[np.abs(r) < LEAST_Z * np.sqrt(1 / pos + 1 / neg)] = 0
+    hold each n-gram.  Ratios that chance explains (see LEAST_Z) are dropped:
+    a long text holds nearly all common n-grams, whose noise would add up."""
+    r = np.log((pos + 1.0) / (n_pos + 2.0)) - np.log((neg + 1.0) / (n_neg + 2.0))
+    r[evidence(pos, neg, n_pos, n_neg) < LEAST_Z ** 2] = 0
     return r
 
 

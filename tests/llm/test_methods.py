@@ -90,6 +90,13 @@ def test_toxic_words_found(spark):
     assert np.mean([got[i] == t for i, t in labels[800:]]) > 0.97
 
 
+def test_rare_toxic_grams_count():
+    """In no clean document: 12 of 4,000 are beyond chance, 11 are not."""
+    from docketflow.llm.toxicity import ratios
+    r = ratios(np.array([55, 12, 11, 0, 0, 4000, 2000]), np.array([0, 0, 0, 0, 12, 4000, 2000]), 4000, 4000)
+    assert r[0] > 4 and r[1] > 2.5 and r[4] == -r[1] and not r[[2, 3, 5, 6]].any()
+
+
 # -- Brown classes ----------------------------------------------------------------
 
 def test_exchange_is_a_local_optimum():
