@@ -24,6 +24,8 @@ from __future__ import annotations
 
 import html as _html
 import re
+from bisect import bisect_left, bisect_right
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -46,10 +48,10 @@ _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<(?P<raw>script|style|noscript|template|svg|textarea|select|title|iframe|object)\b[^>]*(?:>.*?(?:</(?P=raw)\s*>|\Z)|\Z)"
     r"|<(?P<close>/?)(?P<name>[a-zA-Z][a-zA-Z0-9:-]*)(?P<attr>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?/][^>]*>", re.S | re.I)
 _WORD = re.compile(r"[^\W_]")
-_CLASS = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
+_ATTR = re.compile(r"([^\s=/>\"']+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
 #: Elements whose text is never main text.
 SKIP = frozenset("nav header footer aside form button dialog menu".split())
-#: Words of a class, id or role that mark such an element.
+#: Class tokens, ids and roles that mark such an element.
 SKIP_CLASS = frozenset("""ad ads advert adverts advertisement banner sponsor sponsored promo promotion cookie cookies consent notice
     notices alert popup modal newsletter subscribe nav navbar navigation menu breadcrumb breadcrumbs sidebar header footer comment
     comments reply replies disqus discussion share sharing social related recommended pagination pager contentinfo complementary
@@ -62,49 +64,79 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 _IMPLIED = frozenset("p li dt dd tr td th option".split())
 
 
-def _marked(attr: str) -> bool:
-    for m in _CLASS.finditer(attr):
-        value = (m[1] or m[2] or m[3] or "").lower()
-        if not SKIP_CLASS.isdisjoint(re.split(r"[^a-z0-9]+", value)):
-            return True
+#: Elements that no class marks, nor any element around a main text.
+_MAIN = frozenset("main article".split())
+_PAGE = _MAIN | {"html", "body"}
+#: The id of one of these names its subject.
+_NAMED = frozenset("section h1 h2 h3 h4 h5 h6".split())
+
+
+def _marked(name: str, attr: str) -> bool:
+    for m in _ATTR.finditer(attr):
+        key = m[1].lower()
+        if key in ("class", "role") or key == "id" and name not in _NAMED:
+            value = (m[2] or m[3] or m[4] or "").strip().lower()
+            if not SKIP_CLASS.isdisjoint([value] if key == "id" else value.split()):
+                return True
     return False
 
 
-def tokens(page: str) -> list[tuple]:
+def _skipped(rows: list, ends: dict, opens) -> list[tuple]:
+    """Tokens; the elements that begin at ``opens`` are left out."""
+    out, until = [], -1
+    for i, (key, text, name) in enumerate(rows):
+        if until < i and i in opens:
+            until = ends[i]
+        gone = i <= until
+        out.append(("skip" if gone and (i in ends or key[:1] == "/") else key, text, name, gone or name == "raw"))
+    return out
+
+
+def tokens(page: str, weights: dict | None = None) -> list[tuple]:
     """(kind, text, tag, skipped): words of a text run, or a tag.  kind is
-    the tag's key for the weights, or "" for a text run."""
-    out, at, skip, depth = [], 0, None, 0
+    the tag's key for the weights, or "" for a text run.  A class, id or role
+    leaves out no element around a main text, and none that holds most words
+    of the region found without that rule (beside a main or article element,
+    only those inside it are kept so)."""
+    rows, at, named, marked, mains, open_, ends = [], 0, [], [], [], {}, {}
     for m in _TOKEN.finditer(page):
         if m.start() > at:
-            out.append(("", page[at:m.start()], None, skip is not None))
+            rows.append(("", page[at:m.start()], None))
         at = m.end()
         if m["raw"]:
-            out.append((m["raw"].lower(), "", "raw", True))
+            rows.append((m["raw"].lower(), "", "raw"))
             continue
         if m["name"] is None:
             continue
-        name = m["name"].lower()
-        key = ("/" if m["close"] else "") + name
-        if not m["close"] and name not in VOID and not m["attr"].endswith("/"):
+        name, i = m["name"].lower(), len(rows)
+        rows.append((("/" if m["close"] else "") + name, "", name))
+        if m["close"]:
+            if open_.get(name):
+                ends[open_[name].pop()] = i
+        elif name not in VOID and not m["attr"].endswith("/"):
+            open_.setdefault(name, []).append(i)
+            if name in _MAIN:
+                mains.append(i)
             # only elements that are closed explicitly are left out, so that
             # an open p cannot swallow the page
-            bad = name in SKIP or name not in _IMPLIED and m["attr"] and _marked(m["attr"])
-            if skip is None and bad:
-                skip, depth = name, 0
-            if skip is not None:
-                key = "skip"
-                if name == skip:
-                    depth += 1
-        elif m["close"] and skip is not None:
-            key = "skip"
-            if name == skip:
-                depth -= 1
-        out.append((key, "", name, skip is not None))
-        if skip is not None and depth == 0:
-            skip = None
+            if name in SKIP:
+                named.append(i)
+            elif name not in _IMPLIED and name not in _PAGE and m["attr"] and _marked(name, m["attr"]):
+                marked.append(i)
     if at < len(page):
-        out.append(("", page[at:], None, skip is not None))
-    return out
+        rows.append(("", page[at:], None))
+    for left in open_.values():
+        ends.update(dict.fromkeys(left, len(rows)))
+    around = [*mains, len(rows)]
+    marked = [i for i in marked if around[bisect_left(around, i)] >= ends[i]]
+    if marked:
+        toks = _skipped(rows, ends, set(named))
+        a, b = best_region(scores(toks, weights or {}))
+        words = [0, *accumulate(0 if key or gone or not a <= i < b else _count(text) for i, (key, text, _, gone) in enumerate(toks))]
+        reach = [-1, *accumulate((ends[i] for i in mains), max)]
+        marked = [i for i in marked if 2 * (words[min(ends[i], len(rows))] - words[i]) <= words[-1]
+                  or mains and reach[bisect_right(mains, i)] < i]
+    return _skipped(rows, ends, {*named, *marked})
 
 
 def _count(text: str) -> int:
@@ -194,7 +226,7 @@ def clean(toks) -> str:
 def extract(page: str | None, weights: dict) -> str:
     if not page:
         return ""
-    toks = tokens(page)
+    toks = tokens(page, weights)
     a, b = best_region(scores(toks, weights))
     return clean(toks[a:b])
 

@@ -275,6 +275,23 @@ def test_broken_markup(page):
     html.extract(page, {})
 
 
+_P = "<p>Some words of a real text.</p>" * 6
+
+
+@pytest.mark.parametrize("page", [
+    f'<body class="has-sidebar">{_P}</body>', f'<body class="post header-image">{_P}</body>', f'<body class="sidebar">{_P}</body>',
+    f'<article class="post comments-open comments">{_P}</article>', f'<section id="discussion">{_P}</section>',
+    f'<div id="related-work">{_P}</div>', f'<div class="search-result">{_P}</div>', f'<div data-role="sidebar" title="class=ad">{_P}</div>',
+    f'<div class="sidebar"><main>{_P}</main></div>', f'<div id="search">{_P}</div><div class="ad">no</div>'])
+def test_classes_leave_the_text(page):
+    assert html.extract(page, {}) == "\n".join(["Some words of a real text."] * 6)
+
+
+def test_classes_drop_notices():
+    page = f'<div class="ads comments">{_P * 3}</div><article>{_P}<div class="x ad">buy</div><p>The end of it.</p></article>'
+    assert html.extract(page, {}) == "\n".join(["Some words of a real text."] * 6 + ["The end of it."])
+
+
 # -- WARC -----------------------------------------------------------------------------------
 
 def test_archive_round_trip():
