@@ -33,7 +33,6 @@ MIN_REVISIT = 1000
 FILE_BYTES = 256 << 20
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 _CHUNK = 1 << 16
-_HEADER_LIMIT = 1 << 20
 
 
 def _clean(url: str) -> str:
@@ -87,7 +86,7 @@ def _head(raw: bytes, what: str) -> dict[str, str]:
 def read_records(stream) -> Iterator[dict]:
     """Records in file order; framing and digests are verified."""
     for raw in members(stream):
-        cut = raw.find(b"\r\n\r\n", 0, _HEADER_LIMIT)
+        cut = raw.find(b"\r\n\r\n")
         if cut < 0:
             raise Damaged("no end of the record's header")
         head = _head(bytes(raw[:cut]), "WARC/")

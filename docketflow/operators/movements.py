@@ -63,6 +63,7 @@ _TOKEN = re.compile(
 _ID = re.compile(r"""(?:^|\s)id\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
 _SPAN = re.compile(r"""(?:^|\s)(col|row)span\s*=\s*["']?\s*(\d+)""", re.I)
 _CHARSET = re.compile(rb"""<meta[^>]{0,1000}?charset\s*=\s*["']?\s*([a-zA-Z0-9_:.-]+)""", re.I)
+_HEAD_END = re.compile(rb"</head\b|<body\b", re.I)
 _MAX_COLSPAN = 1000  # HTML's own limit
 _VOID = frozenset(["br", "img", "hr", "meta", "link", "input", "col", "area", "base",
                    "wbr", "source", "param", "embed", "track"])
@@ -96,7 +97,8 @@ def decode_page(raw: bytes) -> str:
     for mark, name in ((b"\xef\xbb\xbf", "utf-8-sig"), (b"\xff\xfe", "utf-16"), (b"\xfe\xff", "utf-16")):
         if raw.startswith(mark):
             return raw.decode(name, "replace")
-    found = _CHARSET.search(raw[:8192])
+    end = _HEAD_END.search(raw, 8192)
+    found = _CHARSET.search(raw, 0, end.start() if end else len(raw))
     if found:
         name = found[1].decode("ascii").lower()
         name = "cp1252" if name in ("iso-8859-1", "latin1", "latin-1", "us-ascii", "windows-1252") else name

@@ -305,6 +305,12 @@ def test_archive_round_trip():
     assert z.eof and z.unused_data
 
 
+def test_long_url():
+    url = "http://x/" + "a b" * 600_000
+    got, = warc.read_records(io.BytesIO(warc.record(1, url, b"text")))
+    assert got["url"] == url.replace(" ", "%20") and got["payload"] == b"text"
+
+
 def test_damage_is_found():
     raw = warc.record(1, "u", b"payload" * 300)
     with pytest.raises(warc.Damaged):

@@ -146,3 +146,9 @@ def test_tokenizer_matches_stdlib_parser():
         pieces.insert(rnd.randint(0, len(pieces)), table if rnd.random() < .9 else "")
         page = "<html><body>" + "".join(pieces) + "</body></html>"
         assert via_regex(page) == via_std(page), page
+
+
+def test_charset_after_a_long_head():
+    from docketflow.operators.movements import decode_page
+    page = "<head><style>" + "x" * 20_000 + "</style><meta charset=iso-8859-2></head><body>ł</body>"
+    assert decode_page(page.encode("iso-8859-2")) == page
