@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from .decontaminate import ORACLE_SQL as _decontaminate
+from .middle import ORACLE_SQL as _middle
 from .quality import ORACLE_SQL as _quality
 from .warc import ORACLE_SQL as _warc
 
@@ -10,4 +11,5 @@ ORACLE: dict[str, str] = {
     "op3_quality": _quality,
     "op4_decontaminate": _decontaminate,
     "op10_warc": _warc,
+    "op12_middle": _middle,
 }

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from .brown import op2_brown
+from .conversations import op13_repair
 from .decontaminate import op4_decontaminate
 from .html import op7_html
 from .langid import op9_language_id
+from .middle import op12_middle
 from .mixing import op8_mixing
 from .quality import op3_quality
 from .setsketch import op6_setsketch
@@ -24,4 +26,6 @@ QUERIES = {
     "op8_mixing": op8_mixing,
     "op9_language_id": op9_language_id,
     "op10_warc": op10_warc,
+    "op12_middle": op12_middle,
+    "op13_repair": op13_repair,
 }
