@@ -11,6 +11,7 @@ from .middle import op12_middle
 from .mixing import op8_mixing
 from .quality import op3_quality
 from .setsketch import op6_setsketch
+from .suffixes import op11_suffixes
 from .tokens import op5_token_ids
 from .toxicity import op1_toxicity
 from .warc import op10_warc
@@ -26,6 +27,7 @@ QUERIES = {
     "op8_mixing": op8_mixing,
     "op9_language_id": op9_language_id,
     "op10_warc": op10_warc,
+    "op11_suffixes": op11_suffixes,
     "op12_middle": op12_middle,
     "op13_repair": op13_repair,
 }

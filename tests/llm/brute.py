@@ -1,5 +1,6 @@
 """Plain Python versions of the operators' results."""
 
+import hashlib
 import math
 import re
 import string
@@ -79,3 +80,108 @@ def components(texts):
                 x, y = sorted((root(i), root(j)))
                 parent[y] = x
     return [root(i) for i in range(len(texts))], [len(s) for s in sets]
+
+
+def repeats(rows, length=50):
+    """(doc_id, n_bytes, n_removed, n_spans, kept_sha256) of (doc_id, text)."""
+    key = lambda d: (d is None, d or 0)
+    least, out = {}, []
+    for d, t in rows:
+        b = (t or "").encode()
+        for p in range(len(b) - length + 1):
+            s = b[p:p + length]
+            least[s] = min(least.get(s, key(d)), key(d))
+    for d, t in rows:
+        b = (t or "").encode()
+        gone = bytearray(len(b))
+        for p in range(len(b) - length + 1):
+            if least[b[p:p + length]] < key(d):
+                gone[p:p + length] = b"\1" * length
+        kept = bytes(x for x, g in zip(b, gone, strict=True) if not g)
+        spans = sum(g and not (i and gone[i - 1]) for i, g in enumerate(gone))
+        out.append((d, len(b), sum(gone), spans, hashlib.sha256(kept).hexdigest()))
+    return out
+
+
+def damage(rows):
+    out = []
+    for c, t, r, x in rows:
+        sp = lambda v: " " if v is None else v
+        k = zlib.crc32(f"{sp(c)}:{sp(t)}".encode()) % 20
+        r, x = sp(r), sp(x)
+        x = "" if k == 1 else re.sub("[.!?]", "", x) if k == 2 else x
+        out += [] if k == 0 else [(c, t, "user" if k == 4 else r, x)] * (2 if k == 3 else 1)
+    return out
+
+
+def repair(faults, roles):
+    """Least (cost, audit) by trying every edit from every state: what must
+    come next is told by the last initial."""
+    after = {"": ["s", "u"], "s": ["u"], "u": ["a"], "a": ["u"]}
+    memo = {}
+
+    def best(i, last, inserts):
+        key = i, last, inserts
+        if key not in memo:
+            got = [(0, "")] if i == len(roles) and last in ("", "a") else []
+            need = "a" if last == "u" else "u"
+            if inserts < 3:
+                c, s = best(i, need, inserts + 1)
+                got.append((c + 2, "I" + s))
+            if i < len(roles):
+                c, s = best(i + 1, last, 0)
+                got.append((c + 3, "D" + s))
+                if faults[i] not in ("blank", "duplicate"):
+                    more = faults[i] == "truncated"
+                    if roles[i][:1] in after[last] and roles[i]:
+                        c, s = best(i + 1, roles[i][0], 0)
+                        got.append((c + more, "K" + s))
+                    c, s = best(i + 1, need, 0)
+                    got.append((c + 2 + more, "R" + s))
+            memo[key] = min(got) if got else (10**9, "")
+        return memo[key]
+    return best(0, "", 0)
+
+
+def conversation(rows):
+    """(gaps, blank, duplicate, truncated, illegal, cost, audit, repaired_sha256)
+    of one conversation's damaged rows in order."""
+    seen, faults = set(), []
+    for _, _, r, x in rows:
+        last = WORD.findall(x)
+        faults.append("blank" if not last else "duplicate" if (r, x) in seen else "truncated" if last[-1][-1] not in ".!?" else "")
+        seen.add((r, x))
+    roles = [r for _, _, r, _ in rows]
+    turns = [t for _, t, _, _ in rows if t is not None]
+    gaps = max(turns) - min(turns) + 1 - len(set(turns)) if turns else 0
+    illegal = sum(a[:1] + b[:1] not in ("su", "ua", "au") for a, b in zip(roles, roles[1:], strict=False))
+    cost, audit = repair(faults, roles)
+    lines, i, last = [], 0, ""
+    for e in audit:
+        need = "assistant" if last == "u" else "user"
+        if e == "I":
+            lines.append(f"{need}:")
+            last = need[0]
+            continue
+        role, text = roles[i], rows[i][3]
+        i += 1
+        if e != "D":
+            role = need if e == "R" else role
+            lines.append(f"{role}:{text}")
+            last = role[0]
+    digest = hashlib.sha256("\n".join(lines).encode()).hexdigest()
+    return gaps, *(faults.count(f) for f in ("blank", "duplicate", "truncated")), illegal, cost, audit, digest
+
+
+def middle(doc_id, text):
+    t = text or ""
+    n = len(t)
+    h = hashlib.sha256(f"1:{'' if doc_id is None else doc_id}".encode()).hexdigest()
+    u = [int(h[8 * k:8 * k + 8], 16) for k in range(4)]
+    p, q = sorted((u[0] % (n + 1), u[1] % (n + 1)))
+    sha = lambda x: hashlib.sha256(x.encode()).hexdigest()
+    if not n or any(s in t for s in ("<P>", "<S>", "<M>")) or u[2] % 100 >= 90:
+        return n, "plain", None, None, sha(t), sha(t)
+    if u[3] % 100 < 20:
+        return n, "spm", p, q - p, sha(f"<S>{t[q:]}<P>{t[:p]}<M>{t[p:q]}"), sha(t)
+    return n, "psm", p, q - p, sha(f"<P>{t[:p]}<S>{t[q:]}<M>{t[p:q]}"), sha(t)

@@ -5,21 +5,22 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 
 import pytest
-from edge_cases import BENCHMARK, DOCUMENTS, EDGE, LABELS, PAGES
+from edge_cases import BENCHMARK, CONVERSATIONS, DOCUMENTS, EDGE, LABELS, PAGES
 from pyspark.sql import functions as F
 
 def tables(spark, path, edge: bool, extra: bool = True):
-    """A folder with the four tables; extra columns have names that the
+    """A folder with the tables; extra columns have names that the
     operators use inside."""
     def put(name, rows, schema):
         df = spark.createDataFrame(rows if edge else [], schema)
         if extra:
-            for c in ("rid", "h", "n", "_row", "size", "pattern", "text_hash", "host", "score", "item", "words", "cid", "times", "digest"):
+            for c in ("rid", "h", "n", "_row", "size", "pattern", "text_hash", "host", "score", "item", "words", "cid", "times", "digest", "key", "m", "places", "form", "output", "gone", "lead", "h1", "fault", "audit", "seq"):
                 df = df.withColumn(c, F.lit("clash"))
         df.write.parquet(f"{path}/{name}.parquet")
     put("documents", EDGE, DOCUMENTS)
     put("labels", LABELS, "doc_id long, quality int, toxic int")
     put("benchmark", BENCHMARK, "item_id long, text string")
+    put("conversations", CONVERSATIONS, "conv_id long, turn long, role string, text string")
     put("pages", PAGES, "page_id long, url string, html string")
     return str(path)
 

@@ -24,3 +24,15 @@ PAGE = ("<html><head><title>t t t</title><style>p{}</style></head><body><nav><a
         "<footer>foot foot</footer></body></html>")
 PAGES = [(1, "http://a/b c", PAGE), (1, "http://a/b c", PAGE), (2, None, PAGE), (3, "u\r\nX: y", None), (None, "v", PAGE), (4, "", ""), (5, "w", "no tags é"),
          (6, "w", "y" * 1500), (7, "w", "y" * 1500), (None, None, "y" * 1500), (8, "z", "<p>" * 3000 + "word")]
+
+#: Nulls in every column, ties and repeats of a turn, empty and long
+#: conversations, strange roles, one that loses all its rows (100: turn 6).
+CONVERSATIONS = [
+    (1, 0, "system", "Be kind."), (1, 1, "user", "Hello?"), (1, 2, "assistant", "Hello!"), (1, 2, "assistant", "Hello!"), (1, 2, "user", "And"), (1, 9, "user", "no end"),
+    (2, None, "user", "first."), (2, None, None, None), (2, 3, "", "empty role."), (2, 4, "tool", "other role."), (2, 5, "User", "case."), (2, 6, "assistant", ""),
+    (None, 1, "user", "no conversation."), (None, None, "assistant", "neither."), (None, 1, "user", "no conversation."), (3, -5, "assistant", "\n\u00a0"),
+    (3, 7, "assistant", "Ok.\x0b\r\n "), (4, 1, "user", "same."), (4, 2, "user", "same."), (4, 3, "assistant", "same."), (4, 4, "assistant", "x" * 50_000 + "."),
+    *((5, t, ("user", "assistant", "system", "assistant")[t * t % 4], f"turn {t % 11}" + ".?! "[t % 4]) for t in range(400)),
+    *((c, t, ("user", "assistant")[t % 2], f"{c} {t}.") for c in range(100, 140) for t in range(c % 4)),
+    *((c, 0, "user", "alone.") for c in range(200, 260)),
+]
