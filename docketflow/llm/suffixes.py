@@ -94,7 +94,7 @@ def runs(data: np.ndarray, off: np.ndarray):
 def _pieces(batches):
     """(rows, data, off, base) like ``text_slices``; a long text comes in
     pieces that overlap by all but one byte of a string."""
-    for rows, data, off in text_slices(batches):
+    for rows, data, off in text_slices(batches, limit=SLICE_BYTES):
         if len(off) > 2 or len(data) <= 2 * SLICE_BYTES:
             yield rows, data, off, 0
             continue
@@ -129,25 +129,22 @@ def _anchors(parts: int):
     names = ["part", "hashes", "keys", "counts", "places"]
 
     def gather(batches):
-        found, keys, size, turn, last = [], [], 0, 0, None
+        found, keys, size, turn, first = [], [], 0, 0, 0
         for rows, data, off, base in _pieces(batches):
             if base == 0:
-                new = rows.column("key").to_pylist()
                 first = len(keys)
-                keys += new
-                turn = int.from_bytes(new[0][:4], "little")
+                keys += rows.column("key").to_pylist()
+                turn = int.from_bytes(keys[first][:4], "little")
             start, _, anchor, h = runs(data, off)
-            row = rows_of(start, off)
             if len(h):
+                row = rows_of(start, off)
                 found.append((h, row + first, anchor - off[row] + base))
             size += len(data)
-            if size >= PACK_BYTES and base == 0:
+            if size >= PACK_BYTES:
                 if found:
-                    yield from _records(_pack(found, keys, parts, turn), names)
-                found, keys, size = [], [], 0
-            elif size >= PACK_BYTES:  # within a long text: its key stays
-                yield from _records(_pack(found, keys, parts, turn + base), names)
-                found, keys, size, first = [], keys[-1:], 0, 0
+                    yield from _records(_pack(found, keys, parts, turn + base), names)
+                # further pieces of a long text need its key
+                found, keys, size, first = [], keys[first:], 0, 0
         if found:
             yield from _records(_pack(found, keys, parts, turn), names)
     return gather

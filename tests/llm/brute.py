@@ -140,6 +140,9 @@ def repair(faults, roles):
                     got.append((c + 2 + more, "R" + s))
             memo[key] = min(got) if got else (10**9, "")
         return memo[key]
+    for i in reversed(range(len(roles))):  # from the end, so that the recursion stays flat
+        for last in after:
+            best(i, last, 0)
     return best(0, "", 0)
 
 
