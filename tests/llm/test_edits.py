@@ -182,11 +182,11 @@ def test_repaired_turns(spark):
     rows = [(1, 0, "assistant", "Hi."), (1, 1, "user", "Why"), (1, 2, "user", "Why"), (2, 0, "user", "A."), (2, 1, "assistant", "B.")]
     docs = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
     found = conversations.audits(docs)
-    assert {r.conv_id: (r.audit, r.cost, r.truncated, r.duplicate) for r in found.collect()} == {1: ("DKDI", 9, 1, 1), 2: ("KK", 0, 0, 0)}
+    assert {r.conv_id: (r.audit, r.cost, r.truncated, r.duplicate) for r in found.collect()} == {1: ("IKDD", 8, 1, 1), 2: ("KK", 0, 0, 0)}
     turns = defaultdict(list)
     for r in conversations.repaired(docs, found).orderBy("conv_id", "seq").collect():
         turns[r.conv_id].append((r.seq, r.edit, r.role, r.text))
-    assert turns == {1: [(0, "K", "user", "Why"), (1, "I", "assistant", "")], 2: [(0, "K", "user", "A."), (1, "K", "assistant", "B.")]}
+    assert turns == {1: [(0, "I", "user", ""), (1, "K", "assistant", "Hi.")], 2: [(0, "K", "user", "A."), (1, "K", "assistant", "B.")]}
 
 
 def test_streamed_across_batches():
