@@ -6,14 +6,16 @@ of smaller id.  A full suffix array of a corpus would move every byte many
 times, so work is discarded as early as it can be, each time exactly:
 
 1. equal texts are one text (of the least id; its copies go whole);
-2. every 50-byte string is dealt to its *anchor*, the 25-byte string of least
-   hash in it, of which there are about 2 in 27 positions; strings whose
+2. every 50-byte string is dealt to its *anchor*, the 20-byte string of least
+   hash in it, of which there are about 2 in 32 positions; strings whose
    anchor occurs once in the corpus are unique, and are discarded;
-3. the strings of one anchor lie in a run, and runs of equal bytes are one
-   run; where a text's run also occurs in a smaller document, all of it goes.
+3. the strings of one anchor lie in a run; where a run of equal bytes is in a
+   smaller document, all of it goes (first within a task, so that a run that
+   a third of all documents hold moves as often as there are tasks).
 
-What is left are different runs, dealt by anchor, so that equal strings meet.
-Their suffixes are sorted by difference cover: positions that are 1 or 2
+What is left are the runs of least id, dealt by anchor, so that equal strings
+meet; an anchor that has one run left needs no sort.  The suffixes of the
+others are sorted by difference cover: positions that are 1 or 2
 modulo 3 are sorted by triples of 8-byte words, the triples get names, pairs of
 names (24 bytes apart) are sorted in turn, which orders these suffixes; the
 others are sorted by their first byte and the rank behind it, and merged in by
@@ -30,9 +32,8 @@ Defined cases: a null text is empty; texts of fewer than 50 bytes lose
 nothing; a null id counts after all others; rows of one id are no repeats of
 each other; a repeated row is treated like the first; long texts are scanned
 in overlapping pieces; an empty table gives an empty table.  Only ``doc_id``
-(a whole number) and ``text`` are read.  Bytes are compared as they are; runs,
-texts and anchors are told apart by 128, 128 and 64 bits of hash (two anchors
-with one hash only share a task).
+(a whole number) and ``text`` are read.  Strings are compared byte by byte;
+whole texts and runs are told apart by 96 bits of hash.
 """
 
 from __future__ import annotations
@@ -49,10 +50,13 @@ from pyspark.sql import functions as F
 from .common import SLICE_BYTES, rows_of, scratch, span_hashes, stored, text_slices
 
 LENGTH = 50
-GRAM = 25
+GRAM = 20
 WINDOW = LENGTH - GRAM + 1
-#: Bytes of text whose anchors a task packs into one row for each part.
+#: Bytes of text whose anchors a task packs into one row for each part, and
+#: whose runs it compares before they move.
 PACK_BYTES = 32 << 20
+#: Bytes of a text's key: a hash.
+KEY = 12
 #: Bytes of text behind the anchors of one part, and of runs sorted at once.
 ANCHOR_BYTES, SORT_BYTES = 256 << 20, 4 << 20
 #: An anchor with more different runs is split into single strings.
@@ -122,7 +126,7 @@ def _pack(found: list, keys: list[bytes], parts: int, turn: int):
     for a, b in zip(cuts[:-1], cuts[1:], strict=True):
         edge = np.flatnonzero(np.r_[True, doc[a + 1:b] != doc[a:b - 1], True])
         yield (int(part[a]), b"" if part[a] >= parts else code[a:b].tobytes(), b"".join(keys[d] for d in doc[a:b][edge[:-1]]),
-               np.diff(edge).astype(np.uint32).tobytes(), pos[a:b].tobytes())
+               np.diff(edge).astype(np.uint32).tobytes(), pos[a:b].view(np.uint8).reshape(-1, 4).T.tobytes())
 
 
 def _anchors(parts: int):
@@ -171,21 +175,42 @@ def _repeated(table: pa.Table) -> pa.Table:
         here, at = twice[at:at + n], at + n
         if not here.any():
             continue
-        count, p = np.frombuffer(c, np.uint32), np.frombuffer(p, np.uint32)[here]
+        count = np.frombuffer(c, np.uint32)
+        p = np.frombuffer(p, np.uint8).reshape(4, -1).T.copy().view(np.uint32).ravel()[here]
         each = np.bincount(np.repeat(np.arange(len(count)), count)[here], minlength=len(count))
         cut = np.concatenate([[0], np.cumsum(each)])
         for d in np.flatnonzero(each):
-            key.append(k[16 * d:16 * d + 16])
+            key.append(k[KEY * d:KEY * d + KEY])
             place.append(p[cut[d]:cut[d + 1]].tobytes())
     return pa.table({"key": pa.array(key, pa.binary()), "places": pa.array(place, pa.binary())})
 
 
 # -- runs of the texts ----------------------------------------------------------
 
+def _met(found: list) -> pa.RecordBatch:
+    """Gathered runs: those whose bytes are also in one of smaller id are
+    ``full`` (touching ones of a text are joined), the others stay open."""
+    keys, text, m, c1, c2, place, starts = (np.concatenate(x) for x in zip(*found, strict=True))
+    order = np.lexsort((m, c2, c1))
+    head = np.r_[True, (c1[order][1:] != c1[order][:-1]) | (c2[order][1:] != c2[order][:-1])]
+    first = np.maximum.accumulate(np.where(head, np.arange(len(order)), 0))
+    full = np.zeros(len(order), bool)
+    full[order] = m[order] > m[order][first]
+    joins = np.r_[False, full[1:] & full[:-1] & (text[1:] == text[:-1]) & (place[1:] == place[:-1] + starts[:-1])]
+    begin = np.flatnonzero(~joins)
+    starts = np.add.reduceat(starts, begin)
+    keys, m, c1, c2, place, full = (x[begin] for x in (keys, m, c1, c2, place, full))
+    return pa.RecordBatch.from_arrays(
+        [pa.array(keys.tolist(), pa.binary()), pa.array(m, mask=full), pa.array(c1, mask=full), pa.array(c2, mask=full),
+         pa.array(place.astype(np.int32)), pa.array(starts.astype(np.int32))], ["key", "m", "c1", "c2", "place", "starts"])
+
+
 def _instances(batches):
-    """The runs of repeated anchors: where they are, and 128 bits of their
-    bytes."""
+    """The runs of repeated anchors: where they are, and 96 bits of their
+    bytes, unless a smaller document is known to hold them."""
+    gathered, size, texts = [], 0, 0
     for rows, data, off, base in _pieces(batches):
+        texts += len(off) if base == 0 else 0
         start, count, anchor, _ = runs(data, off)
         row = rows_of(start, off)
         lists = rows.column("places")
@@ -193,24 +218,30 @@ def _instances(batches):
         for r in np.unique(row):
             p = np.frombuffer(b"".join(lists[int(r)].as_py()), np.uint32).astype(np.int64) - base + off[r]
             want.append(p[(p >= off[r]) & (p < off[r + 1])])
-        if not want:
-            continue
-        at = np.flatnonzero(np.isin(anchor, np.concatenate(want)))
-        start, count, row = start[at], count[at], row[at]
-        end = start + count + LENGTH - 1
-        yield pa.RecordBatch.from_arrays(
-            [rows.column("key").take(pa.array(row)), rows.column("m").take(pa.array(row)), pa.array(span_hashes(data, start, end).view(np.int64)),
-             pa.array(span_hashes(_OTHER[data], start, end).view(np.int64)), pa.array(start - off[row] + base), pa.array(count.astype(np.int32))],
-            ["key", "m", "c1", "c2", "place", "starts"])
+        at = np.flatnonzero(np.isin(anchor, np.concatenate(want))) if want else np.empty(0, np.int64)
+        if len(at):
+            start, count, row = start[at], count[at], row[at]
+            end = start + count + LENGTH - 1
+            keys = np.array(rows.column("key").to_pylist(), object)
+            gathered.append((keys[row], row + texts, rows.column("m").to_numpy()[row], span_hashes(data, start, end).view(np.int64),
+                             span_hashes(_OTHER[data], start, end).view(np.int64).astype(np.int32), start - off[row] + base, count))
+        size += len(data)
+        if size >= PACK_BYTES and gathered:
+            yield _met(gathered)
+            gathered, size = [], 0
+    if gathered:
+        yield _met(gathered)
 
 
 def _bodies(batches):
-    """The bytes of chosen runs, with the hash of their anchor."""
+    """The bytes of the open runs, with the hash of their anchor."""
     for rows, data, off in text_slices(batches):
-        chosen = rows.column("chosen")
+        chosen = rows.column("open")
         each = pc.list_value_length(chosen).to_numpy(zero_copy_only=False)
         flat = pc.list_flatten(chosen)
-        c1, c2, place, starts = (flat.field(k) for k in ("c1", "c2", "place", "starts"))
+        if not len(flat):
+            continue
+        place, starts = flat.field("place"), flat.field("starts")
         row = np.repeat(np.arange(rows.num_rows), each)
         s = place.to_numpy() + off[row]
         n = starts.to_numpy().astype(np.int64)
@@ -222,9 +253,9 @@ def _bodies(batches):
         least = np.argmin(h & ~_LOW, axis=1)
         anchor = h[np.arange(len(h)), least].view(np.int64)
         yield pa.RecordBatch.from_arrays(
-            [c1, c2, rows.column("m").take(pa.array(row)), starts, pa.array(anchor),
+            [rows.column("key").take(pa.array(row)), place, rows.column("m").take(pa.array(row)), starts, pa.array(anchor),
              pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(s), [None, pa.py_buffer(size), pa.py_buffer(body)]).cast(pa.binary())],
-            ["c1", "c2", "m", "starts", "anchor", "body"])
+            ["key", "place", "m", "starts", "anchor", "body"])
 
 
 # -- the suffix sort -----------------------------------------------------------
@@ -240,10 +271,13 @@ def suffix_order(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.n
     letter = padded.astype(np.uint64)
 
     # sampled suffixes: those behind the starts that are 1 or 2 modulo 3
-    q = np.unique(np.concatenate([starts, starts + 1, starts + 2]))
-    q = q[q % 3 != 0]
+    here = np.zeros(size + 72, bool)
+    here[starts] = here[starts + 1] = here[starts + 2] = True
+    here[::3] = False
+    q = np.flatnonzero(here)
     # sort their triples of words, and those a triple further on; name them
-    t = np.union1d(q, q + 24)
+    here[q + 24] = True
+    t = np.flatnonzero(here)
     order = np.lexsort((word[t + 16], word[t + 8], word[t]))
     a = t[order]
     new = np.r_[True, (word[a[1:]] != word[a[:-1]]) | (word[a[1:] + 8] != word[a[:-1] + 8]) | (word[a[1:] + 16] != word[a[:-1] + 16])]
@@ -251,7 +285,9 @@ def suffix_order(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.n
     name[a] = np.cumsum(new)
     # recurse on the names: two of them are 48 bytes
     rank = np.zeros(size + 72, np.uint64)
-    rank[q] = np.unique((name[q] << np.uint64(32)) | name[q + 24], return_inverse=True)[1]
+    pair = name[q] << np.uint64(32) | name[q + 24]
+    order = np.argsort(pair)
+    rank[q[order]] = np.cumsum(np.r_[False, pair[order][1:] != pair[order][:-1]])
 
     def tail(p):
         return word[p + 48] >> np.uint64(48)
@@ -263,8 +299,8 @@ def suffix_order(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.n
         return letter[p] << np.uint64(56) | letter[p + 1] << np.uint64(48) | rank[p + 2]
 
     sampled, rest = starts[starts % 3 != 0], starts[starts % 3 == 0]
-    sampled = sampled[np.argsort(rank[sampled] << np.uint64(16) | tail(sampled), kind="stable")]
-    rest = rest[np.argsort(by_one(rest), kind="stable")]
+    sampled = sampled[np.argsort(rank[sampled] << np.uint64(16) | tail(sampled))]
+    rest = rest[np.argsort(by_one(rest))]
     # merge
     one, two = sampled[sampled % 3 == 1], sampled[sampled % 3 == 2]
     place = np.arange(len(rest)) + np.searchsorted(by_one(one), by_one(rest)) + np.searchsorted(by_two(two), by_two(rest))
@@ -286,9 +322,17 @@ def suffix_order(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.n
 def _covered(table: pa.Table) -> pa.Table:
     """Of the runs of one part: which starts have their string in a run of
     smaller id, as bits."""
-    body = table.column("body").combine_chunks()
-    body = body if isinstance(body, pa.BinaryArray) else body.chunk(0)
-    size = np.frombuffer(body.buffers()[1], np.int32)[body.offset:body.offset + len(body) + 1].astype(np.int64)
+    anchor = table.column("anchor").to_numpy()
+    order = np.argsort(anchor)
+    twin = anchor[order][1:] == anchor[order][:-1]
+    some = np.zeros(len(anchor), bool)
+    some[order] = np.r_[False, twin] | np.r_[twin, False]
+    table = table.filter(pa.array(some))
+    if not table.num_rows:
+        return pa.table({"key": pa.array([], pa.binary()), "place": pa.array([], pa.int32()), "mask": pa.array([], pa.int64())})
+    body = table.column("body").cast(pa.large_binary()).combine_chunks()
+    body = body if isinstance(body, pa.LargeBinaryArray) else body.chunk(0)
+    size = np.frombuffer(body.buffers()[1], np.int64)[body.offset:body.offset + len(body) + 1]
     data = np.frombuffer(body.buffers()[2], np.uint8)[size[0]:size[-1]]
     off = size - size[0]
     n, m = table.column("starts").to_numpy().astype(np.int64), table.column("m").to_numpy()
@@ -303,23 +347,24 @@ def _covered(table: pa.Table) -> pa.Table:
     gone = at[least < m[run[at]]]
     mask = np.zeros(len(n), np.int64)
     np.bitwise_or.at(mask, run[gone], np.int64(1) << nth[gone])
-    some = np.flatnonzero(mask)
-    return pa.table({"c1": table.column("c1").take(pa.array(some)), "c2": table.column("c2").take(pa.array(some)), "mask": pa.array(mask[some])})
+    some = pa.array(np.flatnonzero(mask))
+    return pa.table({"key": table.column("key").take(some), "place": table.column("place").take(some), "mask": pa.array(mask[mask != 0])})
 
 
 def _masks(bodies: DataFrame) -> DataFrame:
-    """c1, c2, mask of the runs that share a string with one of smaller id."""
+    """key, place, mask of the runs that share a string with one of smaller
+    id."""
     hot = stored(bodies.groupBy("anchor").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > SPLIT).select("anchor"), "suffix-hot")
     size = bodies.agg(F.coalesce(F.sum(F.col("starts") + (LENGTH - 1)), F.lit(0))).first()[0]
     parts = max(int(bodies.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1 + size // SORT_BYTES)
     cold = bodies.join(hot, "anchor", "left_anti").withColumn("part", F.pmod(F.xxhash64("anchor"), F.lit(parts)).cast("int"))
-    out = cold.repartition(parts, "part").groupBy("part").applyInArrow(_covered, "c1 long, c2 long, mask long")
+    out = cold.repartition(parts, "part").groupBy("part").applyInArrow(_covered, "key binary, place int, mask long")
     # strings of hot anchors: the least id of each, aggregated before it moves
     each = F.transform(F.sequence(F.lit(0), F.col("starts") - 1), lambda i: F.substring(F.col("body"), i + 1, F.lit(LENGTH)))
-    strings = bodies.join(hot, "anchor", "left_semi").select("c1", "c2", "m", F.posexplode(each).alias("nth", "string"))
+    strings = bodies.join(hot, "anchor", "left_semi").select("key", "place", "m", F.posexplode(each).alias("nth", "string"))
     least = strings.groupBy("string").agg(F.min("m").alias("least"))
     met = strings.join(least, "string").where("least < m")
-    split = met.groupBy("c1", "c2").agg(F.expr("bit_or(shiftleft(1L, nth))").alias("mask"))
+    split = met.groupBy("key", "place").agg(F.expr("bit_or(shiftleft(1L, nth))").alias("mask"))
     return out.unionByName(split)
 
 
@@ -329,16 +374,22 @@ def _removed(keep_text: bool):
     def remove(batches):
         for rows, data, off in text_slices(batches):
             n = len(data)
-            marks = rows.column("marks")
-            each = pc.fill_null(pc.list_value_length(marks), 0).to_numpy(zero_copy_only=False)
-            flat = pc.list_flatten(marks)
-            place, mask = flat.field("place").to_numpy(), flat.field("mask").to_numpy()
-            base = place + off[np.repeat(np.arange(rows.num_rows), each)]
             change = np.zeros(n + 1, np.int32)
+
+            def listed(name):
+                column = rows.column(name)
+                each = pc.fill_null(pc.list_value_length(column), 0).to_numpy(zero_copy_only=False)
+                flat = pc.list_flatten(column)
+                return flat, flat.field("place").to_numpy() + off[np.repeat(np.arange(rows.num_rows), each)]
+            flat, s = listed("full")
+            np.add.at(change, s, 1)
+            np.add.at(change, s + flat.field("starts").to_numpy() + (LENGTH - 1), -1)
+            flat, s = listed("part")
+            mask = flat.field("mask").to_numpy()
             for k in range(WINDOW):
-                s = base[(mask >> k) & 1 == 1] + k
-                np.add.at(change, s, 1)
-                np.add.at(change, s + LENGTH, -1)
+                t = s[(mask >> k) & 1 == 1] + k
+                np.add.at(change, t, 1)
+                np.add.at(change, t + LENGTH, -1)
             gone = np.cumsum(change[:n]) > 0
             # a run of removed bytes ends with its text
             first = np.zeros(n + 1, bool)
@@ -374,7 +425,8 @@ def remove_repeats(docs: DataFrame, keep_text: bool = False) -> DataFrame:
     spark = docs.sparkSession
     number = int(spark.conf.get("spark.sql.shuffle.partitions"))
     text = F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary")
-    key = F.unhex(F.concat(F.lpad(F.hex(F.xxhash64("text")), 16, "0"), F.lpad(F.hex(F.xxhash64(F.lit(7), "text")), 16, "0")))
+    bits = F.concat(*(F.lpad(F.hex(h), 16, "0") for h in (F.xxhash64("text"), F.xxhash64(F.lit(7), "text"))))
+    key = F.unhex(F.substring(bits, 1, 2 * KEY))
     source = docs.select("doc_id", text.alias("text")).select(
         "doc_id", "text", key.alias("key"), F.coalesce(F.col("doc_id").cast("long"), F.lit(_BIG)).alias("m"))
     texts = _bucketed(source.groupBy("key").agg(F.min("m").alias("m"), F.first("text").alias("text")), "key", number)
@@ -385,21 +437,20 @@ def remove_repeats(docs: DataFrame, keep_text: bool = False) -> DataFrame:
     found = packed.repartition(parts, "part").groupBy("part").applyInArrow(_repeated, "key binary, places binary")
     found = found.groupBy("key").agg(F.collect_list("places").alias("places"))
     shared = stored(texts.join(found, "key").select("key", "m", "text", "places").mapInArrow(
-        _instances, "key binary, m long, c1 long, c2 long, place long, starts int"), "suffix-runs")
-
-    first = F.min(F.struct("m", "key", "place", "starts")).alias("_f")
-    runs_ = stored(shared.groupBy("c1", "c2").agg(first).select("c1", "c2", "_f.*"), "suffix-classes")
-    chosen = runs_.groupBy("key").agg(F.collect_list(F.struct("c1", "c2", "place", "starts")).alias("chosen"))
-    bodies = stored(texts.join(chosen, "key").select("m", "text", "chosen").mapInArrow(
-        _bodies, "c1 long, c2 long, m long, starts int, anchor long, body binary"), "suffix-bodies")
-    masks = stored(_masks(bodies), "suffix-masks")
-
-    least = runs_.select("c1", "c2", F.col("m").alias("least")).join(masks, ["c1", "c2"], "left")
-    mask = F.when(F.col("m") > F.col("least"), F.expr("shiftleft(1L, starts) - 1")).otherwise(F.col("mask"))
-    marks = shared.join(least, ["c1", "c2"]).select("key", "place", mask.alias("mask")).where("mask <> 0")
-    marks = marks.groupBy("key").agg(F.collect_list(F.struct("place", "mask")).alias("marks"))
+        _instances, "key binary, m long, c1 long, c2 int, place int, starts int"), "suffix-runs")
+
+    known = shared.where("c1 is not null")
+    least = known.groupBy("c1", "c2").agg(F.min("m").alias("least"))
+    met = known.join(least, ["c1", "c2"]).select("key", "place", "starts", (F.col("m") > F.col("least")).alias("gone"))
+    met = met.unionByName(shared.where("c1 is null").select("key", "place", "starts", F.lit(True).alias("gone")))
+    at = F.struct("place", "starts")
+    met = stored(met.groupBy("key").agg(F.collect_list(F.when(F.col("gone"), at)).alias("full"), F.collect_list(F.when(~F.col("gone"), at)).alias("open")),
+                 "suffix-met")
+    bodies = stored(texts.join(met.where(F.size("open") > 0).select("key", "open"), "key").select("key", "m", "text", "open").mapInArrow(
+        _bodies, "key binary, place int, m long, starts int, anchor long, body binary"), "suffix-bodies")
+    part = stored(_masks(bodies), "suffix-masks").groupBy("key").agg(F.collect_list(F.struct("place", "mask")).alias("part"))
     schema = "key binary, m long, n_removed long, n_spans long, kept_sha256 string, spans array<struct<start: long, end: long>>"
-    result = stored(texts.join(marks, "key", "left").select("key", "m", "text", "marks").mapInArrow(
+    result = stored(texts.join(met.select("key", "full"), "key", "left").join(part, "key", "left").select("key", "m", "text", "full", "part").mapInArrow(
         _removed(keep_text), schema + (", kept binary" if keep_text else "")), "suffix-result")
 
     rows = source.select("doc_id", "key", F.col("m").alias("_own"), F.octet_length("text").cast("long").alias("n_bytes"))
