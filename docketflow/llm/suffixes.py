@@ -189,20 +189,30 @@ def _repeated(table: pa.Table) -> pa.Table:
 
 def _met(found: list) -> pa.RecordBatch:
     """Gathered runs: those whose bytes are also in one of smaller id are
-    ``full`` (touching ones of a text are joined), the others stay open."""
+    full (without a hash; touching ones of a text are joined), the others stay
+    open.  An open run that a text repeats is one row, with its further places
+    in ``also``."""
     keys, text, m, c1, c2, place, starts = (np.concatenate(x) for x in zip(*found, strict=True))
-    order = np.lexsort((m, c2, c1))
+    order = np.lexsort((place, text, m, c2, c1))
     head = np.r_[True, (c1[order][1:] != c1[order][:-1]) | (c2[order][1:] != c2[order][:-1])]
     first = np.maximum.accumulate(np.where(head, np.arange(len(order)), 0))
-    full = np.zeros(len(order), bool)
-    full[order] = m[order] > m[order][first]
+    gone = m[order] > m[order][first]
+    again = ~gone & ~head & np.r_[False, text[order][1:] == text[order][:-1]]
+    also = np.full(len(order), None, object)
+    edge = np.flatnonzero(np.r_[again, False] != np.r_[False, again])
+    for i, j in zip(edge[::2], edge[1::2], strict=True):
+        also[order[i - 1]] = place[order[i:j]].astype(np.int32).tobytes()
+    full, drop = np.zeros(len(order), bool), np.zeros(len(order), bool)
+    full[order], drop[order] = gone, again
+    keys, text, m, c1, c2, place, starts, full, also = (x[~drop] for x in (keys, text, m, c1, c2, place, starts, full, also))
     joins = np.r_[False, full[1:] & full[:-1] & (text[1:] == text[:-1]) & (place[1:] == place[:-1] + starts[:-1])]
     begin = np.flatnonzero(~joins)
     starts = np.add.reduceat(starts, begin)
-    keys, m, c1, c2, place, full = (x[begin] for x in (keys, m, c1, c2, place, full))
+    keys, m, c1, c2, place, full, also = (x[begin] for x in (keys, m, c1, c2, place, full, also))
     return pa.RecordBatch.from_arrays(
         [pa.array(keys.tolist(), pa.binary()), pa.array(m, mask=full), pa.array(c1, mask=full), pa.array(c2, mask=full),
-         pa.array(place.astype(np.int32)), pa.array(starts.astype(np.int32))], ["key", "m", "c1", "c2", "place", "starts"])
+         pa.array(place.astype(np.int32)), pa.array(starts.astype(np.int32)), pa.array(also.tolist(), pa.binary())],
+        ["key", "m", "c1", "c2", "place", "starts", "also"])
 
 
 def _instances(batches):
@@ -379,17 +389,35 @@ def _removed(keep_text: bool):
             def listed(name):
                 column = rows.column(name)
                 each = pc.fill_null(pc.list_value_length(column), 0).to_numpy(zero_copy_only=False)
-                flat = pc.list_flatten(column)
-                return flat, flat.field("place").to_numpy() + off[np.repeat(np.arange(rows.num_rows), each)]
-            flat, s = listed("full")
-            np.add.at(change, s, 1)
-            np.add.at(change, s + flat.field("starts").to_numpy() + (LENGTH - 1), -1)
-            flat, s = listed("part")
+                flat, row = pc.list_flatten(column), np.repeat(np.arange(rows.num_rows), each)
+                return flat, row, flat.field("place").to_numpy() + off[row]
+
+            def further(flat):
+                """Number of an entry and its other places in its text."""
+                some = np.flatnonzero(flat.field("also").is_valid())
+                places = [np.frombuffer(x, np.int32) for x in flat.field("also").take(pa.array(some)).to_pylist()]
+                return np.repeat(some, [len(x) for x in places]), np.concatenate(places) if places else np.empty(0, np.int64)
+
+            def cover(s, length):
+                np.add.at(change, s, 1)
+                np.add.at(change, s + length, -1)
+            flat, row, s = listed("full")
+            length = flat.field("starts").to_numpy() + (LENGTH - 1)
+            cover(s, length)
+            i, place = further(flat)
+            cover(place + off[row[i]], length[i])
+            # masks of open runs, at their first place and at the others
+            flat, row, s = listed("part")
             mask = flat.field("mask").to_numpy()
+            whole, of_row, of_place = listed("open")
+            i, place = further(whole)
+            order = np.argsort(s)
+            if len(s) and len(i):
+                at = order[np.minimum(np.searchsorted(s, of_place[i], sorter=order), len(s) - 1)]
+                same = s[at] == of_place[i]
+                s, mask = np.concatenate([s, place[same] + off[of_row[i[same]]]]), np.concatenate([mask, mask[at[same]]])
             for k in range(WINDOW):
-                t = s[(mask >> k) & 1 == 1] + k
-                np.add.at(change, t, 1)
-                np.add.at(change, t + LENGTH, -1)
+                cover(s[(mask >> k) & 1 == 1] + k, LENGTH)
             gone = np.cumsum(change[:n]) > 0
             # a run of removed bytes ends with its text
             first = np.zeros(n + 1, bool)
@@ -437,20 +465,20 @@ def remove_repeats(docs: DataFrame, keep_text: bool = False) -> DataFrame:
     found = packed.repartition(parts, "part").groupBy("part").applyInArrow(_repeated, "key binary, places binary")
     found = found.groupBy("key").agg(F.collect_list("places").alias("places"))
     shared = stored(texts.join(found, "key").select("key", "m", "text", "places").mapInArrow(
-        _instances, "key binary, m long, c1 long, c2 int, place int, starts int"), "suffix-runs")
+        _instances, "key binary, m long, c1 long, c2 int, place int, starts int, also binary"), "suffix-runs")
 
     known = shared.where("c1 is not null")
     least = known.groupBy("c1", "c2").agg(F.min("m").alias("least"))
-    met = known.join(least, ["c1", "c2"]).select("key", "place", "starts", (F.col("m") > F.col("least")).alias("gone"))
-    met = met.unionByName(shared.where("c1 is null").select("key", "place", "starts", F.lit(True).alias("gone")))
-    at = F.struct("place", "starts")
+    met = known.join(least, ["c1", "c2"]).select("key", "place", "starts", "also", (F.col("m") > F.col("least")).alias("gone"))
+    met = met.unionByName(shared.where("c1 is null").select("key", "place", "starts", "also", F.lit(True).alias("gone")))
+    at = F.struct("place", "starts", "also")
     met = stored(met.groupBy("key").agg(F.collect_list(F.when(F.col("gone"), at)).alias("full"), F.collect_list(F.when(~F.col("gone"), at)).alias("open")),
                  "suffix-met")
     bodies = stored(texts.join(met.where(F.size("open") > 0).select("key", "open"), "key").select("key", "m", "text", "open").mapInArrow(
         _bodies, "key binary, place int, m long, starts int, anchor long, body binary"), "suffix-bodies")
     part = stored(_masks(bodies), "suffix-masks").groupBy("key").agg(F.collect_list(F.struct("place", "mask")).alias("part"))
     schema = "key binary, m long, n_removed long, n_spans long, kept_sha256 string, spans array<struct<start: long, end: long>>"
-    result = stored(texts.join(met.select("key", "full"), "key", "left").join(part, "key", "left").select("key", "m", "text", "full", "part").mapInArrow(
+    result = stored(texts.join(met.join(part, "key", "left"), "key", "left").select("key", "m", "text", "full", "open", "part").mapInArrow(
         _removed(keep_text), schema + (", kept binary" if keep_text else "")), "suffix-result")
 
     rows = source.select("doc_id", "key", F.col("m").alias("_own"), F.octet_length("text").cast("long").alias("n_bytes"))

@@ -81,8 +81,8 @@ def test_repeats_in_pieces(monkeypatch):
         for r in suffixes._repeated(packed.filter(pc.equal(packed["part"], part))).to_pylist():
             places[r["key"]].append(r["places"])
     met = batch.append_column("places", pa.array([places[k] for k in keys], pa.list_(pa.binary())))
-    got = {(k, p + i): n for b in suffixes._instances(iter([met])) for k, p, n in zip(*(b[c].to_pylist() for c in ("key", "place", "starts")), strict=True)
-           for i in range(n)}
+    got = {(r["key"], p + i) for b in suffixes._instances(iter([met])) for r in b.to_pylist()
+           for p in (r["place"], *np.frombuffer(r["also"] or b"", np.int32)) for i in range(r["starts"])}
     count = defaultdict(int)
     for t in texts:
         for p in range(len(t) - 49):
