@@ -41,9 +41,24 @@ def order_column(cases: DataFrame) -> Column:
     return F.struct(F.lit("").alias("file"), F.lit(0).cast("bigint").alias("idx")).alias(SOURCE_ROW)
 
 
+def key_column(cases: DataFrame) -> Column:
+    """The case key of input rows: the stored one if there is one, whose
+    bucketing the branches then keep, else number and file packed."""
+    if KEY in cases.columns:
+        return F.col(KEY)
+    return F.struct(F.col("output.id1").alias("n_processo"), F.col("file")).alias(KEY)
+
+
+def carried(df: DataFrame) -> list[str]:
+    """The case key, if the input has it as a column."""
+    return [KEY] if KEY in df.columns else []
+
+
 def with_key(df: DataFrame, id_col: str = "id1") -> DataFrame:
     """``id_col`` and ``file`` packed into the case key."""
-    rest = [c for c in df.columns if c not in (id_col, "file")]
+    rest = [c for c in df.columns if c not in (id_col, "file", KEY)]
+    if KEY in df.columns:
+        return df.select(KEY, *rest)
     return df.select(F.struct(F.col(id_col).alias("n_processo"), F.col("file")).alias(KEY), *rest)
 
 
@@ -54,7 +69,8 @@ def without_key(df: DataFrame) -> DataFrame:
 
 def unnest_child(cases: DataFrame, child: str, fields: list[str],
                  with_source_row: bool = False) -> DataFrame:
-    """``id1, file, [src_row,] pos, <fields...>`` for one nested array.
+    """``id1, file, [case_key,] [src_row,] pos, <fields...>`` for one nested
+    array.
 
     Only the named element fields are read: each ``output.<child>.<field>``
     is an array-of-field access that nested schema pruning pushes into the
@@ -65,9 +81,9 @@ def unnest_child(cases: DataFrame, child: str, fields: list[str],
     # Two projections on purpose: the generator then sees only top-level,
     # already pruned columns, so a filter placed above the explode cannot
     # pull the whole ``output`` struct back into the scan.
-    keys = ["id1", "file"] + ([SOURCE_ROW] if with_source_row else [])
+    keys = ["id1", "file", *carried(cases)] + ([SOURCE_ROW] if with_source_row else [])
     extra = [order_column(cases)] if with_source_row else []
-    narrow = ok_cases(cases).select(F.col("output.id1").alias("id1"), F.col("file"),
+    narrow = ok_cases(cases).select(F.col("output.id1").alias("id1"), F.col("file"), *carried(cases),
                                     *extra, zipped.alias("_arr"))
     exploded = narrow.select(*keys, F.posexplode("_arr").alias("pos", "x"))
     return exploded.select(*keys, "pos", *[F.col("x")[f].alias(f) for f in fields])

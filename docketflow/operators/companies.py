@@ -5,7 +5,10 @@ Plan: classify each DISTINCT name once, then join the labels back.
 ``distinct`` is a hash aggregate with map-side partial aggregation, so a
 name carried by a third of all rows collapses before the shuffle.  The
 rule chain is a reversed first-match CASE, so a name stops at
-its first (i.e. last-listed) hit.
+its first (i.e. last-listed) hit.  Rules are found by the literals they need
+(``functions.literals``): most names hold none and meet no rule, the others
+meet ``contains`` and few regexes, so that names that are mostly different
+stay cheap too.
 """
 
 from __future__ import annotations
@@ -13,19 +16,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.rules import COMPANY_RULES, SEGMENT_RULES, as_patterns
-from ..functions.text import last_match_label
-
-COMPANY_PATTERNS = as_patterns(COMPANY_RULES)
-SEGMENT_PATTERNS = as_patterns(SEGMENT_RULES)
+from ..functions.literals import last_rule
+from ..functions.rules import COMPANY_RULES, SEGMENT_RULES
+from ..functions.text import col
 
 
 def company_label(c):
-    return last_match_label(c, COMPANY_PATTERNS)
+    return last_rule(col(c), COMPANY_RULES)
 
 
 def segment_label(c):
-    return last_match_label(c, SEGMENT_PATTERNS)
+    return last_rule(col(c), SEGMENT_RULES)
 
 
 def label_distinct(df: DataFrame, src: str, derive) -> DataFrame:

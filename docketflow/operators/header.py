@@ -1,9 +1,10 @@
 """Header branch: key/value rows of each case to 17 typed columns.
 
 1. explode ``output.data`` with positions and clean the keys;
-2. drop keys seen once in the WHOLE table: a count per key (partial
-   aggregation), of which only the keys seen once are joined back (anti join),
-   so a key present in every case cannot pile up in one task;
+2. drop keys seen once in the WHOLE table: a count per key with the least
+   case key (partial aggregation).  A key seen once belongs to that one case, so
+   it comes back by case key, the partitioning that step 3 needs anyway; no
+   header row is ever shuffled by its key;
 3. ONE aggregate per case key: for each of the eight used keys, the
    distinct values in first-seen order joined by ``@`` (this is the pivot,
    done as conditional aggregation so it costs a single shuffle);
@@ -18,7 +19,7 @@ from pyspark.sql import functions as F
 from ..functions.rules import COMARCA_FIXES
 from ..functions.text import (clean_key, clean_place, pad2, parse_real, split_get)
 from ..session import stored
-from .cases import KEY, unnest_child, with_key, without_key
+from .cases import KEY, carried, unnest_child, with_key, without_key
 
 # --- fixed values -----------------------------------------------------------
 # Header keys used downstream, as cleaned (squished, unaccented, lower).
@@ -53,7 +54,7 @@ def column_name(key: str) -> str:
 def header_long(cases: DataFrame) -> DataFrame:
     """``id1, file, pos, data, value`` with cleaned keys (cleaned per row)."""
     x = unnest_child(cases, "data", ["data", "value"], with_source_row=True)
-    return x.select("id1", "file", "src_row", "pos", clean_key("data").alias("data"), "value")
+    return x.select("id1", "file", *carried(x), "src_row", "pos", clean_key("data").alias("data"), "value")
 
 
 def raw_key_counts(cases: DataFrame) -> DataFrame:
@@ -75,16 +76,29 @@ def kept_keys_of(cases: DataFrame) -> DataFrame:
     return key_totals(cases).filter(F.col("n") > 1)
 
 
-def rare_keys(cases: DataFrame) -> DataFrame:
-    """Keys seen once, as a written table: each belongs to a single row, so
-    no join with them has a hot key, and Spark sees their size."""
-    return stored(key_totals(cases).filter(F.col("n") == 1).select(F.col("data").alias("_rare")), "rare-keys")
+def rare_by_case(cases: DataFrame) -> DataFrame:
+    """``case_key, n_rare, rare``: the cases that hold keys seen once in the
+    whole table, and those keys (as structs, since a key may be NULL), as a
+    written table.  One scan: raw spellings are counted with the least case key
+    beside the count, which is the only one where the count is 1."""
+    raw = with_key(unnest_child(cases, "data", ["data"]))
+    per_raw = raw.groupBy("data").agg(F.count(F.lit(1)).alias("n"), F.min(KEY).alias(KEY))
+    cleaned = per_raw.select(clean_key("data").alias("data"), "n", KEY)
+    once = cleaned.groupBy("data").agg(F.sum("n").alias("n"), F.min(KEY).alias(KEY)).where(F.col("n") == 1)
+    by_case = once.groupBy(KEY).agg(F.count(F.lit(1)).alias("n_rare"), F.collect_list(F.struct("data")).alias("rare"))
+    return stored(by_case, "rare-by-case")
+
+
+def is_rare(key: Column, rare: Column) -> Column:
+    """Whether a cleaned key is among a case's ``rare`` ones."""
+    return F.coalesce(F.exists(rare, lambda r: r["data"].eqNullSafe(key)), F.lit(False))
 
 
 def header_long_kept(cases: DataFrame) -> DataFrame:
-    """Header rows whose key is seen more than once, with the cleaned key."""
-    long = header_long(cases)
-    return long.join(rare_keys(cases), F.col("data").eqNullSafe(F.col("_rare")), "left_anti")
+    """``case_key, src_row, pos, data, value`` of the header rows whose key is
+    seen more than once."""
+    long = with_key(header_long(cases)).join(rare_by_case(cases), KEY, "left")
+    return long.where(~is_rare(F.col("data"), F.col("rare"))).drop("n_rare", "rare")
 
 
 def _joined_values(cond: Column) -> Column:
@@ -97,7 +111,7 @@ def _joined_values(cond: Column) -> Column:
 
 def header_values(cases: DataFrame) -> DataFrame:
     """One joined value per (case, kept key)."""
-    long = with_key(header_long_kept(cases))
+    long = header_long_kept(cases)
     return without_key(long.groupBy(KEY, "data").agg(_joined_values(F.lit(True)).alias("value")))
 
 
@@ -105,7 +119,7 @@ def keyed_wide(cases: DataFrame) -> DataFrame:
     # a row of an unused key only shows that the case has a header row: its
     # value stays behind
     value = F.when(F.col("data").isin(HEADER_KEYS), F.col("value"))
-    long = with_key(header_long_kept(cases).withColumn("value", value))
+    long = header_long_kept(cases).withColumn("value", value)
     aggs = [_joined_values(F.col("data") == k).alias(column_name(k)) for k in HEADER_KEYS]
     return long.groupBy(KEY).agg(*aggs)
 

@@ -1,8 +1,8 @@
 """Docket pages to movement rows.
 
 Only reading the HTML runs in Python (``mapInPandas``, Arrow batches of
-pages, one regex pass over each page's tags); every step after it is a native
-expression:
+pages, one pass over each page's tags, in time proportional to the page however
+broken it is); every step after it is a native expression:
 
 * P1  fault-tolerant map: every page yields its rows, or ONE row with
       ``return = 'error'`` when it cannot be read -- a failure never fails
@@ -15,7 +15,11 @@ expression:
 * P7  split the movement text at newline+tab into title and body (rest
       stays in the body, missing body is NULL);
 * P8  squish every column (Unicode whitespace, incl. NBSP);
-* P9  day/month/year parse; impossible dates give NULL.
+* P9  day, month (number or name) and year; impossible dates give NULL.
+
+A page may be saved again, the same day or later.  ``merge_movements`` takes
+one page for each record: of its own day if the records have one, else the
+newest as of a day.
 """
 
 from __future__ import annotations
@@ -29,7 +33,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import split_get, squish
+from ..functions.markup import Markup
+from ..functions.text import split_get, squish, unaccent
 
 # The page parser runs in Python workers, which may not have this package
 # installed: ship this module's code with the task instead of by reference.
@@ -46,22 +51,26 @@ TEXT_COLUMN = "movimento"
 TITLE_SEP = "\n\t"
 DATE_FORMAT = "d/M/yyyy"
 TWO_DIGIT_PIVOT = 68
+MONTH_NAMES = [
+    ("jan", "janeiro", "january"), ("fev", "fevereiro", "feb", "february"), ("mar", "marco", "march"),
+    ("abr", "abril", "apr", "april"), ("mai", "maio", "may"), ("jun", "junho", "june"), ("jul", "julho", "july"),
+    ("ago", "agosto", "aug", "august"), ("set", "setembro", "sep", "september"), ("out", "outubro", "oct", "october"),
+    ("nov", "novembro", "november"), ("dez", "dezembro", "dec", "december"),
+]
 # ----------------------------------------------------------------------------
 
-PARSED_SCHEMA = ("file string, sg_date date, return string, error string, pos int, "
+_GAP = "[^0-9a-z]+"
+_NUMBERS = f"^([0-9]{{1,2}}){_GAP}([0-9]{{1,2}}){_GAP}([0-9]{{4}}|[0-9]{{2}})$"
+_NAMED = f"^([0-9]{{1,2}})[^0-9a-z]*(?:de{_GAP})?([a-z]{{3,}})[^0-9a-z]*(?:de{_GAP})?([0-9]{{4}}|[0-9]{{2}})$"
+_JOINED = "^([0-9]{2})([0-9]{2})([0-9]{4}|[0-9]{2})$"
+
+PARSED_SCHEMA = ("file string, sg_date date, read timestamp, return string, error string, pos int, "
                  "movement_txt string, x3 string")
 
 
-# One regex pass tokenizes the page: comments, doctype/processing
-# instructions and script/style bodies are skipped whole; tags yield their
-# name and attribute text; everything else is text.
-_TOKEN = re.compile(
-    r"<!--.*?-->|<![^>]*>|<\?[^>]*>"
-    r"|<(script|style)\b[^>]*>.*?</\1\s*>"
-    r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>"
-    r"|([^<]+|<)", re.S | re.I)
+_MARKUP = Markup(("script", "style"))
 _ID = re.compile(r"""(?:^|\s)id\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
-_SPAN = re.compile(r"""(?:^|\s)(col|row)span\s*=\s*["']?\s*(\d+)""", re.I)
+_SPAN = re.compile(r"""(?:^|\s)(col|row)span\s*=\s*["']?\s*([0-9]{1,9})""", re.I)
 _CHARSET = re.compile(rb"""<meta[^>]{0,1000}?charset\s*=\s*["']?\s*([a-zA-Z0-9_:.-]+)""", re.I)
 _HEAD_END = re.compile(rb"</head\b|<body\b", re.I)
 _MAX_COLSPAN = 1000  # HTML's own limit
@@ -70,25 +79,25 @@ _VOID = frozenset(["br", "img", "hr", "meta", "link", "input", "col", "area", "b
 
 
 def _scan(page: str, sink: "_Tables") -> None:
-    for m in _TOKEN.finditer(page):
-        name = m.group(3)
-        if name is not None:
-            tag = name.lower()
-            if m.group(2):
-                sink.handle_endtag(tag)
-            else:
-                attrs = m.group(4)
-                ident = None
-                if attrs:
-                    a = _ID.search(attrs)
-                    if a:
-                        ident = _html.unescape(a.group(1) or a.group(2) or a.group(3) or "")
-                sink.handle_starttag(tag, ident, attrs)
-                if tag in _VOID or attrs.rstrip().endswith("/"):
-                    sink.handle_endtag(tag)
-        elif m.group(5) is not None:
-            text = m.group(5)
-            sink.handle_data(_html.unescape(text) if "&" in text else text)
+    """Comments, declarations and raw elements are skipped whole; every other
+    token goes to ``sink``."""
+    at = 0
+    for start, end, tag, closing, attrs in _MARKUP.tokens(page):
+        if start > at:
+            sink.handle_data(page[at:start])
+        at = end
+        if closing is None:
+            continue
+        if closing:
+            sink.handle_endtag(tag)
+            continue
+        a = _ID.search(attrs) if attrs else None
+        ident = _html.unescape(a.group(1) or a.group(2) or a.group(3) or "") if a else None
+        sink.handle_starttag(tag, ident, attrs)
+        if tag in _VOID or attrs.rstrip().endswith("/"):
+            sink.handle_endtag(tag)
+    if at < len(page):
+        sink.handle_data(page[at:])
 
 
 def decode_page(raw: bytes) -> str:
@@ -97,7 +106,7 @@ def decode_page(raw: bytes) -> str:
     for mark, name in ((b"\xef\xbb\xbf", "utf-8-sig"), (b"\xff\xfe", "utf-16"), (b"\xfe\xff", "utf-16")):
         if raw.startswith(mark):
             return raw.decode(name, "replace")
-    end = _HEAD_END.search(raw, 8192)
+    end = _HEAD_END.search(raw)
     found = _CHARSET.search(raw, 0, end.start() if end else len(raw))
     if found:
         name = found[1].decode("ascii").lower()
@@ -112,20 +121,43 @@ def decode_page(raw: bytes) -> str:
         return raw.decode("cp1252", "replace")
 
 
+def _flat(parts: list) -> str:
+    """Text of nested lists of texts."""
+    out, todo = [], [iter(parts)]
+    while todo:
+        for x in todo[-1]:
+            if isinstance(x, str):
+                out.append(x)
+            else:
+                todo.append(iter(x))
+                break
+        else:
+            todo.pop()
+    return "".join(out).strip()
+
+
 class _Table:
-    """Rows of one table; a cell that spans columns or rows is repeated."""
+    """Rows of one table; a cell that spans columns or rows is repeated.  A
+    cell is a list of texts and of the lists of tables inside it: each text is
+    kept once, however deep it stands, and joined only if it is asked for."""
 
     def __init__(self):
-        self.rows: list[list[str]] = []
+        self.rows: list[list[list]] = []
         self.heads: list[bool] = []        # per row: made of <th> only
         self.row: list[tuple] | None = None
-        self.cell: list[str] | None = None
+        self.cell: list | None = None
         self.kind: tuple = ()
-        self.below: dict[int, tuple] = {}  # column -> (rows to come, text)
+        self.text: list = []               # all text of the table
+        self.below: dict[int, tuple] = {}  # column -> (rows to come, cell)
+
+    def add(self, text) -> None:
+        self.text.append(text)
+        if self.cell is not None:
+            self.cell.append(text)
 
     def end_cell(self):
         if self.cell is not None:
-            self.row.append(("".join(self.cell).strip(), *self.kind))
+            self.row.append((self.cell, *self.kind))
             self.cell = None
 
     def end_row(self):
@@ -135,17 +167,17 @@ class _Table:
 
             def from_above():
                 while len(out) in self.below:
-                    left, text = self.below[len(out)]
+                    left, cell = self.below[len(out)]
                     if left > 1:
-                        below[len(out)] = (left - 1, text)
-                    out.append(text)
+                        below[len(out)] = (left - 1, cell)
+                    out.append(cell)
 
-            for text, _, wide, high in self.row:
+            for cell, _, wide, high in self.row:
                 from_above()
                 for _ in range(wide):
                     if high != 1:
-                        below[len(out)] = (high - 1 if high else 1 << 30, text)
-                    out.append(text)
+                        below[len(out)] = (high - 1 if high else 1 << 30, cell)
+                    out.append(cell)
             from_above()
             self.rows.append(out)
             self.heads.append(all(c[1] for c in self.row))
@@ -154,34 +186,46 @@ class _Table:
 
 
 _CELLS, _ROWS, _GROUPS = ("td", "th"), ("tr",), ("thead", "tbody", "tfoot")
+_ENDS = {"td": [_CELLS], "th": [_CELLS], "tr": [_CELLS, _ROWS], **dict.fromkeys(_GROUPS, [_CELLS, _ROWS, _GROUPS])}
 
 
 class _Tables:
     """Collects every table's rows of cell texts and remembers the first
     table that is the parent of the movements element or of anything
-    inside it."""
+    inside it.  ``where`` holds the places of the open elements by tag, so no
+    step looks through all of them."""
 
     def __init__(self):
         self.open: list[str] = []          # open element tags
+        self.where: dict[str, list[int]] = {}
         self.stack: list[_Table] = []      # open tables
         self.inside_target = 0             # depth of the movements element, 0 = not inside
         self.target: _Table | None = None
 
+    def _last(self, *tags) -> int:
+        """Place of the innermost open element of these tags, or -1."""
+        return max(self.where[t][-1] if self.where.get(t) else -1 for t in tags)
+
+    def _push(self, tag):
+        self.where.setdefault(tag, []).append(len(self.open))
+        self.open.append(tag)
+
     def handle_starttag(self, tag, ident, attrs=""):
         # an open cell, row or row group ends where the next one begins
         if self.stack:
-            for kinds in {"td": [_CELLS], "th": [_CELLS], "tr": [_CELLS, _ROWS]}.get(
-                    tag, [_CELLS, _ROWS, _GROUPS] if tag in _GROUPS else []):
-                self._end_open(kinds)
+            for kinds in _ENDS.get(tag, ()):
+                i = self._last(*kinds)
+                if i > self._last("table"):
+                    self.handle_endtag(self.open[i])
             if tag in _CELLS and self.stack[-1].row is None:
-                self.open.append("tr")
+                self._push("tr")
                 self.stack[-1].row = []
         if self.target is None and (ident == MOVEMENTS_ELEMENT_ID or self.inside_target):
             if self.open and self.open[-1] == "table" and self.stack:
                 self.target = self.stack[-1]
         if ident == MOVEMENTS_ELEMENT_ID and not self.inside_target:
             self.inside_target = len(self.open) + 1
-        self.open.append(tag)
+        self._push(tag)
         if tag == "table":
             self.stack.append(_Table())
         elif tag == "tr" and self.stack:
@@ -191,47 +235,36 @@ class _Tables:
             self.stack[-1].cell = []
             self.stack[-1].kind = (tag == "th", min(max(span.get("col", 1), 1), _MAX_COLSPAN), span.get("row", 1))
 
-    def _end_open(self, kinds):
-        for tag in reversed(self.open):
-            if tag == "table":
-                return
-            if tag in kinds:
-                self.handle_endtag(tag)
-                return
-
     def handle_endtag(self, tag):
-        if tag not in self.open:
-            return
+        i = self._last(tag)
         # an end tag reaches no further than the table it stands in
-        if tag != "table" and "table" in self.open:
-            inner = len(self.open) - 1 - self.open[::-1].index("table")
-            if tag not in self.open[inner:]:
-                return
-        while self.open:
-            if self._pop() == tag:
-                break
+        if i < 0 or tag != "table" and i < self._last("table"):
+            return
+        while len(self.open) > i:
+            self._pop()
 
     def _pop(self):
         tag = self.open.pop()
+        self.where[tag].pop()
         if self.stack:
             if tag in _CELLS:
                 self.stack[-1].end_cell()
             elif tag == "tr":
                 self.stack[-1].end_row()
             elif tag == "table":
-                self.stack.pop()
+                inner = self.stack.pop()
+                if self.stack:
+                    self.stack[-1].add(inner.text)
         if self.inside_target and len(self.open) < self.inside_target:
             self.inside_target = 0
-        return tag
 
     def finish(self):
         while self.open:
             self._pop()
 
     def handle_data(self, data):
-        for t in self.stack:
-            if t.cell is not None:
-                t.cell.append(data)
+        if self.stack:
+            self.stack[-1].add(_html.unescape(data) if "&" in data else data)
 
 
 def snake_names(names: list[str]) -> list[str]:
@@ -262,7 +295,7 @@ def movement_rows(html: str) -> list[tuple[str | None, str | None]]:
         raise ValueError("movement table is empty")
     width = max(len(r) for r in rows)
     if heads[0]:
-        header, body = rows[0], rows[1:]
+        header, body = [_flat(c) for c in rows[0]], rows[1:]
     else:
         header, body = [f"X{i + 1}" for i in range(width)], rows
     cols = snake_names(header + [""] * (width - len(header)))
@@ -271,8 +304,7 @@ def movement_rows(html: str) -> list[tuple[str | None, str | None]]:
     di, ti = cols.index(DATE_COLUMN), cols.index(TEXT_COLUMN)
     out = []
     for r in body:
-        r = r + [None] * (width - len(r))
-        out.append((r[di], r[ti]))
+        out.append(tuple(_flat(r[i]) if i < len(r) else None for i in (di, ti)))
     return out
 
 
@@ -285,26 +317,37 @@ def _read(html) -> list[tuple[str | None, str | None]]:
 def _parse_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for pdf in batches:
         recs = []
-        for file, day, html in zip(pdf["file"], pdf["sg_date"], pdf["html"]):
+        for file, day, read, html in zip(pdf["file"], pdf["sg_date"], pdf["read"], pdf["html"]):
+            page = (file, day, read)
             try:
                 rows = _read(html)
                 for i, (d, t) in enumerate(rows):
-                    recs.append((file, day, "result", None, i, d, t))
+                    recs.append((*page, "result", None, i, d, t))
                 if not rows:  # readable page without movements: status row only
-                    recs.append((file, day, "result", None, None, None, None))
+                    recs.append((*page, "result", None, None, None, None))
             except Exception as e:  # per-page failure becomes a status row
-                recs.append((file, day, "error", f"{type(e).__name__}: {e}",
-                             None, None, None))
+                recs.append((*page, "error", f"{type(e).__name__}: {e}", None, None, None))
         out = pd.DataFrame.from_records(
-            recs, columns=["file", "sg_date", "return", "error", "pos", "movement_txt", "x3"])
+            recs, columns=["file", "sg_date", "read", "return", "error", "pos", "movement_txt", "x3"])
         out["pos"] = out["pos"].astype("Int32")
+        out["read"] = out["read"].astype(pdf["read"].dtype)
         yield out
 
 
 def parse_pages(pages: DataFrame) -> DataFrame:
-    """P1 + P5: ``(file, sg_date, html)`` -> raw movement rows + status.
-    ``html`` is text, or the saved bytes in their own charset."""
-    return pages.select("file", "sg_date", "html").mapInPandas(_parse_batches, PARSED_SCHEMA)
+    """P1 + P5: ``(file, sg_date, html[, read])`` -> raw movement rows +
+    status.  ``html`` is text, or the saved bytes in their own charset;
+    ``read`` is when the page was saved, if that is known.  Each page gives one
+    row with ``pos`` 0 or NULL, and more only if it has more movements."""
+    read = F.col("read") if "read" in pages.columns else F.lit(None)
+    return pages.select("file", "sg_date", read.cast("timestamp").alias("read"), "html").mapInPandas(_parse_batches, PARSED_SCHEMA)
+
+
+def page_metrics() -> list:
+    """P2 for ``DataFrame.observe`` on parsed rows: pages, unreadable pages
+    and movement rows, counted by the job that passes the rows on."""
+    return [F.count_if(F.coalesce(F.col("pos"), F.lit(0)) == 0).alias("n_pages"),
+            F.count_if(F.col("return") == "error").alias("n_error"), F.count("pos").alias("n_movements")]
 
 
 def _status_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -326,48 +369,82 @@ def page_counts(pages: DataFrame) -> DataFrame:
 
 
 def parse_dmy(text) -> "F.Column":
-    """Day-month-year text to DATE; ``-``, ``.`` or blank separators; a
-    two-digit year is 20yy up to 68 and 19yy from 69; anything else,
+    """Day, month and year in this order to DATE.  The month is a number or
+    its English or Portuguese name (whole or its first three letters); parts
+    are divided by anything but letters and digits (a month name also by
+    nothing, and by ``de``), or written without a gap as six or eight digits.
+    A two-digit year is 20yy up to 68 and 19yy from 69; anything else,
     including impossible dates, gives NULL."""
-    d = F.regexp_replace(squish(text), r"[-. ]", "/")
-    two = d.rlike(r"^[0-9]{1,2}/[0-9]{1,2}/[0-9]{2}$")
-    yy = F.substring_index(d, "/", -1)
-    head = F.substring_index(d, "/", 2)
-    full = (F.when(two & (yy.cast("int") <= TWO_DIGIT_PIVOT), F.concat(head, F.lit("/20"), yy))
-            .when(two, F.concat(head, F.lit("/19"), yy))
-            .otherwise(d))
-    return F.try_to_date(full, DATE_FORMAT)
+    d = F.lower(unaccent(squish(text)))
+
+    def part(pattern, k):
+        return F.when(d.rlike(pattern), F.regexp_extract(d, pattern, k))
+
+    months = F.create_map(*[F.lit(x) for n, names in enumerate(MONTH_NAMES, 1) for name in names for x in (name, str(n))])
+    forms = [(_NUMBERS, lambda m: m), (_NAMED, lambda m: F.try_element_at(months, m)), (_JOINED, lambda m: m)]
+    day = F.coalesce(*(part(p, 1) for p, _ in forms))
+    month = F.coalesce(*(number(part(p, 2)) for p, number in forms))
+    year = F.coalesce(*(part(p, 3) for p, _ in forms))
+    century = F.when(F.length(year) > 2, "").when(year.cast("int") <= TWO_DIGIT_PIVOT, "20").otherwise("19")
+    return F.try_to_date(F.concat(day, F.lit("/"), month, F.lit("/"), century, year), DATE_FORMAT)
+
+
+def _kept():
+    """Rows of readable pages whose date text is not empty (P6)."""
+    return (F.col("return") != "error") & F.col("pos").isNotNull() & (F.col("movement_txt") != "")
+
+
+def tidy_columns(parsed: DataFrame) -> DataFrame:
+    """Parsed rows with ``movement``, ``title`` and ``txt`` (P7-P9)."""
+    return parsed.withColumns({
+        "movement": parse_dmy(F.col("movement_txt")), "title": squish(split_get("x3", TITLE_SEP, 2, 0)),
+        "txt": squish(split_get("x3", TITLE_SEP, 2, 1))})
 
 
 def tidy_movements(parsed: DataFrame) -> DataFrame:
     """P6-P9 on parsed rows of readable pages."""
-    ok = parsed.filter((F.col("return") != "error") & F.col("pos").isNotNull())
-    kept = ok.filter(F.col("movement_txt") != "")
-    title = split_get("x3", TITLE_SEP, 2, 0)
-    body = split_get("x3", TITLE_SEP, 2, 1)
-    return kept.select(
-        "file", "sg_date", "pos", parse_dmy(F.col("movement_txt")).alias("movement"),
-        squish(title).alias("title"), squish(body).alias("txt"))
+    return tidy_columns(parsed.filter(_kept())).select("file", "sg_date", "pos", "movement", "title", "txt")
 
 
 def nested_movements(parsed: DataFrame) -> DataFrame:
-    """Per page: ``file``, ``page_return``, and its movements as the record
-    holds them (``movs``, in page order)."""
-    rows = tidy_movements(parsed).groupBy("file").agg(F.transform(
-        F.array_sort(F.collect_list(F.struct("pos", "movement", "title", "txt"))),
-        lambda x: F.struct(x["movement"].alias("movement"), x["title"].alias("title"), x["txt"].alias("txt"))).alias("movs"))
-    pages = parsed.groupBy("file", "sg_date").agg(F.max_by("return", F.col("return") == "error").alias("page_return"))
-    return pages.join(rows, "file", "left")
-
-
-def merge_movements(cases: DataFrame, parsed: DataFrame) -> DataFrame:
-    """Case records with the movements of their pages and the pages' day: a
-    page that cannot be read makes its record an error; a record without a
-    page keeps what it has."""
+    """One row per saved page (``file, sg_date, read``): ``page_return`` and
+    its movements as the record holds them (``movs``, in page order)."""
+    row = F.struct("pos", "movement", "title", "txt")
+    kept = tidy_columns(parsed.repartition("file")).withColumn("_row", F.when(_kept(), row))
+    movs = F.transform(F.array_sort(F.collect_list("_row")),
+                       lambda x: F.struct(x["movement"].alias("movement"), x["title"].alias("title"), x["txt"].alias("txt")))
+    return kept.groupBy("file", "sg_date", "read").agg(
+        F.max_by("return", F.col("return") == "error").alias("page_return"), movs.alias("movs"))
+
+
+def chosen_pages(parsed: DataFrame, by_day: bool, as_of=None) -> DataFrame:
+    """One page for each file (and day, if ``by_day``): the one of the newest
+    day, then read last, as of the end of the day ``as_of`` if given.  Pages
+    read at one time are one page."""
     pages = nested_movements(parsed)
-    both = cases.join(pages, "file", "left")
+    if as_of is not None:
+        pages = pages.where(F.col("sg_date").isNull() | (F.col("sg_date") <= F.lit(str(as_of)).cast("date")))
+    keys = ["file", "sg_date"] if by_day else ["file"]
+    order = F.struct(F.col("sg_date").isNotNull(), "sg_date", F.col("read").isNotNull(), "read")
+    best = pages.groupBy(*keys).agg(F.max_by(F.struct("sg_date", "page_return", "movs"), order).alias("_p"))
+    return best.select("file", "_p.*")
+
+
+def merge_movements(cases: DataFrame, parsed: DataFrame, as_of=None) -> DataFrame:
+    """Case records with the movements of one of their pages and that page's
+    day: of the record's own day if records have a day (``sg_date``), else the
+    newest, as of a day if one is given.  A record never stands twice for a
+    page that was saved twice.  A page that cannot be read makes its record an
+    error; a record without a page keeps what it has."""
+    by_day = "sg_date" in cases.columns
+    pages = chosen_pages(parsed, by_day, as_of)
+    on = F.col("file") == F.col("_file")
+    if by_day:
+        pages = pages.withColumnRenamed("sg_date", "_day")
+        on = on & F.col("sg_date").eqNullSafe(F.col("_day"))
+    both = cases.join(pages.withColumnRenamed("file", "_file"), on, "left")
     empty = F.array().cast(cases.schema["output"].dataType["movs"].dataType)
     movs = F.when(F.col("page_return").isNull(), F.col("output.movs")).otherwise(F.coalesce("movs", empty))
     status = F.when(F.col("page_return") == "error", F.lit("error")).otherwise(F.col("return"))
-    rest = [c for c in cases.columns if c not in ("return", "output")]
+    rest = [c for c in cases.columns if c not in ("return", "output", "sg_date")]
     return both.select(*rest, status.alias("return"), F.col("output").withField("movs", movs).alias("output"), "sg_date")

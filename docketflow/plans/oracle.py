@@ -332,7 +332,7 @@ SELECT data AS code, CAST(count(*) AS BIGINT) AS n_rows, """ + (
         "WHEN 'tempo_2inst' THEN 'Tempo tribunal' WHEN 'cidade' THEN 'Cidade origem' END"
     ) + """ AS title FROM h_long GROUP BY data""",
 }
-ORACLE["tidy_cases_fast"] = ORACLE["tidy_cases"]
+ORACLE["tidy_cases_fast"] = ORACLE["bucketed_tidy"] = ORACLE["tidy_cases"]
 
 _sqp = "trim(regexp_replace(replace({x}, chr(160), ' '), '\\s+', ' ', 'g'))"
 
@@ -349,6 +349,13 @@ SELECT sg_date, CAST(count(*) FILTER (WHERE shape <> 'table') AS BIGINT) AS n_er
        CAST(count(*) FILTER (WHERE shape = 'table' AND EXISTS
             (SELECT 1 FROM fx_page_rows r WHERE r.k = f.k)) AS BIGINT) AS n_pages_with_rows
 FROM fx_page_files f GROUP BY sg_date""",
+    "saved_pages": with_(fixtures=["fx_page_rows", "fx_page_files"]) + """
+SELECT file, CASE WHEN shape = 'table' THEN 'result' ELSE 'error' END AS status,
+       CAST(CASE WHEN shape = 'table' THEN (SELECT count(*) FROM fx_page_rows r WHERE r.k = f.k AND trim(date_txt) <> '') ELSE 0 END AS BIGINT) AS n_movements
+FROM fx_page_files f WHERE shape <> 'missing' AND k % 10 <> 3""",
+    "saved_files": with_(fixtures=["fx_page_files"]) + """
+SELECT file AS about, CASE WHEN k % 10 = 3 THEN 'other' ELSE 'page' END AS kind, true AS absolute
+FROM fx_page_files WHERE shape <> 'missing'""",
     "search_results": with_(fixtures=["fx_index"]) + """
 SELECT sg_date, id_lawsuit, k AS n_result FROM fx_index""",
     "lawsuit_ids": with_(fixtures=["fx_index"]) + """

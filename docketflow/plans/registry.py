@@ -9,7 +9,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.names import display_from_fixed, fix_names, is_legal_person, legal_person_from
@@ -25,8 +25,8 @@ from ..operators import movements as MV
 from ..operators import search as SE
 from ..session import scratch_path, stored
 from ..sources.fixtures import Fixtures
-from ..sources.inputs import _fingerprint, cases_for, read_case_days, write_case_days
-from ..sources.pages import build_docket_pages, build_search_pages
+from ..sources.inputs import _fingerprint, cases_for, read_case_days, write_case_days, write_cases_by_key
+from ..sources.pages import build_docket_pages, build_saved_again, build_search_pages, read_saved_pages, write_page_files
 from ..sources.store import read_daily, write_daily
 from . import tidy as T
 from . import tidy_fast as TF
@@ -135,22 +135,62 @@ def daily_store(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stored_tidy(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Saved pages to the tidy table: page movements become the records'
-    movements, records are stored by day, the table is made from the store."""
+    movements, records are stored by day, the table is made from the store.
+    Many pages were saved more than once."""
     cases = cases_for(spark, sf_dir)
     none = F.lit(None).cast(cases.schema["output"].dataType["movs"].dataType)
     cases = cases.withColumn("output", F.col("output").withField("movs", none))
-    parsed = stored(MV.parse_pages(build_docket_pages(Fixtures(spark, sf_dir))), "parsed-pages")
+    parsed = stored(MV.parse_pages(build_saved_again(build_docket_pages(Fixtures(spark, sf_dir)))), "parsed-pages")
     path = scratch_path(spark, "store", _fingerprint(spark, sf_dir), f"cases-{uuid.uuid4().hex}")
-    write_case_days(MV.merge_movements(cases, parsed), path)
+    write_case_days(MV.merge_movements(cases, parsed, as_of="2099-12-31"), path)
     return TF.tidy_cases_fast(read_case_days(spark, path))
 
 
+def bucketed_tidy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The tidy table from records that are bucketed by case key once."""
+    path = scratch_path(spark, "bucketed", _fingerprint(spark, sf_dir), uuid.uuid4().hex)
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return T.tidy_cases(write_cases_by_key(cases_for(spark, sf_dir), path, buckets))
+
+
+def _page_files(spark: SparkSession, sf_dir: str) -> str:
+    """A folder with a file for every docket page."""
+    folder = scratch_path(spark, "files", _fingerprint(spark, sf_dir), uuid.uuid4().hex)
+    write_page_files(build_docket_pages(Fixtures(spark, sf_dir)), folder, F.when(F.regexp_extract("file", "([0-9]+)", 1).cast("bigint") % 10 == 3, "other").otherwise("page"))
+    return folder
+
+
+def _about() -> Column:
+    """The docket file a page is about, in its text."""
+    return F.regexp_extract(F.decode("html", "UTF-8"), r"pages/[0-9]+\.html", 0)
+
+
+def saved_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S4: saved files whose path matches a regex, read and parsed."""
+    pages = read_saved_pages(spark, _page_files(spark, sf_dir), name_regex="kind=page/", recursive=True, partition_bytes=32 << 20)
+    parsed = MV.parse_pages(pages.select(_about().alias("file"), F.lit(None).cast("date").alias("sg_date"), "html", "read"))
+    got = MV.nested_movements(parsed)
+    return got.select("file", F.col("page_return").alias("status"), F.size("movs").cast("bigint").alias("n_movements"))
+
+
+def saved_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S5: every saved file, by absolute path; here with what its path says."""
+    pages = read_saved_pages(spark, _page_files(spark, sf_dir), recursive=True)
+    path = F.col("file")
+    return pages.select(_about().alias("about"), F.regexp_extract(path, "kind=([a-z]+)/", 1).alias("kind"),
+                        F.startswith(path, F.lit("/")).alias("absolute"))
+
+
 def streamed_movements(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The page job as a stream: pages land as files, an ``availableNow``
-    stream parses them into the day-partitioned store, which is read back."""
+    stream parses them into the day-partitioned store, which is read back.
+    Some days were fetched twice; their first fetch had other pages."""
     from ..streaming.daily_ingest import run_once
     run = scratch_path(spark, "stream", _fingerprint(spark, sf_dir), uuid.uuid4().hex)
-    pages = build_docket_pages(Fixtures(spark, sf_dir))
+    second = build_docket_pages(Fixtures(spark, sf_dir)).withColumn("fetch", F.col("sg_date").cast("timestamp") + F.expr("INTERVAL 20 HOURS"))
+    first = second.where(F.day("sg_date") % 4 == 1).select(
+        F.concat(F.lit("old/"), "file").alias("file"), "sg_date", "html", (F.col("fetch") - F.expr("INTERVAL 12 HOURS")).alias("fetch"))
+    pages = second.unionByName(first)
     pages.repartitionByRange("sg_date", "file").write.mode("overwrite") \
         .option("compression", "zstd").parquet(run + "/pages")
     out = run_once(spark, run + "/pages", run + "/store", run + "/checkpoint")
@@ -207,6 +247,9 @@ QUERIES: dict[str, Query] = {
     "page_status": page_status,
     "search_results": search_results,
     "lawsuit_ids": lawsuit_ids,
+    "bucketed_tidy": bucketed_tidy,
+    "saved_pages": saved_pages,
+    "saved_files": saved_files,
     "daily_store": daily_store,
     "streamed_movements": streamed_movements,
     "stored_tidy": stored_tidy,

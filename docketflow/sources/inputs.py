@@ -17,10 +17,10 @@ import uuid
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
-from ..operators.cases import SOURCE_ROW, source_row
+from ..operators.cases import KEY, SOURCE_ROW, key_column, order_column, source_row
 from ..session import scratch_path
 from .fixtures import BASE_TABLES, FIXTURE_SQL, Fixtures, build_cases
-from .store import write_daily
+from .store import write_bucketed, write_daily
 
 CASES_SCHEMA = (
     "file STRING, return STRING, output STRUCT<id1: STRING, "
@@ -91,3 +91,11 @@ def write_case_days(cases: DataFrame, path: str, days: list | None = None) -> No
 def read_case_days(spark: SparkSession, path: str) -> DataFrame:
     """The stored case records of all days, each with its place in the store."""
     return spark.read.schema(CASES_SCHEMA + ", sg_date DATE").parquet(path).select("*", source_row())
+
+
+def write_cases_by_key(cases: DataFrame, path: str, buckets: int, table: str | None = None) -> DataFrame:
+    """Case records bucketed by their case key, each with the key and its
+    place in the source.  All branches and joins of the tidy table, and any
+    later run over the same table, then work without a shuffle of records."""
+    rest = [c for c in cases.columns if c not in (KEY, SOURCE_ROW)]
+    return write_bucketed(cases.select(*rest, order_column(cases), key_column(cases)), KEY, path, buckets, table)

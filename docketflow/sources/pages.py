@@ -4,12 +4,18 @@
   the page-row fixture (Spark only; the oracle reads the rows directly);
 * :func:`build_search_pages` groups the search-index rows into pages of
   20 results, the nested shape a search parser returns;
-* :func:`read_saved_pages` reads a folder of saved files, keeping names
-  that match a glob, with the absolute path as ``file``.
+* :func:`build_saved_again` adds copies of some pages that were saved
+  earlier, earlier the same day, or after the day of interest;
+* :func:`write_page_files` saves pages one file each;
+* :func:`read_saved_pages` reads a folder of saved files, keeping those whose
+  path matches a regex (or whose name a glob), with the absolute path as
+  ``file``.
 """
 
 from __future__ import annotations
 
+from math import ceil
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -75,12 +81,48 @@ def build_search_pages(fx: Fixtures) -> DataFrame:
                     F.lit("result").alias("return"), "output")
 
 
-def read_saved_pages(spark: SparkSession, folder: str, name_glob: str | None = None) -> DataFrame:
-    """S4/S5: each saved file as one row ``(file, html)``: its absolute path
-    and its bytes, whose charset the page parser reads; ``name_glob`` keeps
-    matching file names only (e.g. ``*page*``)."""
-    r = spark.read.format("binaryFile")
+def build_saved_again(pages: DataFrame) -> DataFrame:
+    """``pages`` as read at 20 o'clock of their day, with other copies beside
+    them: some of the day before, some of the same day's morning, some of a
+    far later day.  The copies hold one movement of their own, or none."""
+    number = F.crc32("file")
+    at = F.col("sg_date").cast("timestamp")
+    row = '<tr><td>09/09/2019</td><td></td><td>Outro\n\tdia</td></tr>'
+    html = F.when(number % 2 == 0, F.concat(F.format_string(_HEAD, F.col("file")), F.lit(row + _TAIL))).otherwise(F.lit("<p>nada</p>"))
+    hour = F.expr("INTERVAL 1 HOUR")
+    copies = [("sg_date", at + 20 * hour, F.col("html"), F.lit(True)), (F.date_sub("sg_date", 1), at - 2 * hour, html, number % 4 == 1),
+              ("sg_date", at + 8 * hour, html, number % 5 == 2), (F.lit("2100-01-01").cast("date"), at, html, number % 6 == 3)]
+    saved = F.explode(F.filter(F.array(*(F.when(cond, F.struct((F.col(d) if isinstance(d, str) else d).alias("sg_date"), r.alias("read"), h.alias("html")))
+                                         for d, r, h, cond in copies)), lambda x: x.isNotNull()))
+    return pages.select("file", saved.alias("s")).select("file", "s.*")
+
+
+def write_page_files(pages: DataFrame, folder: str, kind) -> None:
+    """One file per page below ``kind=<kind>/`` of ``folder``; a page without
+    content has no file."""
+    rows = pages.where(F.col("html").isNotNull()).select(F.col("html").alias("value"), kind.alias("kind"))
+    rows.write.partitionBy("kind").option("maxRecordsPerFile", 1).option("compression", "none").text(folder)
+
+
+def read_saved_pages(spark: SparkSession, folder: str, name_glob: str | None = None, name_regex: str | None = None,
+                     recursive: bool = False, partition_bytes: int | None = None) -> DataFrame:
+    """S4/S5: each saved file as one row ``(file, html, read)``: its absolute
+    path, its bytes, whose charset the page parser reads, and when it was
+    saved.  ``name_regex`` keeps the paths that it is found in (e.g. ``page``);
+    files that it drops are not opened.  ``name_glob`` keeps matching names.
+
+    Spark plans a task for about 32 files, however small, as it counts 4 MB for
+    opening one.  ``partition_bytes`` packs as many files in a task as hold so
+    many bytes (a file counts for 4 kB at least), from the listing alone."""
+    r = spark.read.format("binaryFile").option("recursiveFileLookup", str(recursive).lower())
     if name_glob:
         r = r.option("pathGlobFilter", name_glob)
+    found = r.load(folder)
+    if name_regex:
+        found = found.where(F.col("_metadata.file_path").rlike(name_regex))
     path = F.regexp_replace("path", "^file:/+", "/")
-    return r.load(folder).select(path.alias("file"), F.col("content").alias("html"))
+    pages = found.select(path.alias("file"), F.col("content").alias("html"), F.col("modificationTime").alias("read"))
+    if partition_bytes:
+        size = found.agg(F.sum(F.greatest(F.col("length"), F.lit(4096)))).first()[0] or 0
+        pages = pages.coalesce(max(1, ceil(size / partition_bytes)))
+    return pages

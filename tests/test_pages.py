@@ -4,6 +4,7 @@ import os
 import tempfile
 
 import pytest
+from pyspark.sql import functions as F
 
 from docketflow.operators.movements import movement_rows, snake_names
 from docketflow.sources.pages import read_saved_pages
@@ -152,3 +153,81 @@ def test_charset_after_a_long_head():
     from docketflow.operators.movements import decode_page
     page = "<head><style>" + "x" * 20_000 + "</style><meta charset=iso-8859-2></head><body>ł</body>"
     assert decode_page(page.encode("iso-8859-2")) == page
+
+
+# -- pages saved more than once -------------------------------------------------
+
+def _movement_page(*texts):
+    rows = "".join(f"<tr><td>0{i + 1}/03/2017</td><td>{t}</td></tr>" for i, t in enumerate(texts))
+    return f'<table><thead><tr><th>Data</th><th>Movimento</th></tr></thead><tbody id="tabelaTodasMovimentacoes">{rows}</tbody></table>'
+
+
+def test_one_page_for_each_record(spark):
+    """The newest page of a file, as of a day, or the page of the record's own
+    day; never two records for two pages, never one with both's movements."""
+    import datetime as dt
+    from docketflow.operators.movements import merge_movements, parse_pages
+    from docketflow.sources.inputs import CASES_SCHEMA
+    d = [dt.date(2017, 3, n) for n in range(1, 5)]
+    at = lambda day, hour: dt.datetime(2017, 3, day, hour)
+    pages = [("a", d[0], at(1, 8), _movement_page("a1")), ("a", d[1], at(2, 8), _movement_page("a2 early")), ("a", d[1], at(2, 20), _movement_page("a2", "a2b")),
+             ("a", d[3], at(4, 8), _movement_page("a4")), ("b", d[0], at(1, 8), _movement_page("b1")), ("b", d[1], at(2, 8), "<p>nada</p>"),
+             ("c", d[0], None, _movement_page()), (None, d[0], at(1, 8), _movement_page("no file"))]
+    parsed = parse_pages(spark.createDataFrame(pages, "file string, sg_date date, read timestamp, html string"))
+    row = lambda f: (f, "result", (f, [], [], [(None, "old", None)], []))
+    cases = spark.createDataFrame([row(f) for f in ("a", "b", "c", "d", None)], CASES_SCHEMA)
+
+    def got(df):
+        return sorted(((r.file, r["return"], [m.title for m in r.output.movs], r.sg_date) for r in df.collect()), key=str)
+    rest = [("d", "result", ["old"], None), (None, "result", ["old"], None)]
+    assert got(merge_movements(cases, parsed)) == sorted(
+        [("a", "result", ["a4"], d[3]), ("b", "error", [], d[1]), ("c", "result", [], d[0]), *rest], key=str)
+    assert got(merge_movements(cases, parsed, as_of=d[2])) == sorted(
+        [("a", "result", ["a2", "a2b"], d[1]), ("b", "error", [], d[1]), ("c", "result", [], d[0]), *rest], key=str)
+    days = spark.createDataFrame([(x,) for x in d[:3]], "sg_date date")
+    own = cases.where("file in ('a', 'b')").join(days, F.lit(True))
+    assert got(merge_movements(own, parsed)) == sorted(
+        [("a", "result", ["a1"], d[0]), ("a", "result", ["a2", "a2b"], d[1]), ("a", "result", ["old"], d[2]),
+         ("b", "result", ["b1"], d[0]), ("b", "error", [], d[1]), ("b", "result", ["old"], d[2])], key=str)
+
+
+def test_files_by_regex_and_packed(spark, tmp_path):
+    from docketflow.sources.pages import read_saved_pages
+    for k in range(150):
+        (tmp_path / f"{'page' if k % 3 else 'index'}_{k:03d}.html").write_text(f"n{k}")
+    all_ = read_saved_pages(spark, str(tmp_path))
+    some = read_saved_pages(spark, str(tmp_path), name_regex=r"page_0\d[05]")
+    assert all_.count() == 150 and all(r.file.startswith("/") for r in all_.collect())
+    assert sorted(bytes(r.html).decode() for r in some.collect()) == sorted(f"n{k}" for k in range(0, 100, 5) if k % 3)
+    plan = some._jdf.queryExecution().executedPlan()
+    assert len([x for x in some.rdd.glom().collect() if x]) <= 1 and "RLIKE" in plan.toString()
+    assert all_.rdd.getNumPartitions() > 1
+    assert read_saved_pages(spark, str(tmp_path), partition_bytes=1 << 20).rdd.getNumPartitions() == 1
+    assert read_saved_pages(spark, str(tmp_path), partition_bytes=300_000).rdd.getNumPartitions() == 3
+
+
+@pytest.mark.parametrize("text, want", [
+    ("05032017", "2017-03-05"), ("050317", "2017-03-05"), ("5 mar 2017", "2017-03-05"), ("5 de março de 2017", "2017-03-05"), ("05-MAR-2017", "2017-03-05"),
+    ("5mar2017", "2017-03-05"), ("1 dezembro 99", "1999-12-01"), ("3 May, 2001", "2001-05-03"), ("1/2/68", "2068-02-01"), ("1/2/69", "1969-02-01"),
+    ("1. 2. 2003", "2003-02-01"), ("1_2_2003", "2003-02-01"), ("31022017", None), ("31 fev 2017", None), ("5 foo 2017", None), ("532017", None),
+    ("5/3", None), ("05/03/20177", None), ("2017-03-05", None), ("", None), (None, None), ("99/99/9999", None)])
+def test_day_month_year(spark, text, want):
+    from docketflow.operators.movements import parse_dmy
+    got = spark.createDataFrame([(text,)], "t string").select(parse_dmy(F.col("t")).cast("string")).first()[0]
+    assert got == want
+
+
+@pytest.mark.parametrize("piece", ['<p "', "<p>", "<table><td>", "</b><p>", "<thead></thead><p>", "<td rowspan=0>x", "<!--"])
+def test_a_broken_page_ends(piece):
+    import time
+    from docketflow.operators.movements import movement_rows
+    start = time.perf_counter()
+    with pytest.raises(ValueError):
+        movement_rows("<table>" + piece * (1_000_000 // len(piece)))
+    assert time.perf_counter() - start < 10
+
+
+def test_charset_of_a_short_head():
+    from docketflow.operators.movements import decode_page
+    page = "<head><title>é</title></head><body>" + '<meta charset="utf-16">' + "é" * 9000
+    assert decode_page(page.encode()) == page
