@@ -7,8 +7,9 @@ the document as ambiguous.
 
 Defined cases: a null text, or one without a letter, is ``und`` with score 0;
 a null label is never learned; one known language is always predicted; with
-none, all are ``und``.  Equal losses go to the language first in code point
-order.  Repeated rows are predicted alike.  Only ``doc_id``, ``text`` and
+none, as in an empty table, all are ``und``.  Equal losses go to the language
+first in code point order.  Repeated rows are predicted alike; texts of any
+length are read whole.  Only ``doc_id``, ``text`` and
 ``lang`` (for training) are read.
 """
 
@@ -25,7 +26,8 @@ from .ngrams import code_points, grams, squeezed, tables
 BITS = 12
 ORDERS = (1, 2, 3)
 #: Bound of the training sample: documents in all, and at least so many for
-#: each language (chosen by a hash of doc_id).  Everything else covers all rows.
+#: each language (chosen by a hash of id and text, so that rows that share an
+#: id, or have none, are not all in or out).  Everything else covers all rows.
 SAMPLE_DOCS = 4000
 SAMPLE_LEAST = 40
 #: Characters of the short piece that each sampled document adds.
@@ -120,11 +122,40 @@ def fit(x: np.ndarray, y: np.ndarray, code: np.ndarray, steps: int = 120, ridge:
     return w, b, np.log((1 - wrong) / wrong)
 
 
+def _fitter(index: dict, code: np.ndarray):
+    """One task fits the classifiers from the sample's vectors, whose number
+    is bounded; only the weights leave it."""
+    def learn(batches):
+        parts = []
+        for b in batches:
+            for i in range(0, b.num_rows, _ROWS):
+                p = b.slice(i, _ROWS)
+                x = [np.frombuffer(b"".join(p.column(c).to_pylist()), np.float16).reshape(p.num_rows, -1) for c in ("whole", "piece")]
+                parts.append((p.column("lang").to_pylist(), p.column("h").to_numpy(), *x))
+        if not parts:
+            return
+        y = np.array([index[lang] for p in parts for lang in p[0]])
+        n = len(y)
+        order = np.lexsort((np.concatenate([p[1] for p in parts]), y))
+        place = np.empty(n, np.int64)
+        place[order] = np.arange(n)
+        x = np.empty((2 * n, 1 << BITS), np.float32)
+        at = 0
+        for _, _, whole, piece in parts:
+            rows = place[at:at + len(whole)]
+            x[rows], x[n + rows] = whole, piece
+            at += len(whole)
+        parts.clear()
+        w, b, trust = fit(x, np.concatenate([y[order], y[order]]), code)
+        yield pa.RecordBatch.from_arrays([pa.array([a.tobytes()], pa.binary()) for a in (w, b, trust.astype(np.float64))], ["w", "b", "trust"])
+    return learn
+
+
 def train(docs: DataFrame, sample_docs: int = SAMPLE_DOCS) -> dict:
     """Model from the rows of ``docs`` (doc_id, text, lang) with a label."""
     known = docs.where("lang IS NOT NULL").select(
         F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"),
-        F.shiftrightunsigned(F.xxhash64(F.lit(SEED), F.col("doc_id").cast("string")), 1).alias("h"))
+        F.shiftrightunsigned(F.xxhash64(F.lit(SEED), F.col("doc_id").cast("string"), F.col("text").cast("string")), 1).alias("h"))
     counts = {r["lang"]: r["count"] for r in known.groupBy("lang").count().collect()}
     langs = sorted(counts)
     if not langs:
@@ -133,16 +164,14 @@ def train(docs: DataFrame, sample_docs: int = SAMPLE_DOCS) -> dict:
     rule = F.lit(False)
     for lang in langs:
         rule = rule | (F.col("lang") == lang) & (F.col("h") <= hash_limit(share / counts[lang]))
-    got = known.where(rule).mapInArrow(_sample_vectors, "lang string, h long, whole binary, piece binary").toPandas()
-    got = got.sort_values(["lang", "h"], kind="stable")
-    index = {c: i for i, c in enumerate(langs)}
-    y = got["lang"].map(index).to_numpy()
-    x = np.concatenate([np.frombuffer(b"".join(got[c]), np.float16).reshape(len(got), -1) for c in ("whole", "piece")]).astype(np.float32)
     code = codebook(len(langs))
     if len(langs) == 1:
         return {"langs": langs}
-    w, b, trust = fit(x, np.concatenate([y, y]), code)
-    return {"langs": langs, "code": code, "w": w, "b": b, "trust": trust}
+    sample = known.where(rule).mapInArrow(_sample_vectors, "lang string, h long, whole binary, piece binary")
+    model = sample.repartition(1).mapInArrow(_fitter({c: i for i, c in enumerate(langs)}, code), "w binary, b binary, trust binary").first()
+    bits = code.shape[1]
+    return {"langs": langs, "code": code, "w": np.frombuffer(model.w, np.float32).reshape(-1, bits).copy(),
+            "b": np.frombuffer(model.b, np.float32).copy(), "trust": np.frombuffer(model.trust, np.float64).copy()}
 
 
 def decode(margins: np.ndarray, code: np.ndarray, trust: np.ndarray):
