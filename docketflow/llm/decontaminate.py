@@ -37,8 +37,10 @@ def words(text: Column) -> Column:
 
 def terms(text: Column) -> Column:
     """Words as they are indexed: wholly lower-cased, which is cheaper and
-    maps equal words to equal terms at the same positions."""
-    return F.array_remove(F.split(F.lower(text), SEPARATOR), "")
+    maps equal words to equal terms at the same positions.  Lower-casing looks
+    at what stands around a capital sigma, so that is replaced first; every
+    other letter has one lower case wherever it stands."""
+    return F.array_remove(F.split(F.lower(F.replace(text, F.lit("\u03a3"), F.lit("\u03c3"))), SEPARATOR), "")
 
 
 def _docs(docs: DataFrame) -> DataFrame:
