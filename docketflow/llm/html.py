@@ -6,7 +6,11 @@ depends on its kind (name, and whether it opens or closes); the weights are
 learned from labelled pages, whose label is the extent of their one
 ``<article>`` or ``<main>`` element: pages are scanned, and the weights of
 tokens that are wrongly in or out of the found region are moved until the
-regions agree (a structured perceptron with a margin).
+regions agree (a structured perceptron with a margin).  Labelled pages may be
+plain, so each is also learned in variants: with tables, lists, code, quotes
+and the like between the paragraphs of its label and at its end, and with bare
+link lists beside it, so that content of any shape inside an article is cheap
+to cross and its edge is not.
 
 The region is then cleaned: scripts, styles, menus, headers, footers, asides,
 forms, notices, adverts and reader comments that lie inside it are left out,
@@ -16,8 +20,9 @@ blocks joined by a newline.
 Defined cases: a null or empty page, or one without a word, gives an empty
 text; of regions with equal sums the first and longest holds; a ``<`` that
 begins no tag is text; elements that are never closed end with the page;
-repeated rows are treated alike; without labelled pages the weights are the
-starting ones.  Only ``page_id``, ``url`` and ``html`` are read.
+repeated rows are treated alike; without labelled pages, as in an empty table,
+the weights are the starting ones.  Pages of any length are read whole, in
+time proportional to it, however broken they are.  Only ``page_id``, ``url`` and ``html`` are read.
 """
 
 from __future__ import annotations
@@ -31,10 +36,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.markup import Markup
 from .common import hash_limit
 
-#: Bound of the labelled sample (pages, chosen by a hash of page_id).
+#: Bound of the labelled sample, about (pages that have a label, chosen by a
+#: hash of id and page).
 SAMPLE_PAGES = 600
+#: Variants of each sampled page.
+VARIANTS = 3
 EPOCHS = 8
 #: While learning, words outside the label count so many times, and words
 #: inside it one part of so many.
@@ -43,10 +52,9 @@ LURE = 3.0
 TAG, INLINE_TAG, LEAST_TAG = -1.0, -0.1, -0.01
 STEP = 0.5
 SEED = 3
+UNSEEN = "*"
 
-_TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(?P<raw>script|style|noscript|template|svg|textarea|select|title|iframe|object)\b[^>]*(?:>.*?(?:</(?P=raw)\s*>|\Z)|\Z)"
-    r"|<(?P<close>/?)(?P<name>[a-zA-Z][a-zA-Z0-9:-]*)(?P<attr>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?/][^>]*>", re.S | re.I)
+_MARKUP = Markup(("script", "style", "noscript", "template", "svg", "textarea", "select", "title", "iframe", "object"), bogus="!?/", open_ends=True)
 _WORD = re.compile(r"[^\W_]")
 _ATTR = re.compile(r"([^\s=/>\"']+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
 #: Elements whose text is never main text.
@@ -99,21 +107,20 @@ def tokens(page: str, weights: dict | None = None) -> list[tuple]:
     of the region found without that rule (beside a main or article element,
     only those inside it are kept so)."""
     rows, at, named, marked, mains, open_, ends = [], 0, [], [], [], {}, {}
-    for m in _TOKEN.finditer(page):
-        if m.start() > at:
-            rows.append(("", page[at:m.start()], None))
-        at = m.end()
-        if m["raw"]:
-            rows.append((m["raw"].lower(), "", "raw"))
+    for start, end, name, closing, attr in _MARKUP.tokens(page):
+        if start > at:
+            rows.append(("", page[at:start], None))
+        at = end
+        if closing is None:
+            if name:
+                rows.append((name, "", "raw"))
             continue
-        if m["name"] is None:
-            continue
-        name, i = m["name"].lower(), len(rows)
-        rows.append((("/" if m["close"] else "") + name, "", name))
-        if m["close"]:
+        i = len(rows)
+        rows.append((("/" if closing else "") + name, "", name))
+        if closing:
             if open_.get(name):
                 ends[open_[name].pop()] = i
-        elif name not in VOID and not m["attr"].endswith("/"):
+        elif name not in VOID and not attr.endswith("/"):
             open_.setdefault(name, []).append(i)
             if name in _MAIN:
                 mains.append(i)
@@ -121,7 +128,7 @@ def tokens(page: str, weights: dict | None = None) -> list[tuple]:
             # an open p cannot swallow the page
             if name in SKIP:
                 named.append(i)
-            elif name not in _IMPLIED and name not in _PAGE and m["attr"] and _marked(name, m["attr"]):
+            elif name not in _IMPLIED and name not in _PAGE and attr and _marked(name, attr):
                 marked.append(i)
     if at < len(page):
         rows.append(("", page[at:], None))
@@ -147,10 +154,15 @@ def start_weight(key: str) -> float:
     return INLINE_TAG if key.lstrip("/") in INLINE else TAG
 
 
+def weight(weights: dict, key: str) -> float:
+    """Learned weight of a tag; one that no page had weighs what most do."""
+    return weights.get(key) or weights.get(UNSEEN) or start_weight(key)
+
+
 def scores(toks, weights: dict) -> list[float]:
     """One per word of a text run (none where it is left out), and each
     tag's weight."""
-    return [(0.0 if skipped else float(_count(text))) if not key else weights.get(key) or start_weight(key)
+    return [(0.0 if skipped else float(_count(text))) if not key else weight(weights, key)
             for key, text, _, skipped in toks]
 
 
@@ -178,17 +190,78 @@ def label(toks) -> tuple[int, int] | None:
     return None
 
 
+def _shapes() -> list[list[tuple[str, int]]]:
+    """(kind, words) of content blocks that articles hold: few words in many
+    tags, so that a region must be glad to cross them."""
+    cells, links = "<tr><td>w</td><td>w</td></tr>", "<li><a>w w</a></li>"
+    rows = "<tr><th scope=row><span>w</span></th><td><p>w</p></td></tr>"
+    html = [
+        f"<table>{cells * 60}</table>", f"<div><table><caption>w</caption><colgroup><col><col></colgroup><thead>{rows}</thead><tbody>{rows * 20}</tbody><tfoot>{rows}</tfoot></table></div>",
+        "<table><tr><td><table>" + cells * 3 + "</table></td></tr></table>" * 1 + f"<table>{'<tr><td><table>' + cells + '</table></td></tr>'}</table>" * 8,
+        f"<ul>{links * 60}</ul>", "<ol>" + "<li>w" * 40 + "</ol>", "<ul>" + "<li><p>w</p><ul><li>w</li></ul></li>" * 15 + "</ul>", "<dl>" + "<dt>w</dt><dd>w</dd>" * 40 + "</dl>",
+        "<dl>" + "<div><dt><dfn>w</dfn><dd><ul><li>w</ul></div>" * 10 + "</dl>", "".join(f"<h{k}>w</h{k}>" * 6 for k in range(1, 7)),
+        "<section><h2>w</h2><div><div><p>w</p></div></div></section>" * 10, "<blockquote><p><q>w</q></p><cite>w</cite></blockquote>" * 10,
+        "<pre><code>w</code></pre>" * 15, "<figure><picture><source><img></picture><figcaption>w</figcaption></figure>" * 12, "<hr>" * 20, "<p><br><img>" * 20,
+        "<details><summary>w</summary><p>w</p></details>" * 10, "<video><source><track></video><audio></audio><canvas></canvas><embed>" * 8,
+        "<center><font>w</font></center><address>w</address>" * 12, "<main><div>w</div></main>" + "<hgroup><h2>w</h2></hgroup>" * 8,
+        "<script>w</script><style>w</style><noscript>w</noscript><svg></svg><iframe></iframe><template></template>" * 6,
+        "<p>" + "".join(f"<{t}>w</{t}>" for t in sorted(INLINE - VOID)) * 3, "<aside>w</aside><form><button>w</button></form>" * 6, "<math><mrow><mi>w</mi><mo>=</mo></mrow></math>" * 8,
+        "<fieldset><legend>w</legend><label>w</label></fieldset>" * 8, "<article-x>w</article-x><x-y><z>w</z></x-y>" * 6,
+    ]
+    return [[(k, 0 if k else _count(text)) for k, text, _, _ in tokens(h)] for h in html]
+
+
+#: A menu that no name marks.
+_MENU = "<div><ul>" + "<li><a>w</a></li>" * 6 + "</ul></div>"
+
+
+def _variants(keys: list, words: list, got: tuple[int, int], number: int) -> list[tuple]:
+    """The page (kinds, words, label) with blocks inside its label, one behind
+    each fourth paragraph or so, and menus around its element."""
+    out, shapes = [], _shapes()
+    menu = [(k, 0 if k else _count(text)) for k, text, _, _ in tokens(_MENU)]
+    (a, b), step = got, 0
+    breaks = [i + 1 for i in range(a, b) if keys[i][:1] == "/" and keys[i][1:] not in INLINE]
+    outer = next((i for i in range(a, -1, -1) if keys[i] in _MAIN), a), next((i + 1 for i in range(b, len(keys)) if keys[i][1:] in _MAIN), b)
+    for v in range(VARIANTS):
+        put: dict = {}
+        for at in [*breaks[v::4], b]:
+            put[at] = shapes[(number * 7 + v * 11 + step) % len(shapes)]
+            step += 1
+        if (number + v) % 2:
+            put = {outer[0]: menu, outer[1]: menu, **put}
+        k2, w2, label, inside = [], [], [0, 0], 0
+        for i in range(len(keys) + 1):
+            if i == a:
+                label[0] = len(k2)
+            for k, w in put.get(i, ()):
+                inside = a < i <= b
+                k2.append(k)
+                w2.append(w / LURE if inside else w * LURE)
+                if inside and w:
+                    label[1] = len(k2)
+            if i < len(keys):
+                k2.append(keys[i])
+                w2.append(words[i])
+                if a <= i < b and words[i]:
+                    label[1] = len(k2)
+        out.append((k2, w2, tuple(label)))
+    return out
+
+
 def learn(pages: list[str], epochs: int = EPOCHS) -> dict:
     """Tag weights from labelled pages: a structured perceptron.  While it
     learns, words outside the label count LURE times and those inside a part,
     so the weights keep out longer boilerplate and keep in shorter paragraphs
     than the sample has."""
     rows = []
-    for toks in map(tokens, pages):
+    for number, toks in enumerate(map(tokens, pages)):
         got = label(toks)
         if got is not None:
-            words = [w / LURE if got[0] <= i < got[1] else w * LURE for i, w in enumerate(scores(toks, {}))]
-            rows.append(([t[0] for t in toks], words, got))
+            keys = [t[0] for t in toks]
+            words = [w / LURE if got[0] <= i < got[1] else w * LURE for i, w in enumerate(0 if t[0] else w for t, w in zip(toks, scores(toks, {}), strict=True))]
+            rows.append((keys, words, got))
+            rows += _variants(keys, words, got, number)
     weights: dict = {}
     for _ in range(epochs):
         wrong = 0
@@ -203,6 +276,8 @@ def learn(pages: list[str], epochs: int = EPOCHS) -> dict:
                     weights[keys[i]] = min(LEAST_TAG, old + (STEP if a <= i < b else -STEP))
         if not wrong:
             break
+    if weights:
+        weights[UNSEEN] = sorted(weights.values())[len(weights) // 2]
     return weights
 
 
@@ -233,9 +308,10 @@ def extract(page: str | None, weights: dict) -> str:
 
 def train(pages: DataFrame, sample_pages: int = SAMPLE_PAGES) -> dict:
     """Weights from a bounded sample of the pages that have a label."""
-    known = pages.where("html IS NOT NULL").select(
-        F.col("html").cast("string").alias("html"),
-        F.shiftrightunsigned(F.xxhash64(F.lit(SEED), F.col("page_id").cast("string")), 1).alias("h"))
+    html = F.col("html").cast("string")
+    one = [F.regexp_count(html, F.lit(rf"(?i)<{name}[\s/>]")) == 1 for name in ("article", "main")]
+    known = pages.where(one[0] | one[1]).select(
+        html.alias("html"), F.shiftrightunsigned(F.xxhash64(F.lit(SEED), F.col("page_id").cast("string"), html), 1).alias("h"))
     n = known.count()
     if not n:
         return {}
