@@ -4,18 +4,26 @@ Exchange clustering puts words into classes so that class bigrams are as
 likely as can be; class transitions and word emissions then give smoothed
 log probabilities of whole texts.
 
-The words' counts come from all training texts, in one shuffle.  The most
-frequent words are clustered one by one; the others enter the clustering by
-their shape (length, kind of first character, closing mark), so every word has
-a class.  Counts of the HEAD most frequent words, a fixed bound, go to all
+The words' counts come from all training texts, in one shuffle.  Clustering
+has a seed and passes over the corpus.  The seed puts the most frequent words
+one by one, and all others by their shape (length, kind of first character,
+closing mark), into classes.  Each pass then counts, for every one of the HEAD
+most frequent words and for every form of the others (shape and last letters),
+the classes on its left and right in all texts, and moves it to the class of
+the greatest gain; the counts stay on the executors, where each word's are
+summed and its class is chosen.  A pass that does not make the class bigrams
+likelier is not kept.
+
+Counts and classes of the HEAD most frequent words, a fixed bound, go to all
 tasks; every other token meets its count in a join on the word, in which no
 key can be hot because the frequent words are not in it.
 
 Words are told apart by 64-bit hashes.
 
 Defined cases: a null or empty text is its end token alone; without training
-texts all counts are zero; repeated rows are scored each; a null ``doc_id``
-is a training row.  Only ``doc_id`` and ``text`` are read.
+texts, as in an empty table, all counts are zero; repeated rows are scored
+each; a null ``doc_id`` is a training row; texts of any length are read whole;
+of classes with equal gain the first holds.  Only ``doc_id`` and ``text`` are read.
 """
 
 from __future__ import annotations
@@ -30,10 +38,12 @@ from .langid import held_out
 
 #: Words whose counts every task holds, at most.
 HEAD = 65_536
-#: Words that are clustered one by one, at most.
-CLUSTERED = 800
+#: Words that the seed clusters one by one, at most.
+SEEDS = 800
 CLASSES = 64
 ROUNDS = 8
+#: Passes over the corpus that move words and forms to better classes.
+PASSES = 2
 #: Strength of the class unigram in the smoothed transitions.
 BACKOFF = 4.0
 #: Different words that a task counts before it hands them on.
@@ -41,6 +51,9 @@ _HELD = 1_500_000
 
 _LENGTHS, _FIRST, _LAST = 12, 4, 3
 SHAPES = _LENGTHS * _FIRST * _LAST
+#: Forms of each shape, by a hash of the last three bytes.
+_ENDINGS = 128
+FORMS = SHAPES * _ENDINGS
 _FIRST_KIND = np.full(256, 2, np.uint8)
 _FIRST_KIND[0x61:0x7B] = 0
 _FIRST_KIND[0x80:] = 1
@@ -53,54 +66,55 @@ _LAST_KIND[0x2E] = 1
 
 
 def tokens(data: np.ndarray, off: np.ndarray):
-    """Hash, shape and row of each word."""
+    """Hash, form and row of each word; ``form // _ENDINGS`` is its shape."""
     data = LOWER[data]
     s, e, row = spans(data, off)
     if not len(s):
         return np.empty(0, np.uint64), s, row
     length = np.minimum(e - s, _LENGTHS) - 1
     shape = (length * _FIRST + _FIRST_KIND[data[s]]) * _LAST + _LAST_KIND[data[e - 1]]
-    return span_hashes(data, s, e), shape, row
+    back = [np.where(e - s > k, data[np.maximum(e - 1 - k, 0)], 0).astype(np.uint32) for k in range(3)]
+    ending = ((back[0] | back[1] << np.uint32(8) | back[2] << np.uint32(16)) * np.uint32(0x9E3779B1)) >> np.uint32(25)
+    return span_hashes(data, s, e), shape * _ENDINGS + ending.astype(np.int64), row
 
 
-def _merged(h, shape, n):
+def _merged(h, form, n):
     order = np.argsort(h)
-    h, shape, n = h[order], shape[order], n[order]
+    h, form, n = h[order], form[order], n[order]
     first = np.flatnonzero(np.r_[True, h[1:] != h[:-1]]) if len(h) else np.empty(0, np.int64)
-    return h[first], shape[first], np.add.reduceat(n, first) if len(h) else n
+    return h[first], form[first], np.add.reduceat(n, first) if len(h) else n
 
 
 def _count_words(batches):
     held, size = [], 0
 
     def out():
-        h, shape, n = _merged(*(np.concatenate(x) for x in zip(*held, strict=True)))
-        return h, shape, n
+        return _merged(*(np.concatenate(x) for x in zip(*held, strict=True)))
 
-    def rows(h, shape, n):
+    def rows(h, form, n):
         for i in range(0, len(h), 65_536):
-            yield pa.RecordBatch.from_arrays([pa.array(h[i:i + 65_536].view(np.int64)), pa.array(shape[i:i + 65_536].astype(np.int32)),
-                                              pa.array(n[i:i + 65_536])], ["h", "shape", "n"])
+            yield pa.RecordBatch.from_arrays([pa.array(h[i:i + 65_536].view(np.int64)), pa.array(form[i:i + 65_536].astype(np.int32)),
+                                              pa.array(n[i:i + 65_536])], ["h", "form", "n"])
 
     for _, data, off in text_slices(batches):
-        h, shape, _ = tokens(data, off)
-        held.append(_merged(h, shape, np.ones(len(h), np.int64)))
+        h, form, _ = tokens(data, off)
+        held.append(_merged(h, form, np.ones(len(h), np.int64)))
         size += len(held[-1][0])
         if size > _HELD:
-            h, shape, n = out()
+            h, form, n = out()
             if len(h) > _HELD // 2:
-                yield from rows(h, shape, n)
+                yield from rows(h, form, n)
                 held, size = [], 0
             else:
-                held, size = [(h, shape, n)], len(h)
+                held, size = [(h, form, n)], len(h)
     if held:
         yield from rows(*out())
 
 
 def word_counts(docs: DataFrame) -> DataFrame:
-    """h, shape and n of every word of ``docs``."""
-    got = docs.select(F.col("text").cast("string").alias("text")).mapInArrow(_count_words, "h long, shape int, n long")
-    return stored(got.groupBy("h", "shape").agg(F.sum("n").alias("n")), "brown-words")
+    """h, form and n of every word of ``docs``."""
+    got = docs.select(F.col("text").cast("string").alias("text")).mapInArrow(_count_words, "h long, form int, n long")
+    return stored(got.groupBy("h", "form").agg(F.sum("n").alias("n")), "brown-words")
 
 
 def _most(counts: DataFrame, limit: int):
@@ -113,14 +127,25 @@ def _most(counts: DataFrame, limit: int):
     return counts.where(F.col("n") >= int(fits["n"].min())).toPandas().sort_values(["n", "h"], ascending=[False, True])
 
 
-def _items(h, shape, words: np.ndarray):
-    """Item of each token: a clustered word's place, or its shape."""
+def _items(h, form, words: np.ndarray):
+    """Item of each token for the seed: a seed word's place, or its shape."""
+    shape = form // _ENDINGS
     if not len(words):
         return shape
     at = np.minimum(np.searchsorted(words, h), len(words) - 1)
     return np.where(words[at] == h, SHAPES + at, shape)
 
 
+def _placed(h, form, head: np.ndarray):
+    """Place of each token among forms and frequent words, and whether it is
+    one of the latter."""
+    if not len(head):
+        return form, np.zeros(len(h), bool)
+    at = np.minimum(np.searchsorted(head, h), len(head) - 1)
+    known = head[at] == h
+    return np.where(known, FORMS + at, form), known
+
+
 def _sequences(item, row, n_rows: int, end: int):
     """(before, after, row of after) of each bigram, with the end item before
     the first and after the last token of a text."""
@@ -139,8 +164,8 @@ def _count_pairs(shared):
         words, m = shared.value
         total = np.zeros(m * m, np.int64)
         for rows, data, off in text_slices(batches):
-            h, shape, row = tokens(data, off)
-            a, b, _ = _sequences(_items(h, shape, words), row, rows.num_rows, m - 1)
+            h, form, row = tokens(data, off)
+            a, b, _ = _sequences(_items(h, form, words), row, rows.num_rows, m - 1)
             total += np.bincount(a * m + b, minlength=m * m)
         cell = np.flatnonzero(total)
         for i in range(0, len(cell), 65_536):
@@ -149,6 +174,39 @@ def _count_pairs(shared):
     return run
 
 
+def _f(x):
+    return x * np.log(np.maximum(x, 1e-12))
+
+
+def likelihood(table: np.ndarray) -> float:
+    """Log likelihood of the class bigrams, up to what no class changes."""
+    return float(_f(table).sum() - _f(table.sum(1)).sum() - _f(table.sum(0)).sum())
+
+
+def gains(table: np.ndarray, right: np.ndarray, left: np.ndarray, own: float) -> np.ndarray:
+    """What the log likelihood of the class bigrams ``table`` gains if an item
+    that is not in it joins each class: ``right`` and ``left`` are its bigrams
+    with the classes behind and before it, ``own`` those with itself."""
+    base = _f(table)
+    gain = (_f(table + right) - base).sum(1) + (_f(table.T + left) - base.T).sum(1)
+    d = np.diag(table)
+    gain += _f(d + right + left + own) - _f(d) - (_f(d + right) - _f(d)) - (_f(d + left) - _f(d))
+    # sums of rows and columns, which have the item's bigrams with other
+    # classes wherever it goes
+    out, into = table.sum(1) + left, table.sum(0) + right
+    gain -= _f(out + right.sum() + own) - _f(out) + _f(into + left.sum() + own) - _f(into)
+    return gain
+
+
+def _without(table, old: int, right, left, own):
+    """The table and the item's bigrams, without the item in its class."""
+    table[old] -= right
+    table[:, old] -= left
+    table[old, old] += own
+    right[old] -= own
+    left[old] -= own
+
+
 def exchange(pairs: np.ndarray, classes: int = CLASSES, rounds: int = ROUNDS) -> np.ndarray:
     """Class of each item; the last item (a text's end) has a class of its
     own.  Each item in turn goes to the class that makes the class bigrams
@@ -165,28 +223,13 @@ def exchange(pairs: np.ndarray, classes: int = CLASSES, rounds: int = ROUNDS) ->
     member = np.zeros((m, k + 1))
     member[np.arange(m), of] = 1
     table = member.T @ pairs @ member
-
-    def f(x):
-        return x * np.log(np.maximum(x, 1e-12))
-
     for _ in range(rounds):
         moved = 0
         for w in order.tolist():
             old = of[w]
             right, left, own = pairs[w] @ member, pairs[:, w] @ member, pairs[w, w]
-            table[old] -= right
-            table[:, old] -= left
-            table[old, old] += own
-            right[old] -= own
-            left[old] -= own
-            base = f(table)
-            gain = (f(table + right) - base).sum(1) + (f(table.T + left) - base.T).sum(1)
-            d = np.diag(table)
-            gain += f(d + right + left + own) - f(d) - (f(d + right) - f(d)) - (f(d + left) - f(d))
-            # sums of rows and columns, which have the item's bigrams with
-            # other classes wherever it goes
-            out, into = table.sum(1) + left, table.sum(0) + right
-            gain -= f(out + right.sum() + own) - f(out) + f(into + left.sum() + own) - f(into)
+            _without(table, old, right, left, own)
+            gain = gains(table, right, left, own)
             new = int(np.argmax(gain[:k]))
             if gain[new] <= gain[old] + 1e-9:
                 new = int(old)
@@ -202,43 +245,137 @@ def exchange(pairs: np.ndarray, classes: int = CLASSES, rounds: int = ROUNDS) ->
     return of
 
 
-def train(docs: DataFrame, head: int = HEAD, clustered: int = CLUSTERED, classes: int = CLASSES) -> dict:
+def _count_sides(shared):
+    """Per frequent word or form the classes before and behind it, and how
+    often it stands beside itself: counts of a whole task, then one row an
+    item."""
+    def run(batches):
+        head, of, k = shared.value
+        width, end = 2 * k + 1, len(of) - 1
+        total = np.zeros(len(of) * width, np.int32)
+        for rows, data, off in text_slices(batches):
+            h, form, row = tokens(data, off)
+            a, b, _ = _sequences(_placed(h, form, head)[0], row, rows.num_rows, end)
+            np.add.at(total, b * width + of[a], 1)
+            np.add.at(total, a * width + k + of[b], 1)
+            np.add.at(total, a[a == b] * width + 2 * k, 1)
+        cell = np.flatnonzero(total)
+        item, n = cell // width, total[cell]
+        cuts = np.flatnonzero(np.r_[True, item[1:] != item[:-1], True]) if len(cell) else np.zeros(1, np.int64)
+        cell = (cell % width).astype(np.uint16)
+        for i in range(0, len(cuts) - 1, 8192):
+            edge = cuts[i:i + 8193]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(item[edge[:-1]].astype(np.int32)), pa.array([cell[x:y].tobytes() for x, y in zip(edge[:-1], edge[1:], strict=True)], pa.binary()),
+                 pa.array([n[x:y].tobytes() for x, y in zip(edge[:-1], edge[1:], strict=True)], pa.binary())], ["item", "cells", "counts"])
+    return run
+
+
+def _choose(shared):
+    """Of the items of one task, whose counts have met there: the class of the
+    greatest gain."""
+    def run(batches):
+        of, k, table = shared.value
+        found: dict = {}
+        for b in batches:
+            for item, cells, counts in zip(*(b.column(c).to_pylist() for c in ("item", "cells", "counts")), strict=True):
+                sides = found.setdefault(item, np.zeros(2 * k + 1))
+                sides[np.frombuffer(cells, np.uint16)] += np.frombuffer(counts, np.int32)
+        out = []
+        for item, sides in sorted(found.items()):
+            left, right, own = sides[:k].copy(), sides[k:2 * k].copy(), sides[-1]
+            old = new = int(of[item])
+            if item != len(of) - 1:
+                rest = table.copy()
+                _without(rest, old, right, left, own)
+                gain = gains(rest, right, left, own)
+                new = int(np.argmax(gain[:k - 1]))
+                new = new if gain[new] > gain[old] + 1e-9 else old
+            out.append((item, new))
+        if out:
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int32()) for c in zip(*out, strict=True)], ["item", "class"])
+    return run
+
+
+def _sides(docs: DataFrame, head: np.ndarray, of: np.ndarray, k: int) -> DataFrame:
+    shared = docs.sparkSession.sparkContext.broadcast((head, of, k))
+    return stored(docs.select(F.col("text").cast("string").alias("text")).mapInArrow(_count_sides(shared), "item int, cells binary, counts binary"), "brown-sides")
+
+
+def _table(sides: DataFrame, of: np.ndarray, k: int) -> np.ndarray:
+    """Class bigrams: the items' counts of the classes before them, summed by
+    class in the tasks."""
+    def run(batches):
+        total = np.zeros((k, k), np.int64)
+        for b in batches:
+            for item, cells, counts in zip(*(b.column(c).to_pylist() for c in ("item", "cells", "counts")), strict=True):
+                cells, counts = np.frombuffer(cells, np.uint16), np.frombuffer(counts, np.int32)
+                total[cells[cells < k], of[item]] += counts[cells < k]
+        yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], ["total"])
+    got = [np.frombuffer(r[0], np.int64).reshape(k, k) for r in sides.mapInArrow(run, "total binary").toLocalIterator()]
+    return np.sum(got, axis=0, dtype=np.int64) if got else np.zeros((k, k), np.int64)
+
+
+def refine(docs: DataFrame, head: np.ndarray, of: np.ndarray, k: int, passes: int = PASSES) -> tuple[np.ndarray, np.ndarray]:
+    """(classes, class bigrams) after passes in which every frequent word and
+    every form goes where it gains most.  In a pass all move at once, so one
+    that ends worse than it began is undone."""
+    sides = _sides(docs, head, of, k)
+    table = _table(sides, of, k)
+    for _ in range(passes):
+        shared = docs.sparkSession.sparkContext.broadcast((of, k, table.astype(np.float64)))
+        moved = sides.repartition("item").mapInArrow(_choose(shared), "item int, class int").toPandas()
+        new = of.copy()
+        new[moved["item"].to_numpy(np.int64)] = moved["class"].to_numpy(np.int64)
+        if (new == of).all():
+            break
+        sides = _sides(docs, head, new, k)
+        after = _table(sides, new, k)
+        if likelihood(after.astype(np.float64)) <= likelihood(table.astype(np.float64)):
+            break
+        of, table = new, after
+    return of, table
+
+
+def seed(docs: DataFrame, words: np.ndarray, classes: int = CLASSES) -> np.ndarray:
+    """Class of each shape, each of ``words`` and the end, by exchange."""
+    m = SHAPES + len(words) + 1
+    shared = docs.sparkSession.sparkContext.broadcast((words, m))
+    cells = (docs.select(F.col("text").cast("string").alias("text")).mapInArrow(_count_pairs(shared), "cell long, n long")
+             .groupBy("cell").agg(F.sum("n").alias("n")).toPandas())  # at most m * m
+    pairs = np.zeros(m * m, np.int64)
+    pairs[cells["cell"].to_numpy(np.int64)] = cells["n"].to_numpy(np.int64)
+    return exchange(pairs.reshape(m, m), classes)
+
+
+def train(docs: DataFrame, head: int = HEAD, seeds: int = SEEDS, classes: int = CLASSES, passes: int = PASSES) -> dict:
     """The model, and the stored counts of all words of ``docs``."""
     counts = word_counts(docs)
     ends = docs.count()
-    sums = counts.groupBy("shape").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("v")).toPandas()
+    sums = counts.groupBy("form").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("v")).toPandas()
     words, distinct = int(sums["n"].sum()), int(sums["v"].sum())
     top = _most(counts, head)
-    order = np.argsort(top["h"].to_numpy().view(np.uint64)) if len(top) else np.empty(0, np.int64)
-    one = top.head(clustered)
-    item_words = np.sort(one["h"].to_numpy(np.int64).view(np.uint64))
-    m = SHAPES + len(item_words) + 1
-    context = docs.sparkSession.sparkContext
-    shared = context.broadcast((item_words, m))
-    cells = (docs.select(F.col("text").cast("string").alias("text")).mapInArrow(_count_pairs(shared), "cell long, n long")
-             .groupBy("cell").agg(F.sum("n").alias("n")).toPandas())  # at most m * m
-    pairs = np.zeros(m * m, np.int64)
-    pairs[cells["cell"].to_numpy(np.int64)] = cells["n"].to_numpy(np.int64)
-    pairs = pairs.reshape(m, m)
-    of = exchange(pairs, classes)
-    k = int(of.max()) + 1
-    member = np.zeros((m, k))
-    member[np.arange(m), of] = 1
-    table = member.T @ pairs @ member
-    # distinct words of each item
-    kinds = np.zeros(m, np.int64)
-    kinds[sums["shape"].to_numpy(np.int64)] = sums["v"].to_numpy(np.int64)
-    kinds[SHAPES:-1] = 1
-    np.subtract.at(kinds, one["shape"].to_numpy(np.int64), 1)
+    one = np.sort(top.head(seeds)["h"].to_numpy(np.int64).view(np.uint64))
+    first = seed(docs, one, classes)
+    k = int(first.max()) + 1
+    top = top.iloc[np.argsort(top["h"].to_numpy(np.int64).view(np.uint64))] if len(top) else top
+    often, form = top["h"].to_numpy(np.int64).view(np.uint64), top["form"].to_numpy(np.int64)
+    of = np.concatenate([np.repeat(first[:SHAPES], _ENDINGS), first[_items(often, form, one)], first[-1:]])
+    of, table = refine(docs, often, of, k, passes)
+    # distinct words of each form and frequent word, then of each class
+    kinds = np.zeros(len(of), np.int64)
+    kinds[sums["form"].to_numpy(np.int64)] = sums["v"].to_numpy(np.int64)
+    np.subtract.at(kinds, form, 1)
+    kinds[FORMS:-1] = 1
     kinds[-1] = int(ends > 0)
+    kinds = np.bincount(of, weights=kinds, minlength=k)
     unigram = (table.sum(0) + 0.5) / (table.sum() + 0.5 * k)
     move = (table + BACKOFF * unigram) / (table.sum(1, keepdims=True) + BACKOFF)
     total = words + ends
     return {
         "counts": counts, "total": total, "class": of, "move": np.log10(move),
-        "emit": np.log10(table.sum(0) + 0.5 * (member.T @ kinds + 1)), "base": np.log10(total + 0.5 * (distinct + (ends > 0) + 1)),
-        "items": item_words, "head": top["h"].to_numpy(np.int64).view(np.uint64)[order], "end": ends,
-        "head_n": top["n"].to_numpy(np.int64)[order], "least": int(top["n"].min()) if len(top) else 2**62,
+        "emit": np.log10(table.sum(0) + 0.5 * (kinds + 1)), "base": np.log10(total + 0.5 * (distinct + (ends > 0) + 1)),
+        "head": often, "end": ends, "head_n": top["n"].to_numpy(np.int64), "least": int(top["n"].min()) if len(top) else 2**62,
     }
 
 
@@ -249,12 +386,11 @@ def _local(shared):
         head, log_n, of = model["head"], np.log10(model["head_n"] + 0.5), model["class"]
         for rows, data, off in text_slices(batches):
             n = rows.num_rows
-            h, shape, row = tokens(data, off)
-            a, b, r = _sequences(of[_items(h, shape, model["items"])], row, n, of[-1])
+            h, form, row = tokens(data, off)
+            place, known = _placed(h, form, head)
+            a, b, r = _sequences(of[place], row, n, of[-1])
             steps = np.bincount(r, weights=model["move"][a, b] - model["emit"][b], minlength=n)
-            at = np.minimum(np.searchsorted(head, h), max(len(head) - 1, 0))
-            known = head[at] == h if len(head) else np.zeros(len(h), bool)
-            logs = np.bincount(row[known], weights=log_n[at[known]], minlength=n) + np.log10(model["end"] + 0.5)
+            logs = np.bincount(row[known], weights=log_n[place[known] - FORMS], minlength=n) + np.log10(model["end"] + 0.5)
             size = np.bincount(row, minlength=n) + 1
             seen = np.bincount(row[known], minlength=n) + (model["end"] > 0)
             # one row a text and rare word, with its count there
