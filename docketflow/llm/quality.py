@@ -3,7 +3,8 @@ an empirical beta prior, and the host's verdict joined back to documents.
 
 Defined cases: a null or empty text has no words and fails; a document
 without a host is judged by its own rules alone; repeated rows each count;
-an empty table gives an empty result.  Only ``doc_id``, ``text`` and the
+a host whose rate is just the limit is kept; texts of any length are counted
+whole; an empty table gives an empty result.  Only ``doc_id``, ``text`` and the
 host column are read, so further columns cannot clash.
 """
 
@@ -13,7 +14,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACE, mix, of_rows, span_hashes, spans, text_slices, window_hashes
+from .common import SPACE, mix, of_rows, span_hashes, spans, stored, text_slices, window_hashes
 
 #: A host is rejected when its shrunk failure rate is above this.
 HOST_LIMIT = 0.5
@@ -101,11 +102,12 @@ def host_rates(counts: DataFrame) -> DataFrame:
 def quality(docs: DataFrame, host: str = "source", limit: float = HOST_LIMIT) -> DataFrame:
     """One row per document: counts, base_failed, its host's figures, kept.
 
-    Rows are first summed per host inside each task, so a host with a third
-    of all rows is no hot key; the join back is to one row a host.  No
+    The counts, a few numbers a document, are stored, so each text is read
+    once.  Rows are first summed per host inside each task, so a host with a
+    third of all rows is no hot key; the join back is to one row a host.  No
     broadcast is forced: Spark broadcasts by size or splits a skewed join.
     """
-    counts = rule_counts(docs, host)
+    counts = stored(rule_counts(docs, host), "quality-counts")
     rates = host_rates(counts)
     both = counts.join(rates, "host", "left")
     ok = F.coalesce(F.col("host_rate") <= limit, F.lit(True))
