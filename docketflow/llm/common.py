@@ -10,11 +10,12 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyarrow import fs
 from pyspark.sql import SparkSession
 
 from ..session import scratch_path, stored
 
-__all__ = ["LOWER", "SPACE", "hash_limit", "mix", "of_rows", "scratch", "span_hashes", "spans", "stored", "text_slices", "window_hashes"]
+__all__ = ["LOWER", "SPACE", "hash_limit", "mix", "of_rows", "open_store", "scratch", "span_hashes", "spans", "stored", "text_slices", "window_hashes"]
 
 #: Bytes of text handled at once in a Python worker.  A single longer text
 #: is handled alone and whole.
@@ -37,8 +38,20 @@ _powers: dict[str, np.ndarray] = {}
 
 
 def scratch(spark: SparkSession, name: str) -> str:
-    """A new path below the shared checkpoint folder."""
-    return scratch_path(spark, "llm", f"{name}-{uuid.uuid4().hex}")
+    """A new path below the shared checkpoint folder, with the scheme of the
+    file system that Spark finds it in."""
+    context = spark.sparkContext
+    path = context._jvm.org.apache.hadoop.fs.Path(scratch_path(spark, "llm", f"{name}-{uuid.uuid4().hex}"))
+    return path.getFileSystem(context._jsc.hadoopConfiguration()).makeQualified(path).toString()
+
+
+def open_store(uri: str) -> tuple[fs.FileSystem, str]:
+    """File system and path of a URI as Spark writes it."""
+    if "://" not in uri:
+        uri = "file://" + uri.removeprefix("file:")
+    for scheme in ("s3a", "s3n"):
+        uri = uri.replace(f"{scheme}://", "s3://", 1) if uri.startswith(f"{scheme}://") else uri
+    return fs.FileSystem.from_uri(uri)
 
 
 def text_slices(batches: Iterable[pa.RecordBatch], column: str = "text",

@@ -25,12 +25,11 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
-from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import scratch, span_hashes, text_slices
+from .common import open_store, scratch, span_hashes, text_slices
 from .ngrams import code_points
 
 END = 0
@@ -244,10 +243,6 @@ def encoder(path: str) -> Encoder:
 
 # -- files --------------------------------------------------------------------
 
-def _open(uri: str):
-    return fs.FileSystem.from_uri(uri if "://" in uri or uri.startswith("file:") else "file://" + uri)
-
-
 class FileWriter:
     """Header, blocks, index, and the index's place in the last 16 bytes."""
 
@@ -318,7 +313,7 @@ class FileReader:
 
 def _write(uri: str, path: str):
     def write(batches):
-        store, base = _open(uri)
+        store, base = open_store(uri)
         task, enc, out = TaskContext.get(), encoder(path), None
         # a name of its own for each attempt; only reported files are read
         name = f"{base}/ids-{task.partitionId():06d}-{task.taskAttemptId()}.tok"
@@ -340,15 +335,18 @@ def write_ids(docs: DataFrame, uri: str, path: str, partitions: int | None = Non
     the stored table of files: part, path, docs, ids.
 
     Documents are dealt by ranges of doc_id, so a file holds a range and
-    files follow each other; ties keep to one range.
+    files follow each other.  Documents of one id (or none) are in order of a
+    hash of the text, equal ones in that of the rows, and may be dealt to
+    several ranges.
     """
     spark = docs.sparkSession
-    store, base = _open(uri)
+    store, base = open_store(uri)
     store.create_dir(base, recursive=True)
     rows = docs.select("doc_id", F.col("text").cast("string").alias("text")).withColumn("_h", F.xxhash64("text"))
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    dealt = rows.repartitionByRange(n, F.col("doc_id").asc_nulls_first())
-    dealt = dealt.sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "_h").drop("_h")
+    order = [F.col("doc_id").asc_nulls_first(), "_h", "_r"]
+    dealt = rows.withColumn("_r", F.monotonically_increasing_id()).repartitionByRange(n, *order)
+    dealt = dealt.sortWithinPartitions(*order).drop("_h", "_r")
     files = dealt.mapInArrow(_write(uri, path), "part int, path string, docs long, ids long")
     files.write.parquet(f"{uri}-files")
     return spark.read.parquet(f"{uri}-files")
@@ -356,7 +354,7 @@ def write_ids(docs: DataFrame, uri: str, path: str, partitions: int | None = Non
 
 def _read(uri: str, id_type):
     def read(batches):
-        store, _ = _open(uri)
+        store, _ = open_store(uri)
         for batch in batches:
             for path, base in zip(batch.column("path").to_pylist(), batch.column("base").to_pylist(), strict=True):
                 f = FileReader(store, path)

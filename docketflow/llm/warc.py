@@ -15,18 +15,18 @@ columns are read.
 
 from __future__ import annotations
 
+import base64
 import hashlib
 import re
 import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import scratch
+from .common import open_store, scratch
 
 MIN_REVISIT = 1000
 #: A new archive file begins after so many compressed bytes.
@@ -77,14 +77,29 @@ def members(stream) -> Iterator[bytearray]:
 
 
 def _head(raw: bytes, what: str) -> dict[str, str]:
-    lines = raw.decode("utf-8").split("\r\n")
+    lines = raw.decode("utf-8", "replace").split("\r\n")
     if not lines[0].startswith(what):
         raise Damaged(f"no {what} line")
     return {k.strip().lower(): v.strip() for k, _, v in (x.partition(":") for x in lines[1:])}
 
 
+def _verify(label: str | None, data: bytes, what: str) -> str | None:
+    """The digest of ``data`` as bare lower-case hex, if ``label`` names one in
+    hex or base32 that this Python can check; it must be right."""
+    name, _, value = (label or "").partition(":")
+    name = name.lower().replace("-", "")
+    if not value or name not in hashlib.algorithms_available or name.startswith("shake"):
+        return None
+    found = hashlib.new(name, data)
+    if value.lower() != found.hexdigest() and value.upper().rstrip("=") != base64.b32encode(found.digest()).decode().rstrip("="):
+        raise Damaged(what)
+    return found.hexdigest()
+
+
 def read_records(stream) -> Iterator[dict]:
-    """Records in file order; framing and digests are verified."""
+    """Responses and revisits in file order; framing and digests are
+    verified.  Records of other types (``warcinfo``, ``request``, ...) are
+    verified and passed over; a digest that a record lacks is computed."""
     for raw in members(stream):
         cut = raw.find(b"\r\n\r\n")
         if cut < 0:
@@ -94,26 +109,28 @@ def read_records(stream) -> Iterator[dict]:
         block = bytes(raw[cut + 4:cut + 4 + size])
         if len(block) != size or raw[cut + 4 + size:] != b"\r\n\r\n":
             raise Damaged("the block's length is not the content length")
-        if head["warc-block-digest"] != "sha1:" + hashlib.sha1(block).hexdigest():
-            raise Damaged("block digest")
+        _verify(head.get("warc-block-digest"), block, "block digest")
+        kind = head.get("warc-type")
+        if kind not in ("response", "revisit"):
+            continue
         http, _, payload = block.partition(b"\r\n\r\n")
-        length = int(_head(http, "HTTP/")["content-length"])
-        digest, kind = head["warc-payload-digest"].removeprefix("sha1:"), head["warc-type"]
-        if kind == "response" and (len(payload) != length or hashlib.sha1(payload).hexdigest() != digest):
-            raise Damaged("payload digest")
+        length = _head(http, "HTTP/").get("content-length")
+        label = head.get("warc-payload-digest")
+        if kind == "response":
+            if length is not None and len(payload) != int(length):
+                raise Damaged("the payload's length is not its content length")
+            digest = _verify(label, payload, "payload digest") or hashlib.sha1(payload).hexdigest()
+        else:
+            digest = label and label.partition(":")[2].lower()
         urn = lambda k: (head.get(k) or "").removeprefix("<urn:page:").removesuffix(">") or None
-        yield {"id": urn("warc-record-id"), "url": head.get("warc-target-uri"), "payload_bytes": length,
+        yield {"id": urn("warc-record-id"), "url": head.get("warc-target-uri"), "payload_bytes": len(payload) if length is None else int(length),
                "payload_digest": digest, "record_type": kind, "refers_to": urn("warc-refers-to"),
                "payload": payload if kind == "response" else None}
 
 
-def _open(uri: str):
-    return fs.FileSystem.from_uri(uri if "://" in uri or uri.startswith("file:") else "file://" + uri)
-
-
 def _writer(uri: str, file_bytes: int):
     def write(batches):
-        store, base = _open(uri)
+        store, base = open_store(uri)
         task = TaskContext.get()
         # each attempt writes its own names; only files that a finished task
         # reports are read, so a lost or repeated attempt leaves no trace
@@ -140,12 +157,15 @@ def _writer(uri: str, file_bytes: int):
 def with_roles(rows: DataFrame, min_bytes: int = MIN_REVISIT) -> DataFrame:
     """Adds digest and refers_to (null for responses).  Only (digest, id)
     pairs of long payloads are grouped, with partial maxima in each task; the
-    join back touches the few digests that occur twice."""
+    join back touches the few digests that occur twice.  A short payload has a
+    key of its own there, so equal short ones don't meet."""
     rows = rows.withColumn("_raw", F.encode(F.coalesce("payload", F.lit("")), "UTF-8"))
     rows = rows.withColumn("digest", F.sha1("_raw")).withColumn("_n", F.octet_length("_raw")).drop("_raw")
     first = (rows.where(F.col("_n") >= min_bytes).groupBy("digest", "_n")
              .agg(F.max("id").alias("_first"), F.count(F.lit(1)).alias("_k")).where("_k > 1").drop("_k"))
-    both = rows.join(first, ["digest", "_n"], "left")
+    first = first.select(F.col("digest").alias("_key"), F.col("_n").alias("_m"), "_first")
+    key = F.when(F.col("_n") >= min_bytes, F.col("digest")).otherwise(F.concat(F.lit("short "), F.monotonically_increasing_id().cast("string")))
+    both = rows.withColumn("_key", key).join(first.withColumnRenamed("_m", "_n"), ["_key", "_n"], "left").drop("_key")
     other = F.col("_first").isNotNull() & ~F.col("id").eqNullSafe(F.col("_first"))
     return both.withColumn("refers_to", F.when(other, F.col("_first"))).drop("_first", "_n")
 
@@ -154,7 +174,7 @@ def write_archives(rows: DataFrame, uri: str, file_bytes: int = FILE_BYTES) -> D
     """Write rows (id, url, payload) below ``uri``; returns the table of the
     archive files (path, records, bytes), itself stored beside them."""
     spark = rows.sparkSession
-    store, base = _open(uri)
+    store, base = open_store(uri)
     store.create_dir(base, recursive=True)
     ready = with_roles(rows).select("id", "url", "payload", "refers_to", "digest")
     files = ready.mapInArrow(_writer(uri, file_bytes), "path string, records long, bytes long")
@@ -167,7 +187,7 @@ def _reader(uri: str, id_type: str):
     cast = (lambda x: x) if kind == pa.string() else (lambda x: None if x is None else int(x))
 
     def read(batches):
-        store, _ = _open(uri)
+        store, _ = open_store(uri)
         for batch in batches:
             for path in batch.column("path").to_pylist():
                 with store.open_input_stream(path, compression=None) as f:
