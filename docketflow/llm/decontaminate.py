@@ -11,8 +11,9 @@ places where an item's two rarest terms stand near each other.
 Defined cases: a null text has no words; an item without words has no
 windows; items that repeat an id count once; an item without an id can hit
 words but is not counted or listed; rows that repeat a ``doc_id`` are judged
-each by its own text; an empty benchmark leaves all documents clean.  Only
-``doc_id``, ``text``, ``item_id`` and the benchmark's ``text`` are read.
+each by its own text; of equally rare terms the first in the item is taken;
+texts of any length are indexed whole; an empty benchmark leaves all documents
+clean, an empty table of documents gives an empty result.  Only ``doc_id``, ``text``, ``item_id`` and the benchmark's ``text`` are read.
 """
 
 from __future__ import annotations

@@ -19,8 +19,9 @@ estimate cannot rule out on the full sets.
 Defined cases: a text with fewer words than a shingle is one shingle, its
 whole sequence; a null text or one without words has none and is linked with
 nothing; a null ``doc_id`` counts after all others (its component may have
-no id); rows that repeat a ``doc_id`` are compared like any others.  Only
-``doc_id`` and ``text`` are read.
+no id); rows that repeat a ``doc_id`` are compared like any others; of equal
+ids the first row is kept; texts of any length are compared whole; an empty
+table gives an empty result.  Only ``doc_id`` and ``text`` are read.
 """
 
 from __future__ import annotations

@@ -12,7 +12,8 @@ encoded once by the ``tokenizers`` library and kept in a bounded cache.
 Defined cases: a null or empty text gives the end id alone; a null
 ``doc_id`` comes first; rows that repeat a ``doc_id`` keep together, in the
 order of a hash of their texts, and each is a document of its own; an empty
-table gives no file and an empty result.  The strings of special tokens in a
+table gives no file and an empty result; texts of any length are encoded
+whole.  The strings of special tokens in a
 text are encoded as the library does by default.  Only ``doc_id`` and
 ``text`` are read.
 """

@@ -4,9 +4,10 @@ scaled by naive Bayes log-count ratios.
 Defined cases: a null or empty text has no n-grams and gets the score of the
 intercept; labels that are null or belong to no document teach nothing; a
 document with several labels teaches each of them; with labels of one class
-or none the score is that class's share (0 without labels).  Only ``doc_id``
-and ``text`` of the documents and ``doc_id`` and ``toxic`` of the labels are
-read.
+or none the score is that class's share (0 without labels); repeated rows are
+scored alike; a score of just the threshold is predicted 1; texts of any length
+are read whole; an empty table gives an empty result.  Only ``doc_id`` and
+``text`` of the documents and ``doc_id`` and ``toxic`` of the labels are read.
 """
 
 from __future__ import annotations

@@ -9,7 +9,8 @@ Defined cases: a null payload is empty; a null id is written as an empty id
 and read back as null, and counts as smaller than any other; a null URL has
 no target header, and control characters in a URL are percent-encoded; rows
 that repeat an id with an equal payload share the role of that id; an empty
-table gives no archive and an empty result.  Only the id, URL and payload
+table gives no archive and an empty result; payloads and headers of any length
+are written and read whole.  Only the id, URL and payload
 columns are read.
 """
 
