@@ -48,8 +48,11 @@ BASE, RATE, LIMIT = 1.02, 20.0, 65_535
 #: A pair is ruled out when its best likelihood is e^SURE times that of any
 #: similarity at or above the threshold.
 SURE = 18.0
-#: Classes of one bucket that are compared at once with as many others.
-BLOCK = 256
+#: Classes of one bucket that are compared at once with as many others.  A
+#: class is copied once for each block of its bucket.
+BLOCK = 2048
+#: Standard errors by which the number of equal registers may fall short.
+SHORT = 9.0
 #: Bytes of sets that a task compares at once, about.
 PART_BYTES = 16 << 20
 _rng = np.random.default_rng(85)
@@ -204,10 +207,19 @@ def _sets(batches):
         yield of_rows(rows, shingles=pa.array([h[a:b].tobytes() for a, b in zip(hoff[:-1], hoff[1:], strict=True)], pa.binary()))
 
 
+def fewest_equal(threshold: int) -> int:
+    """Equal registers that a pair at the threshold has at least: each is equal
+    with a probability of the similarity or more."""
+    share = threshold / 100
+    return max(0, int(REGISTERS * share - SHORT * math.sqrt(REGISTERS * share * (1 - share))))
+
+
 def _crosser(threshold: int):
     """Links between classes of one bucket and different components: those
     that the sketches cannot rule out are confirmed on the full sets.  One
     link from a class to a component is enough."""
+    fewest = fewest_equal(threshold)
+
     def across(keys: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         a, b = [], []
         rows = rows.sort_values(["key", "lo", "hi", "cid"], kind="stable")
@@ -222,8 +234,7 @@ def _crosser(threshold: int):
             place = None
             for i in left:
                 js = right[(root[right] != root[i]) & ((cid[right] > cid[i]) if hi[s] == lo[s] else True)]
-                # as many equal registers as any similarity near the threshold leaves
-                js = js[(reg[js] == reg[i]).sum(1) >= REGISTERS // 2]
+                js = js[(reg[js] == reg[i]).sum(1) >= fewest]
                 if len(js):
                     js = js[_possible(np.broadcast_to(reg[i], (len(js), REGISTERS)), reg[js], np.full(len(js), n[i]), n[js], threshold)]
                 if not len(js):

@@ -189,3 +189,24 @@ def test_toxicity_held_out(spark, sf_dir):
         if high and low:
             pairs = sum((a > b) + (a == b) / 2 for a in high for b in low) / (len(high) * len(low))
             assert pairs > 0.8
+
+
+# -- near-duplicates ---------------------------------------------------------------
+
+@pytest.mark.parametrize("threshold", [30, 50, 60, 85])
+def test_low_thresholds_lose_no_pair(threshold):
+    """Pairs just above the threshold in one open bucket are all confirmed."""
+    import numpy as np
+    import pandas as pd
+    from docketflow.llm import setsketch
+    rng = np.random.default_rng(threshold)
+    n, rows = 400, []
+    both = int(np.ceil(threshold * 2 * n / (100 + threshold))) + 1
+    for k in range(60):
+        a = rng.integers(0, 2**63, 2 * n - both, dtype=np.uint64)
+        for side, x in enumerate((a[:n], a[n - both:])):
+            reg = setsketch.registers(x, np.array([0, len(x)]))
+            rows.append((1, 2 * k + side, 2 * k + side, n, reg.tobytes(), 0, 0, 0, x.tobytes()))
+    df = pd.DataFrame(rows, columns=["key", "cid", "root", "n", "registers", "block", "lo", "hi", "shingles"])
+    got = setsketch._crosser(threshold)((0,), df)
+    assert sorted(zip(got["a"], got["b"], strict=True)) == [(2 * k, 2 * k + 1) for k in range(60)]
