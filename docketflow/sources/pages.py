@@ -108,9 +108,9 @@ def read_saved_pages(spark: SparkSession, folder: str, name_glob: str | None = N
                      recursive: bool = False, partition_bytes: int | None = None) -> DataFrame:
     """S4/S5: each saved file as one row ``(file, html, read)``: its absolute
     path, its bytes, whose charset the page parser reads, and when it was
-    saved.  ``name_regex`` keeps the paths that it is found in (e.g. ``page``);
-    it is matched on the listing, which Spark keeps on the driver anyway, and
-    files that it drops are not opened.  ``name_glob`` keeps matching names.
+    saved.  ``name_regex`` keeps the paths that it is found in (e.g. ``page``),
+    in the tasks; ``name_glob`` keeps matching names in the listing, so files
+    that it drops are not opened.
 
     Spark plans a task for about 32 files, however small, as it counts 4 MB for
     opening one.  ``partition_bytes`` packs as many files in a task as hold so
@@ -120,9 +120,7 @@ def read_saved_pages(spark: SparkSession, folder: str, name_glob: str | None = N
         r = r.option("pathGlobFilter", name_glob)
     found = r.load(folder)
     if name_regex:
-        plain = F.regexp_replace("path", r"([{}\[\]*?\\])", r"\\$1")  # a path, not a glob
-        paths = [x[0] for x in found.where(F.col("path").rlike(name_regex)).select(plain).collect()]
-        found = r.load(paths) if paths else found.limit(0)
+        found = found.where(F.col("path").rlike(name_regex))
     path = F.regexp_replace("path", "^file:/+", "/")
     pages = found.select(path.alias("file"), F.col("content").alias("html"), F.col("modificationTime").alias("read"))
     if partition_bytes:
