@@ -1,5 +1,11 @@
 """Input building and branches whose shuffles and tasks stay small as tables grow."""
 
+import pytest
+
+from docketflow.operators import cases as C
+from docketflow.operators.decisions import latest_decision
+from docketflow.operators.header import header_table
+from docketflow.operators.parties import party_table
 from docketflow.sources import fixtures as X
 from docketflow.sources.pages import build_docket_pages
 
@@ -19,3 +25,17 @@ def test_build_tasks_grow_with_rows(spark, sf_dir, monkeypatch):
     for in_order in (True, False):
         assert X.by_order(X.Fixtures(spark, sf_dir), in_order).rdd.getNumPartitions() > 8
     assert X.build_cases(X.Fixtures(spark, sf_dir)).count() > 1000
+
+
+@pytest.mark.parametrize("job", [party_table, latest_decision])
+def test_records_are_dealt_not_their_rows(cases, job):
+    plan = _plan(job(cases))
+    assert "Generate" not in plan and plan.count("Exchange hashpartitioning") == 1
+    assert plan.index("Aggregate") < plan.index("Exchange") and "Aggregate" not in plan[plan.index("Exchange"):]
+
+
+@pytest.mark.parametrize("job", [party_table, latest_decision, header_table])
+def test_branch_tasks_grow_with_records(cases, job, monkeypatch):
+    monkeypatch.setattr(C, "ROWS_PER_TASK", 50)
+    n = -(-cases.count() // 50)
+    assert n > 8 and f", {n})" in _plan(job(cases))
