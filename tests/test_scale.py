@@ -3,10 +3,13 @@
 import pytest
 
 from docketflow.operators import cases as C
+from docketflow.operators import header as H
+from docketflow.operators.cases import KEY
 from docketflow.operators.decisions import latest_decision
-from docketflow.operators.header import header_table
+from docketflow.operators.header import header_table, keys_once
 from docketflow.operators.parties import party_table
 from docketflow.sources import fixtures as X
+from docketflow.sources.inputs import CASES_SCHEMA
 from docketflow.sources.pages import build_docket_pages
 
 
@@ -39,3 +42,30 @@ def test_branch_tasks_grow_with_records(cases, job, monkeypatch):
     monkeypatch.setattr(C, "ROWS_PER_TASK", 50)
     n = -(-cases.count() // 50)
     assert n > 8 and f", {n})" in _plan(job(cases))
+
+
+def test_header_rows_are_counted_unsorted(cases):
+    plan = _plan(keys_once(cases))
+    assert "HashAggregate" in plan and "SortAggregate" not in plan and "Sort [" not in plan
+
+
+def test_cases_of_one_hash_keep_their_own_rare_keys(spark, monkeypatch):
+    rows = [("f", "result", ("1", [("Relator", "a"), ("So aqui", "b")], [], [], [])), ("g", "result", ("2", [("Relator", "c")], [], [], [])),
+            ("h", "result", ("3", [(None, "d"), ("Outra", "e")], [], [], []))]
+    df = spark.createDataFrame(rows, CASES_SCHEMA)
+    monkeypatch.setattr(H.F, "xxhash64", lambda *c: H.F.lit(7).cast("bigint"))
+    got = {r[KEY].file: (r.n_rare, sorted((x.data or "" for x in r.rare))) for r in H.rare_by_case(df).collect()}
+    assert got == {"f": (1, ["so aqui"]), "h": (2, ["", "outra"])}
+
+
+def test_unused_header_columns_are_not_dealt(cases):
+    plan = _plan(header_table(cases).select("info_status"))
+    assert "situacao" in plan and "valor_da_acao" not in plan
+
+
+def test_records_of_a_case_stand_in_order(spark):
+    # records without a place in a file: by position, then value; alone: as they stand
+    data = [("Classe", "z"), ("Relator", "a"), ("Relator", None)], [("Classe", "b"), ("Relator", "a")]
+    rows = [("f", "result", ("1", d, [], [], [])) for d in data] + [("g", "result", ("2", data[0], [], [], []))]
+    got = {r.file: (r.classe, r.relator) for r in H.header_wide(spark.createDataFrame(rows, CASES_SCHEMA)).collect()}
+    assert got == {"f": ("b@z", "a@NA"), "g": ("z", "a@NA")}
