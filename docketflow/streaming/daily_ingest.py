@@ -38,9 +38,9 @@ LOG_SCHEMA = PARSED_SCHEMA + ", batch bigint"
 def newest_fetch(log: DataFrame) -> DataFrame:
     """Log rows that count: of each day the newest fetch, of each of its files
     the latest batch."""
-    fetch = F.struct(F.col("read").isNotNull(), "read")
-    days = log.groupBy("sg_date").agg(F.max(fetch).alias("_newest"))
-    rows = log.join(days.withColumnRenamed("sg_date", "_day"), F.col("sg_date").eqNullSafe(F.col("_day"))).where(fetch == F.col("_newest"))
+    # one time per day, found in a hash map; NULL if the day has no other
+    days = log.groupBy("sg_date").agg(F.max("read").alias("_newest"))
+    rows = log.join(days.withColumnRenamed("sg_date", "_day"), F.col("sg_date").eqNullSafe(F.col("_day"))).where(F.col("read").eqNullSafe(F.col("_newest")))
     last = rows.groupBy("sg_date", "file").agg(F.max("batch").alias("_last"))
     last = last.select(F.col("sg_date").alias("_d"), F.col("file").alias("_f"), "_last")
     on = F.col("sg_date").eqNullSafe(F.col("_d")) & F.col("file").eqNullSafe(F.col("_f")) & (F.col("batch") == F.col("_last"))

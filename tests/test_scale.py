@@ -1,5 +1,8 @@
 """Input building and branches whose shuffles and tasks stay small as tables grow."""
 
+import datetime as dt
+import sys
+
 import pytest
 
 from docketflow.operators import cases as C
@@ -7,10 +10,12 @@ from docketflow.operators import header as H
 from docketflow.operators.cases import KEY
 from docketflow.operators.decisions import latest_decision
 from docketflow.operators.header import header_table, keys_once
+from docketflow.operators.movements import movement_rows
 from docketflow.operators.parties import party_table
 from docketflow.sources import fixtures as X
 from docketflow.sources.inputs import CASES_SCHEMA
 from docketflow.sources.pages import build_docket_pages
+from docketflow.streaming.daily_ingest import LOG_SCHEMA, newest_fetch
 
 
 def _plan(df):
@@ -69,3 +74,32 @@ def test_records_of_a_case_stand_in_order(spark):
     rows = [("f", "result", ("1", d, [], [], [])) for d in data] + [("g", "result", ("2", data[0], [], [], []))]
     got = {r.file: (r.classe, r.relator) for r in H.header_wide(spark.createDataFrame(rows, CASES_SCHEMA)).collect()}
     assert got == {"f": ("b@z", "a@NA"), "g": ("z", "a@NA")}
+
+
+def test_newest_fetch_is_found_unsorted(spark):
+    t = [dt.datetime(2020, 1, 1, h) for h in (8, 20)]
+
+    def row(file, day, read, batch):
+        return (file, day and dt.date(2020, 1, day), read, "result", None, 0, "x", "y", batch)
+    log = spark.createDataFrame([row("a", 1, None, 0), row("a", 1, t[0], 0), row("b", 1, t[1], 0), row("b", 1, t[1], 1), row("c", 2, None, 0), row("d", None, t[0], 0)], LOG_SCHEMA)
+    got = newest_fetch(log)
+    assert "SortAggregate" not in _plan(got)
+    assert sorted((r.file, r.batch) for r in got.collect()) == [("b", 1), ("c", 0), ("d", 0)]
+
+
+def test_plain_pages_take_few_steps_a_tag():
+    page = ("<table><tr><th>Data</th><th>Movimento</th></tr><tbody id='tabelaTodasMovimentacoes'>"
+            + "<tr class='a'><td class='b'>01/02/2003</td><td class='c'>t</td></tr>" * 200 + "</table>")
+    calls = 0
+
+    def count(frame, event, arg):
+        nonlocal calls
+        calls += event in ("call", "c_call")
+    sys.setprofile(count)
+    try:
+        rows = movement_rows(page)
+    finally:
+        sys.setprofile(None)
+    assert rows == [("01/02/2003", "t")] * 200
+    # start and end tags: 3 rows' worth of them each
+    assert calls < 30 * 6 * 200, calls
