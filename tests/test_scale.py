@@ -1,6 +1,7 @@
 """Input building and branches whose shuffles and tasks stay small as tables grow."""
 
 import datetime as dt
+import re
 import sys
 
 import pytest
@@ -9,9 +10,12 @@ from docketflow.operators import cases as C
 from docketflow.operators import header as H
 from docketflow.operators.cases import KEY
 from docketflow.operators.decisions import latest_decision
+from docketflow.operators.durations import case_durations, case_gaps
 from docketflow.operators.header import header_table, keys_once
 from docketflow.operators.movements import movement_rows
 from docketflow.operators.parties import party_table
+from docketflow.plans import registry as R
+from docketflow.plans.tidy import tidy_cases
 from docketflow.sources import fixtures as X
 from docketflow.sources.inputs import CASES_SCHEMA
 from docketflow.sources.pages import build_docket_pages
@@ -35,20 +39,51 @@ def test_build_tasks_grow_with_rows(spark, sf_dir, monkeypatch):
     assert X.build_cases(X.Fixtures(spark, sf_dir)).count() > 1000
 
 
-@pytest.mark.parametrize("job", [party_table, latest_decision])
+@pytest.mark.parametrize("job", [party_table, latest_decision, case_durations])
 def test_records_are_dealt_not_their_rows(cases, job):
     plan = _plan(job(cases))
     assert "Generate" not in plan and plan.count("Exchange hashpartitioning") == 1
     assert plan.index("Aggregate") < plan.index("Exchange") and "Aggregate" not in plan[plan.index("Exchange"):]
 
 
-@pytest.mark.parametrize("job", [party_table, latest_decision, header_table])
+@pytest.mark.parametrize("job", [party_table, latest_decision, header_table, case_durations, case_gaps])
 def test_branch_tasks_grow_with_records(cases, job, monkeypatch):
     monkeypatch.setattr(C, "ROWS_PER_TASK", 50)
     n = -(-cases.count() // 50)
     assert n > 8 and f", {n})" in _plan(job(cases))
 
 
+def test_all_branches_of_the_tidy_table_have_as_many_tasks(cases, monkeypatch):
+    # else one is dealt a second time to meet the others, out of few tasks
+    monkeypatch.setattr(C, "ROWS_PER_TASK", 50)
+    plan = _plan(tidy_cases(cases))
+    n = -(-cases.count() // 50)
+    dealt = re.findall(r"Exchange hashpartitioning\(case_key[^,]*, (\d+)\)", plan)
+    assert len(dealt) >= 4 and set(dealt) == {str(n)} and "Window" not in plan
+
+
+def test_buckets_grow_with_records(spark, sf_dir, cases, monkeypatch):
+    monkeypatch.setattr(C, "ROWS_PER_TASK", 50)
+    taken = []
+    monkeypatch.setattr(R, "write_cases_by_key", lambda cases, path, buckets: taken.append(buckets) or cases)
+    R.bucketed_tidy(spark, sf_dir)
+    assert taken == [-(-cases.count() // 50)] and taken[0] > 8
+
+
+def test_gaps_of_a_case_of_many_records(spark):
+    def mov(*days):
+        return [(d and dt.date(*d), "t", "x") for d in days]
+    rows = [("f", "result", ("1", [], [], mov((2010, 1, 5), None, (1999, 1, 1), (2010, 1, 1)), [])), ("f", "result", ("1", [], [], mov((2010, 1, 3), (2010, 1, 5)), [])),
+            ("g", "result", ("2", [], [], mov((2000, 1, 1), None), [])), ("h", "error", ("3", [], [], mov((2010, 1, 1)), [])),
+            ("i", "result", ("4", [], [], None, [])), (None, "result", (None, [], [], mov((2001, 1, 1)), []))]
+    df = spark.createDataFrame(rows, CASES_SCHEMA)
+    first = (dt.date(2010, 1, 1) - dt.date(1970, 1, 1)).days
+    got = sorted(((r.n_processo or "", r.movement, r.gap_days) for r in case_gaps(df).collect()))
+    assert got == [("", dt.date(2001, 1, 1), first - 9 * 365 - 2), ("1", dt.date(2010, 1, 1), first), ("1", dt.date(2010, 1, 3), 2),
+                   ("1", dt.date(2010, 1, 5), 0), ("1", dt.date(2010, 1, 5), 2)]
+    assert {(r.n_processo, r.time_tot, r.time_clean) for r in case_durations(df).collect()} == {("1", 4.0, 4.0), (None, 0.0, 0.0)}
+
+
 def test_header_rows_are_counted_unsorted(cases):
     plan = _plan(keys_once(cases))
     assert "HashAggregate" in plan and "SortAggregate" not in plan and "Sort [" not in plan
