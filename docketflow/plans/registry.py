@@ -149,8 +149,8 @@ def stored_tidy(spark: SparkSession, sf_dir: str) -> DataFrame:
 def bucketed_tidy(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The tidy table from records that are bucketed by case key once."""
     path = scratch_path(spark, "bucketed", _fingerprint(spark, sf_dir), uuid.uuid4().hex)
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return T.tidy_cases(write_cases_by_key(cases_for(spark, sf_dir), path, buckets))
+    cases = cases_for(spark, sf_dir)
+    return T.tidy_cases(write_cases_by_key(cases, path, C.case_tasks(cases)))
 
 
 def _page_files(spark: SparkSession, sf_dir: str) -> str:
