@@ -12,7 +12,8 @@ most frequent words and for every form of the others (shape and last letters),
 the classes on its left and right in all texts, and moves it to the class of
 the greatest gain; the counts stay on the executors, where each word's are
 summed and its class is chosen.  A pass that does not make the class bigrams
-likelier is not kept.
+likelier is not kept.  The last pass needs class bigrams only, which are
+counted in the texts.  A word seen once or twice goes with its form.
 
 Counts and classes of the HEAD most frequent words, a fixed bound, go to all
 tasks; every other token meets its count in a join on the word, in which no
@@ -38,6 +39,9 @@ from .langid import held_out
 
 #: Words whose counts every task holds, at most.
 HEAD = 65_536
+#: Times that such a word must occur; a rarer one tells less about its
+#: neighbours than its form does.
+OFTEN = 3
 #: Words that the seed clusters one by one, at most.
 SEEDS = 800
 CLASSES = 64
@@ -49,6 +53,9 @@ BACKOFF = 4.0
 #: Different words that a task counts before it hands them on.
 _HELD = 1_500_000
 
+#: First bits of a hash that frequent words are looked up by.
+_PREFIX = 18
+
 _LENGTHS, _FIRST, _LAST = 12, 4, 3
 SHAPES = _LENGTHS * _FIRST * _LAST
 #: Forms of each shape, by a hash of the last three bytes.
@@ -136,12 +143,26 @@ def _items(h, form, words: np.ndarray):
     return np.where(words[at] == h, SHAPES + at, shape)
 
 
-def _placed(h, form, head: np.ndarray):
+def _starts(head: np.ndarray) -> np.ndarray:
+    """How many of the sorted ``head`` are below each value of a hash's first
+    bits: the first place where a word that begins so can stand."""
+    return np.searchsorted(head, np.arange(1 << _PREFIX, dtype=np.uint64) << np.uint64(64 - _PREFIX)).astype(np.int32)
+
+
+def _placed(h, form, head: np.ndarray, starts: np.ndarray):
     """Place of each token among forms and frequent words, and whether it is
     one of the latter."""
     if not len(head):
         return form, np.zeros(len(h), bool)
-    at = np.minimum(np.searchsorted(head, h), len(head) - 1)
+    last = len(head) - 1
+    at = np.minimum(starts[h >> np.uint64(64 - _PREFIX)], last)
+    # hashes are spread evenly, so few words begin alike
+    behind = np.flatnonzero(head[at] < h)
+    while len(behind):
+        at[behind] += 1
+        behind = behind[at[behind] <= last]
+        behind = behind[head[at[behind]] < h[behind]]
+    at = np.minimum(at, last)
     known = head[at] == h
     return np.where(known, FORMS + at, form), known
 
@@ -251,14 +272,15 @@ def _count_sides(shared):
     item."""
     def run(batches):
         head, of, k = shared.value
-        width, end = 2 * k + 1, len(of) - 1
-        total = np.zeros(len(of) * width, np.int32)
+        starts, width, end = _starts(head), 2 * k + 1, len(of) - 1
+        # one of the counts' own type: with another, numpy takes a slow path
+        total, one = np.zeros(len(of) * width, np.int32), np.int32(1)
         for rows, data, off in text_slices(batches):
             h, form, row = tokens(data, off)
-            a, b, _ = _sequences(_placed(h, form, head)[0], row, rows.num_rows, end)
-            np.add.at(total, b * width + of[a], 1)
-            np.add.at(total, a * width + k + of[b], 1)
-            np.add.at(total, a[a == b] * width + 2 * k, 1)
+            a, b, _ = _sequences(_placed(h, form, head, starts)[0], row, rows.num_rows, end)
+            np.add.at(total, b * width + of[a], one)
+            np.add.at(total, a * width + k + of[b], one)
+            np.add.at(total, a[a == b] * width + 2 * k, one)
         cell = np.flatnonzero(total)
         item, n = cell // width, total[cell]
         cuts = np.flatnonzero(np.r_[True, item[1:] != item[:-1], True]) if len(cell) else np.zeros(1, np.int64)
@@ -271,18 +293,33 @@ def _count_sides(shared):
     return run
 
 
+def _lists(column: pa.Array, kind) -> tuple[np.ndarray, np.ndarray]:
+    """All values of the byte strings of ``column``, and how many each has."""
+    off = np.frombuffer(column.buffers()[1], np.int32)[column.offset:column.offset + len(column) + 1].astype(np.int64)
+    data = column.buffers()[2]
+    data = np.frombuffer(data, np.uint8)[off[0]:off[-1]] if data is not None else np.empty(0, np.uint8)
+    size = np.dtype(kind).itemsize
+    return data.view(kind) if off[0] % size == 0 else np.frombuffer(data.tobytes(), kind), np.diff(off) // size
+
+
 def _choose(shared):
     """Of the items of one task, whose counts have met there: the class of the
     greatest gain."""
     def run(batches):
         of, k, table = shared.value
-        found: dict = {}
+        width = 2 * k + 1
+        place, held = np.full(len(of), -1), np.zeros(0)
         for b in batches:
-            for item, cells, counts in zip(*(b.column(c).to_pylist() for c in ("item", "cells", "counts")), strict=True):
-                sides = found.setdefault(item, np.zeros(2 * k + 1))
-                sides[np.frombuffer(cells, np.uint16)] += np.frombuffer(counts, np.int32)
+            if b.num_rows:
+                item = b.column("item").to_numpy()
+                first = np.unique(item[place[item] < 0])
+                place[first] = len(held) // width + np.arange(len(first))
+                held = np.concatenate([held, np.zeros(len(first) * width)])
+                cells, each = _lists(b.column("cells"), np.uint16)
+                np.add.at(held, np.repeat(place[item], each) * width + cells, _lists(b.column("counts"), np.int32)[0].astype(np.float64))
         out = []
-        for item, sides in sorted(found.items()):
+        for item in np.flatnonzero(place >= 0).tolist():
+            sides = held[place[item] * width:(place[item] + 1) * width]
             left, right, own = sides[:k].copy(), sides[k:2 * k].copy(), sides[-1]
             old = new = int(of[item])
             if item != len(of) - 1:
@@ -302,18 +339,44 @@ def _sides(docs: DataFrame, head: np.ndarray, of: np.ndarray, k: int) -> DataFra
     return stored(docs.select(F.col("text").cast("string").alias("text")).mapInArrow(_count_sides(shared), "item int, cells binary, counts binary"), "brown-sides")
 
 
+def _sum(tables: DataFrame, k: int) -> np.ndarray:
+    got = [np.frombuffer(r[0], np.int64).reshape(k, k) for r in tables.toLocalIterator()]
+    return np.sum(got, axis=0, dtype=np.int64) if got else np.zeros((k, k), np.int64)
+
+
+def _one_table(total: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], ["total"])
+
+
 def _table(sides: DataFrame, of: np.ndarray, k: int) -> np.ndarray:
     """Class bigrams: the items' counts of the classes before them, summed by
     class in the tasks."""
     def run(batches):
-        total = np.zeros((k, k), np.int64)
+        total = np.zeros(k * k, np.int64)
         for b in batches:
-            for item, cells, counts in zip(*(b.column(c).to_pylist() for c in ("item", "cells", "counts")), strict=True):
-                cells, counts = np.frombuffer(cells, np.uint16), np.frombuffer(counts, np.int32)
-                total[cells[cells < k], of[item]] += counts[cells < k]
-        yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], ["total"])
-    got = [np.frombuffer(r[0], np.int64).reshape(k, k) for r in sides.mapInArrow(run, "total binary").toLocalIterator()]
-    return np.sum(got, axis=0, dtype=np.int64) if got else np.zeros((k, k), np.int64)
+            if b.num_rows:
+                cells, each = _lists(b.column("cells"), np.uint16)
+                counts, _ = _lists(b.column("counts"), np.int32)
+                into = np.repeat(of[b.column("item").to_numpy()], each)
+                before = np.flatnonzero(cells < k)
+                total += np.bincount(cells[before].astype(np.int64) * k + into[before], weights=counts[before], minlength=k * k).astype(np.int64)
+        yield _one_table(total)
+    return _sum(sides.mapInArrow(run, "total binary"), k)
+
+
+def _bigrams(docs: DataFrame, head: np.ndarray, of: np.ndarray, k: int) -> np.ndarray:
+    """Class bigrams, counted in the texts."""
+    shared = docs.sparkSession.sparkContext.broadcast((head, of, k))
+
+    def run(batches):
+        head, of, k = shared.value
+        starts, total = _starts(head), np.zeros(k * k, np.int64)
+        for rows, data, off in text_slices(batches):
+            h, form, row = tokens(data, off)
+            a, b, _ = _sequences(of[_placed(h, form, head, starts)[0]], row, rows.num_rows, of[-1])
+            total += np.bincount(a * k + b, minlength=k * k)
+        yield _one_table(total)
+    return _sum(docs.select(F.col("text").cast("string").alias("text")).mapInArrow(run, "total binary"), k)
 
 
 def refine(docs: DataFrame, head: np.ndarray, of: np.ndarray, k: int, passes: int = PASSES) -> tuple[np.ndarray, np.ndarray]:
@@ -322,15 +385,18 @@ def refine(docs: DataFrame, head: np.ndarray, of: np.ndarray, k: int, passes: in
     that ends worse than it began is undone."""
     sides = _sides(docs, head, of, k)
     table = _table(sides, of, k)
-    for _ in range(passes):
+    for left in range(passes, 0, -1):
         shared = docs.sparkSession.sparkContext.broadcast((of, k, table.astype(np.float64)))
         moved = sides.repartition("item").mapInArrow(_choose(shared), "item int, class int").toPandas()
         new = of.copy()
         new[moved["item"].to_numpy(np.int64)] = moved["class"].to_numpy(np.int64)
         if (new == of).all():
             break
-        sides = _sides(docs, head, new, k)
-        after = _table(sides, new, k)
+        if left > 1:
+            sides = _sides(docs, head, new, k)
+            after = _table(sides, new, k)
+        else:  # no further pass needs the words' own counts
+            after = _bigrams(docs, head, new, k)
         if likelihood(after.astype(np.float64)) <= likelihood(table.astype(np.float64)):
             break
         of, table = new, after
@@ -348,20 +414,20 @@ def seed(docs: DataFrame, words: np.ndarray, classes: int = CLASSES) -> np.ndarr
     return exchange(pairs.reshape(m, m), classes)
 
 
-def train(docs: DataFrame, head: int = HEAD, seeds: int = SEEDS, classes: int = CLASSES, passes: int = PASSES) -> dict:
+def train(docs: DataFrame, head: int = HEAD, seeds: int = SEEDS, classes: int = CLASSES, passes: int = PASSES, often: int = OFTEN) -> dict:
     """The model, and the stored counts of all words of ``docs``."""
     counts = word_counts(docs)
     ends = docs.count()
     sums = counts.groupBy("form").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("v")).toPandas()
     words, distinct = int(sums["n"].sum()), int(sums["v"].sum())
-    top = _most(counts, head)
+    top = _most(counts.where(F.col("n") >= often), head)
     one = np.sort(top.head(seeds)["h"].to_numpy(np.int64).view(np.uint64))
     first = seed(docs, one, classes)
     k = int(first.max()) + 1
     top = top.iloc[np.argsort(top["h"].to_numpy(np.int64).view(np.uint64))] if len(top) else top
-    often, form = top["h"].to_numpy(np.int64).view(np.uint64), top["form"].to_numpy(np.int64)
-    of = np.concatenate([np.repeat(first[:SHAPES], _ENDINGS), first[_items(often, form, one)], first[-1:]])
-    of, table = refine(docs, often, of, k, passes)
+    known, form = top["h"].to_numpy(np.int64).view(np.uint64), top["form"].to_numpy(np.int64)
+    of = np.concatenate([np.repeat(first[:SHAPES], _ENDINGS), first[_items(known, form, one)], first[-1:]])
+    of, table = refine(docs, known, of, k, passes)
     # distinct words of each form and frequent word, then of each class
     kinds = np.zeros(len(of), np.int64)
     kinds[sums["form"].to_numpy(np.int64)] = sums["v"].to_numpy(np.int64)
@@ -375,7 +441,7 @@ def train(docs: DataFrame, head: int = HEAD, seeds: int = SEEDS, classes: int =
     return {
         "counts": counts, "total": total, "class": of, "move": np.log10(move),
         "emit": np.log10(table.sum(0) + 0.5 * (kinds + 1)), "base": np.log10(total + 0.5 * (distinct + (ends > 0) + 1)),
-        "head": often, "end": ends, "head_n": top["n"].to_numpy(np.int64), "least": int(top["n"].min()) if len(top) else 2**62,
+        "head": known, "end": ends, "head_n": top["n"].to_numpy(np.int64), "least": int(top["n"].min()) if len(top) else 2**62,
     }
 
 
@@ -384,10 +450,11 @@ def _local(shared):
     def run(batches):
         model = shared.value
         head, log_n, of = model["head"], np.log10(model["head_n"] + 0.5), model["class"]
+        starts = _starts(head)
         for rows, data, off in text_slices(batches):
             n = rows.num_rows
             h, form, row = tokens(data, off)
-            place, known = _placed(h, form, head)
+            place, known = _placed(h, form, head, starts)
             a, b, r = _sequences(of[place], row, n, of[-1])
             steps = np.bincount(r, weights=model["move"][a, b] - model["emit"][b], minlength=n)
             logs = np.bincount(row[known], weights=log_n[place[known] - FORMS], minlength=n) + np.log10(model["end"] + 0.5)

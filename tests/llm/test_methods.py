@@ -44,6 +44,33 @@ def test_near_copies_without_a_common_leader(spark):
     assert got == dict(enumerate(R.components(texts)[0]))
 
 
+def test_frequent_words_are_placed_by_their_first_bits():
+    bits = np.uint64(64 - brown._PREFIX)
+    rng = np.random.default_rng(3)
+    h = np.unique(np.concatenate([rng.integers(0, 2**64, 400, np.uint64), (np.uint64(7) << bits) + np.arange(50, dtype=np.uint64), [np.uint64(2**64 - 1)]]))
+    for head in (h[::2], h[1::2], h[-1:], h[:0]):
+        place, known = brown._placed(h, np.zeros(len(h), np.int64), head, brown._starts(head))
+        assert (known == np.isin(h, head)).all() and (head[place[known] - brown.FORMS] == h[known]).all() and not place[~known].any()
+
+
+def test_class_bigrams_of_the_last_pass_are_counted_in_the_texts(spark, small_docs):
+    docs = spark.createDataFrame([(d["doc_id"], d["text"]) for d in small_docs[:40]] + [(None, None), (-1, "")], "doc_id long, text string")
+    counts = brown._most(brown.word_counts(docs), 300)
+    head = np.sort(counts["h"].to_numpy(np.int64).view(np.uint64))
+    of = np.random.default_rng(1).integers(0, 9, brown.FORMS + len(head) + 1)
+    of[-1] = 9
+    assert (brown._bigrams(docs, head, of, 10) == brown._table(brown._sides(docs, head, of, 10), of, 10)).all()
+    # only the counts that a further pass moves words by are kept
+    kept = []
+    sides = brown._sides
+    brown._sides = lambda *a: kept.append(1) or sides(*a)
+    try:
+        brown.refine(docs, head, of, 10, 1)
+    finally:
+        brown._sides = sides
+    assert kept == [1]
+
+
 def test_base_scores_brute_force(spark, sf_dir, small_docs):
     want = dict(zip((d["doc_id"] for d in small_docs), R.base_scores([(d["doc_id"], d["text"]) for d in small_docs]), strict=True))
     got = QUERIES["op2_brown"](spark, sf_dir).collect()
