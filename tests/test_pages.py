@@ -235,3 +235,60 @@ def test_charset_of_a_short_head():
     from docketflow.operators.movements import decode_page
     page = "<head><title>é</title></head><body>" + '<meta charset="utf-16">' + "é" * 9000
     assert decode_page(page.encode()) == page
+
+
+def _forks():
+    with open("/proc/stat") as f:
+        return next(int(x.split()[1]) for x in f if x.startswith("processes"))
+
+
+@pytest.mark.skipif(not os.path.exists("/proc/stat"), reason="counts processes as Linux does")
+def test_page_files_need_no_process_each(spark, tmp_path):
+    from docketflow.sources.pages import write_page_files
+    n = 3000
+    pages = spark.range(0, n, 1, 4).select(F.concat(F.lit("página\n"), F.col("id").cast("string")).alias("html"))
+    begun = _forks()
+    write_page_files(pages, str(tmp_path / "a folder"), F.lit("page"))
+    assert _forks() - begun < n
+    found = read_saved_pages(spark, str(tmp_path / "a folder"), recursive=True, partition_bytes=1 << 20).select("html").collect()
+    assert sorted(bytes(r.html).decode() for r in found) == sorted(f"página\n{k}\n" for k in range(n))
+
+
+def test_page_files_stand_where_spark_puts_them(spark, tmp_path):
+    from docketflow.sources.pages import write_page_files
+    kinds = [None, "", "page", "a/b: c=%1", "é"]
+    rows = [(f"{k}", k) for k in kinds] + [("again", "page")] * 2 + [(None, "page"), ("", "page")]
+    df = spark.createDataFrame(rows, "html string, kind string")
+    write_page_files(df, str(tmp_path / "ours"), F.col("kind"))
+    df.where("html is not null").selectExpr("html as value", "kind").write.partitionBy("kind").option("maxRecordsPerFile", 1).text(str(tmp_path / "spark"))
+
+    def seen(at):
+        return sorted((r.file.split("/kind=")[1].split("/")[0], bytes(r.html)) for r in read_saved_pages(spark, str(at), recursive=True).collect())
+    assert seen(tmp_path / "ours") == seen(tmp_path / "spark")
+    with pytest.raises(FileExistsError):
+        write_page_files(df, str(tmp_path / "ours"), F.col("kind"))
+    write_page_files(df.where("false"), str(tmp_path / "none"), F.col("kind"))
+    assert read_saved_pages(spark, str(tmp_path / "none"), recursive=True, partition_bytes=1 << 20).collect() == []
+
+
+def test_a_task_that_runs_again_leaves_each_page_once(spark, tmp_path, monkeypatch):
+    import types
+
+    import pyarrow as pa
+
+    from docketflow.sources import pages as P
+    batch = pa.RecordBatch.from_pydict({"value": ["a", "a", "b"], "kind": ["x", "y", "x"]})
+
+    def attempt(k, batches):
+        context = types.SimpleNamespace(get=lambda: types.SimpleNamespace(partitionId=lambda: 7, taskAttemptId=lambda: k))
+        monkeypatch.setattr(P, "TaskContext", context)
+        return [b.column("n").to_pylist() for b in P._write_files(str(tmp_path))(batches)]
+
+    def fails():
+        yield batch.slice(0, 2)
+        raise OSError("lost")
+    with pytest.raises(OSError):
+        attempt(1, fails())
+    (tmp_path / "kind=x/00007/.2.1").write_text("half")
+    assert attempt(2, iter([batch])) == [[3]]
+    assert sorted(bytes(r.html) for r in read_saved_pages(spark, str(tmp_path), recursive=True).collect()) == [b"a\n", b"a\n", b"b\n"]
