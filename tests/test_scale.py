@@ -1,13 +1,16 @@
 """Input building and branches whose shuffles and tasks stay small as tables grow."""
 
 import datetime as dt
+import random
 import re
 import sys
 
 import pytest
+from pyspark.sql import functions as F
 
 from docketflow.operators import cases as C
 from docketflow.operators import header as H
+from docketflow.operators import movements as MV
 from docketflow.operators.cases import KEY
 from docketflow.operators.decisions import latest_decision
 from docketflow.operators.durations import case_durations, case_gaps
@@ -138,3 +141,59 @@ def test_plain_pages_take_few_steps_a_tag():
     assert rows == [("01/02/2003", "t")] * 200
     # start and end tags: 3 rows' worth of them each
     assert calls < 30 * 6 * 200, calls
+
+
+def test_tags_met_before_are_not_read_again():
+    # the regexes and lookups of a tag are done once for all pages that share it
+    row = "<tr class='a'><td class='b'>01/02/2003</td><td class='c'>t</td></tr>"
+    page = "<div><table><tr><th>Data</th><th>Movimento</th></tr><tbody id='tabelaTodasMovimentacoes'>" + row * 200 + "</table></div><p>fim</p>"
+    seen, calls = {}, 0
+    movement_rows(page, seen)
+
+    def count(frame, event, arg):
+        nonlocal calls
+        calls += event in ("call", "c_call")
+    sys.setprofile(count)
+    try:
+        rows = movement_rows(page, seen)
+    finally:
+        sys.setprofile(None)
+    assert rows == [("01/02/2003", "t")] * 200
+    assert calls < 13 * 6 * 200, calls
+
+
+def test_kept_tags_are_bounded():
+    seen = {}
+    for k in range(3):
+        page = "".join(f"<a href='{k}/{i}'>" for i in range(15_000)) + f"<b title='{'x' * 1000}'>"
+        with pytest.raises(ValueError):
+            movement_rows(page, seen)
+    assert 0 < len(seen["tags"]) <= 10_000 and max(map(len, seen["tags"])) <= 300
+
+
+@pytest.mark.parametrize("pieces", [["<table>", "<tr>", "<td>", "</td>", "</tr>", "</table>", "<td colspan=2>", "<td rowspan=2>", "x", "<br>", "<p>", "</p>"],
+                                    ["<table>", "</table>", "<tr>", "<td/>", "<th>", "<div>", "</div>", "<thead>", "<tbody>", "</tbody>", "<!-- x -->", "y", "<p id=tabelaTodasMovimentacoes>"],
+                                    ["<table>", "<td>", "<", "<script>", "</script>", "<!--", "<style>a</style>", "<a title='>'>", "<p \"", "z", "</td>", "<o:p>"]])
+def test_pages_cut_at_once_are_read_as_token_by_token(pieces):
+    rnd = random.Random(len(pieces))
+    tags, n = {}, 0
+    for _ in range(2000):
+        body = "".join(rnd.choices(pieces, k=rnd.randint(0, 25)))
+        page = "<table><tr><th>Data<th>Movimento" + rnd.choice(["", "<tbody id='tabelaTodasMovimentacoes'><tr>"]) + body + rnd.choice(["", "</table>"]) + "<p>w"
+        slow = MV._Tables()
+        MV._scan(page, slow)
+        slow.finish()
+        quick = MV._tables(page, tags)
+        assert (quick.target and (quick.target.rows, quick.target.heads)) == (slow.target and (slow.target.rows, slow.target.heads)), page
+        n += slow.target is not None and len(slow.target.rows) > 1
+    assert n > 200
+
+
+def test_usual_dates_are_read_without_the_other_forms(spark):
+    days = ["01/02/2003", "31/12/1999", "29/02/2000", "29/02/2001", "31-04-2010", "00/01/2010", "01.13.2010", "1/2/2003", "01/02/0999", "01/02/0000", "01/02/03",
+            "01/02-2003", " 01/02/2003", "01/02/2003\n", "01/02/20033", None, ""]
+    df = spark.createDataFrame([(d,) for d in days], "d string")
+    got = [r[0] for r in df.select(MV.parse_dmy(F.col("d")).cast("string")).collect()]
+    assert got == ["2003-02-01", "1999-12-31", "2000-02-29", None, None, None, None, "2003-02-01", "0999-02-01", "0000-02-01", "2003-02-01",
+                   "2003-02-01", "2003-02-01", "2003-02-01", None, None, None]
+    assert "CASE WHEN RLIKE" in df.select(MV.parse_dmy(F.col("d")))._jdf.queryExecution().optimizedPlan().toString()
