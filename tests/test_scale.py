@@ -197,3 +197,26 @@ def test_usual_dates_are_read_without_the_other_forms(spark):
     assert got == ["2003-02-01", "1999-12-31", "2000-02-29", None, None, None, None, "2003-02-01", "0999-02-01", "0000-02-01", "2003-02-01",
                    "2003-02-01", "2003-02-01", "2003-02-01", None, None, None]
     assert "CASE WHEN RLIKE" in df.select(MV.parse_dmy(F.col("d")))._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_streamed_pages_are_made_once(spark, sf_dir, monkeypatch):
+    from docketflow.streaming import daily_ingest
+    made = spark.sparkContext.accumulator(0)
+    built = build_docket_pages(X.Fixtures(spark, sf_dir)).localCheckpoint()
+
+    @F.udf("string")
+    def counted(html):
+        made.add(1)
+        return html
+    landed = []
+
+    def run_once(spark, pages, *rest):
+        landed.extend(spark.read.parquet(pages).select("file", "html").collect())
+        return spark.createDataFrame([], daily_ingest.MOVEMENTS_SCHEMA)
+    monkeypatch.setattr(R, "build_docket_pages", lambda fx: built.withColumn("html", counted("html")))
+    monkeypatch.setattr(daily_ingest, "run_once", run_once)
+    R.streamed_movements(spark, sf_dir)
+    twice = built.where(F.day("sg_date") % 4 == 1)
+    assert made.value == len(landed) == built.count() + twice.count()
+    old = sorted((r.file, r.html or "") for r in landed if (r.file or "").startswith("old/"))
+    assert old == sorted((f"old/{r.file}", r.html or "") for r in twice.where("file is not null").collect())
