@@ -19,7 +19,9 @@ from docketflow.operators.movements import movement_rows
 from docketflow.operators.parties import party_table
 from docketflow.plans import registry as R
 from docketflow.plans.tidy import tidy_cases
+from docketflow.session import stored
 from docketflow.sources import fixtures as X
+from docketflow.sources import store
 from docketflow.sources.inputs import CASES_SCHEMA
 from docketflow.sources.pages import build_docket_pages
 from docketflow.streaming.daily_ingest import LOG_SCHEMA, newest_fetch
@@ -220,3 +222,27 @@ def test_streamed_pages_are_made_once(spark, sf_dir, monkeypatch):
     assert made.value == len(landed) == built.count() + twice.count()
     old = sorted((r.file, r.html or "") for r in landed if (r.file or "").startswith("old/"))
     assert old == sorted((f"old/{r.file}", r.html or "") for r in twice.where("file is not null").collect())
+
+
+def test_pages_meet_records_in_tasks_that_grow(spark, sf_dir, cases, monkeypatch):
+    monkeypatch.setattr(C, "ROWS_PER_TASK", 50)
+    parsed = stored(MV.parse_pages(build_docket_pages(X.Fixtures(spark, sf_dir))), "test-parsed")
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = _plan(MV.merge_movements(cases, parsed))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    n = -(-cases.count() // 50)
+    dealt = re.findall(r"Exchange hashpartitioning\(file[^,]*, (\d+)\)", plan)
+    assert n > 8 and dealt == [str(n)] * 2, plan
+
+
+def test_days_are_written_in_tasks_that_grow(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(store, "ROWS_PER_TASK", 100)
+    df = spark.range(2000).select((F.col("id") % 7).cast("string").alias("x"), "id", F.lit(dt.date(2020, 1, 1)).alias("sg_date"))
+    store.write_daily(df, str(tmp_path / "days"), order_cols=["id"])
+    files = sorted(str(f) for f in (tmp_path / "days/sg_date=2020-01-01").glob("*.parquet"))
+    assert len(files) == 20
+    got = [[r.id for r in spark.read.parquet(f).collect()] for f in files]
+    assert [x for ids in got for x in ids] == list(range(2000)) and max(map(len, got)) < 300
