@@ -1,6 +1,7 @@
 """Input building and branches whose shuffles and tasks stay small as tables grow."""
 
 import datetime as dt
+import os
 import random
 import re
 import sys
@@ -246,3 +247,14 @@ def test_days_are_written_in_tasks_that_grow(spark, tmp_path, monkeypatch):
     assert len(files) == 20
     got = [[r.id for r in spark.read.parquet(f).collect()] for f in files]
     assert [x for ids in got for x in ids] == list(range(2000)) and max(map(len, got)) < 300
+
+
+def test_each_saved_file_is_a_page(spark, sf_dir, tmp_path, monkeypatch):
+    page = ("<p>pages/7.html</p><table><tr><th>Data</th><th>Movimento</th></tr><tbody id='tabelaTodasMovimentacoes'>"
+            "<tr><td>01/02/2003</td><td>t</td></tr></table>")
+    (tmp_path / "kind=page").mkdir()
+    for name in ("a.html", "b.html"):
+        (tmp_path / "kind=page" / name).write_text(page)
+        os.utime(tmp_path / "kind=page" / name, (1_500_000_000, 1_500_000_000))
+    monkeypatch.setattr(R, "_page_files", lambda spark, sf_dir: str(tmp_path))
+    assert [tuple(r) for r in R.saved_pages(spark, sf_dir).collect()] == [("pages/7.html", "result", 1)] * 2
